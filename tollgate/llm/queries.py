@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tollgate.llm import bpe, packing
+from tollgate.llm import bpe, fingerprints, packing
 from tollgate.llm.tables import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,5 +21,9 @@ def op8_bpe_segment_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op7_best_fit_packing, op8_bpe_segment_tree)}
+def op9_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited(documents(spark, sf_dir))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op7_best_fit_packing, op8_bpe_segment_tree, op9_scaled_sketch)}
 ORACLES: dict[str, str] = {}
