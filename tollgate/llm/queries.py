@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tollgate.llm import bpe, fingerprints, packing
+from tollgate.llm import bpe, fingerprints, packing, quality
 from tollgate.llm.tables import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,5 +25,9 @@ def op9_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op7_best_fit_packing, op8_bpe_segment_tree, op9_scaled_sketch)}
+def op10_ngram_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op7_best_fit_packing, op8_bpe_segment_tree, op9_scaled_sketch, op10_ngram_perplexity)}
 ORACLES: dict[str, str] = {}
