@@ -101,6 +101,17 @@ class Arrays:
         return out
 
 
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        """Which of the ascending keys are there."""
+        out = np.zeros(len(keys), bool)
+        cuts = [*np.searchsorted(keys, self.firsts).tolist(), len(keys)]
+        for (found, _), a, b in zip(self.shards, cuts, cuts[1:]):
+            if b > a:
+                at = np.minimum(np.searchsorted(found, keys[a:b]), len(found) - 1)
+                out[a:b] = found[at] == keys[a:b]
+        return out
+
+
 @functools.lru_cache(maxsize=16)
 def opened(path: str, key: str, values: tuple[tuple[str, str], ...]) -> Arrays:
     return Arrays(path, key, dict(values))
