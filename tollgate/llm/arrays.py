@@ -101,6 +101,19 @@ class Arrays:
         return out
 
 
+    def rank(self, keys: np.ndarray) -> np.ndarray:
+        """The places of the ascending keys among all of them, -1 for one that isn't there."""
+        out = np.full(len(keys), -1, np.int64)
+        cuts = [*np.searchsorted(keys, self.firsts).tolist(), len(keys)]
+        before = 0
+        for (found, _), a, b in zip(self.shards, cuts, cuts[1:]):
+            if b > a:
+                at = np.minimum(np.searchsorted(found, keys[a:b]), len(found) - 1)
+                hit = found[at] == keys[a:b]
+                out[a:b][hit] = before + at[hit]
+            before += len(found)
+        return out
+
     def has(self, keys: np.ndarray) -> np.ndarray:
         """Which of the ascending keys are there."""
         out = np.zeros(len(keys), bool)

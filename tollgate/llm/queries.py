@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tollgate.llm import bpe, fingerprints, jaccard, packing, quality, substrings, toxicity
+from tollgate.llm import bpe, fingerprints, jaccard, kneser_ney, packing, quality, substrings, toxicity
 from tollgate.llm.tables import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.score_held_out(documents(spark, sf_dir))
+
+
 def op2_fingerprint_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(documents(spark, sf_dir))
 
@@ -41,5 +45,5 @@ def op10_ngram_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_fingerprint_runs, op4_ftrl_toxicity, op5_vertical_jaccard, op7_best_fit_packing, op8_bpe_segment_tree, op9_scaled_sketch, op10_ngram_perplexity)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_kneser_ney, op2_fingerprint_runs, op4_ftrl_toxicity, op5_vertical_jaccard, op7_best_fit_packing, op8_bpe_segment_tree, op9_scaled_sketch, op10_ngram_perplexity)}
 ORACLES: dict[str, str] = {}
