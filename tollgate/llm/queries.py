@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tollgate.llm import bpe, fingerprints, jaccard, kneser_ney, packing, quality, substrings, toxicity
+from tollgate.llm import bpe, fingerprints, jaccard, kneser_ney, lines, packing, quality, substrings, toxicity
 from tollgate.llm.tables import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op2_fingerprint_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(documents(spark, sf_dir))
 
 
+def op3_deletion_neighbourhood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.digest(documents(spark, sf_dir))
+
+
 def op4_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -45,5 +49,5 @@ def op10_ngram_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_kneser_ney, op2_fingerprint_runs, op4_ftrl_toxicity, op5_vertical_jaccard, op7_best_fit_packing, op8_bpe_segment_tree, op9_scaled_sketch, op10_ngram_perplexity)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_kneser_ney, op2_fingerprint_runs, op3_deletion_neighbourhood, op4_ftrl_toxicity, op5_vertical_jaccard, op7_best_fit_packing, op8_bpe_segment_tree, op9_scaled_sketch, op10_ngram_perplexity)}
 ORACLES: dict[str, str] = {}
