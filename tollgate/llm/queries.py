@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tollgate.llm import bpe, fingerprints, jaccard, kneser_ney, lines, packing, quality, substrings, toxicity
+from tollgate.llm import bpe, fingerprints, jaccard, kneser_ney, lines, packing, quality, quotes, substrings, toxicity
 from tollgate.llm.tables import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,10 @@ def op5_vertical_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(documents(spark, sf_dir), 4, 85)
 
 
+def op6_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.format_chats(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), 1024, 2)
 
@@ -49,5 +53,5 @@ def op10_ngram_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_kneser_ney, op2_fingerprint_runs, op3_deletion_neighbourhood, op4_ftrl_toxicity, op5_vertical_jaccard, op7_best_fit_packing, op8_bpe_segment_tree, op9_scaled_sketch, op10_ngram_perplexity)}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_kneser_ney, op2_fingerprint_runs, op3_deletion_neighbourhood, op4_ftrl_toxicity, op5_vertical_jaccard, op6_quotation_linking, op7_best_fit_packing, op8_bpe_segment_tree, op9_scaled_sketch, op10_ngram_perplexity)}
+ORACLES: dict[str, str] = {"op6_quotation_linking": quotes.ORACLE}
