@@ -21,6 +21,7 @@ other columns are ignored.  Batches must come in ascending order of doc_id.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -220,11 +221,9 @@ def removals(docs: DataFrame, batches: int = 2, fanout: int = 4) -> tuple[DataFr
     return out, copied
 
 
-def _kept_words(text: bytes, cover: np.ndarray | None) -> tuple[list[bytes], int]:
-    found = text.split()  # of bytes: at \x20 and \x09-\x0D
-    if cover is None:
-        return found, len(found)
-    return [x for x, c in zip(found, cover.tolist()) if not c], len(found)
+def _spaced(raw: bytes, cover: np.ndarray) -> bytes:
+    """The kept words, each with the white space after it."""
+    return b"".join(x for x, c in zip(re.findall(rb"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*", raw), cover.tolist()) if not c).strip()
 
 
 def _cover(pos: np.ndarray, n: int) -> np.ndarray:
@@ -235,8 +234,8 @@ def _cover(pos: np.ndarray, n: int) -> np.ndarray:
     return np.cumsum(step)[:n] > 0
 
 
-def dedup(docs: DataFrame, batches: int = 2, columns: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, n_words, n_removed, text (what is kept, joined by one space), removed (whole or in part), other columns."""
+def dedup(docs: DataFrame, batches: int = 2, columns: tuple[str, ...] = (), spacing: bool = False) -> DataFrame:
+    """doc_id, n_words, n_removed, text, other columns; text is the kept words joined by one space, or with ``spacing`` by the white space that followed them."""
     kinds = dict(docs.dtypes)
     found, copied = removals(docs.select("doc_id", "text"), batches)
     marks = kept(found, "repeats").groupBy("doc_id").agg(F.collect_set("pos").alias("pos")).withColumn("copy", F.lit(False))  # at most the document's words
@@ -258,15 +257,11 @@ def dedup(docs: DataFrame, batches: int = 2, columns: tuple[str, ...] = ()) -> D
             at = part.column("pos")
             for raw, copy, pos in zip(part.column("z").to_pylist(), part.column("copy").to_pylist(), (x.values.to_numpy() if x.is_valid else None for x in at)):
                 raw = z.decompress(raw)
-                if copy:
-                    count = len(raw.split())
-                    left = [] if count >= WINDOW else raw.split()
-                elif pos is not None:
-                    count = len(raw.split())
-                    left, _ = _kept_words(raw, _cover(pos.astype(np.int64), count))
-                else:
-                    left, count = _kept_words(raw, None)
-                text.append(b" ".join(left).decode())
+                found = raw.split()  # of bytes: at \x20 and \x09-\x0D
+                count = len(found)
+                cover = np.full(count, bool(copy) and count >= WINDOW) if copy or pos is None else _cover(pos.astype(np.int64), count)
+                left = [x for x, c in zip(found, cover.tolist()) if not c]
+                text.append((b" ".join(left) if not spacing else raw if len(left) == count else _spaced(raw, cover)).decode())
                 n.append(count)
                 gone.append(count - len(left))
             yield rows(doc_id=part.column("doc_id"), n_words=pa.array(n, pa.int64()), n_removed=pa.array(gone, pa.int64()), text=pa.array(text, pa.string()), **{c: part.column(c) for c in columns})
