@@ -10,7 +10,8 @@ fragment on its own and summed per pair.  Candidate pairs share a shingle of the
 A group that shares a shingle isn't paired with itself: each member first meets the one with
 the fewest shingles of its own, links are united, and only members whose components still
 differ meet after that.  So no link between components is lost, and a group of near copies
-costs a pair a member.
+costs a pair a member.  A pair meets at a shared shingle only if what both have from there on
+in the global order can reach the threshold.
 
 Cases: texts with fewer words than ``n`` have the whole sequence as their one shingle; texts
 without words and nulls have none and link with nothing; texts of any length are taken
@@ -139,19 +140,19 @@ def links(docs: DataFrame, classed: DataFrame, n: int, percent: int, fragments:
     sizes = shared.select("doc_id", "n", "u")
     # the prefix of the whole set begins with the u shingles of its own
     length = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1 - F.col("u")
-    posts = kept(shared.where(length > 0).select("doc_id", "n", "u", F.explode(F.slice("order", F.lit(1), length.cast("int"))).alias("o")), "posts")
+    prefix = F.posexplode(F.slice("order", F.lit(1), length.cast("int"))).alias("i", "o")
+    posts = kept(shared.where(length > 0).select("doc_id", "n", "u", prefix).select("doc_id", "n", (F.col("u") + F.col("i")).alias("before"), "o"), "posts")
 
     def enough(x: str, y: str):
-        """Whether the sizes and own shingles of two sets let them reach the threshold."""
-        need = F.lit(percent) * (F.col(f"{x}.n") + F.col(f"{y}.n"))
-        most = F.least(F.col(f"{x}.n") - F.col(f"{x}.u"), F.col(f"{y}.n") - F.col(f"{y}.u"))
-        return (100 + percent) * most >= need
+        """Whether two sets can reach the threshold if a shingle is the rarest that both have: none before it counts."""
+        most = F.least(F.col(f"{x}.n") - F.col(f"{x}.before"), F.col(f"{y}.n") - F.col(f"{y}.before"))
+        return (100 + percent) * most >= F.lit(percent) * (F.col(f"{x}.n") + F.col(f"{y}.n"))
 
     def verified(pairs: DataFrame) -> DataFrame:
         both = overlaps(pairs, segments).join(sizes.select(F.col("doc_id").alias("a"), F.col("n").alias("m")), "a").join(sizes.select(F.col("doc_id").alias("b"), "n"), "b")
         return both.where(F.lit(100) * F.col("overlap") >= F.lit(percent) * (F.col("m") + F.col("n") - F.col("overlap"))).select("a", "b")
 
-    middle = posts.groupBy("o").agg(F.min(F.struct("u", "doc_id", "n")).alias("y"), F.count("*").alias("times")).where("times > 1").select("o", "y")
+    middle = posts.groupBy("o").agg(F.min(F.struct("before", "doc_id", "n")).alias("y"), F.count("*").alias("times")).where("times > 1").select("o", "y")
     star = posts.alias("x").join(middle, "o").where((F.col("x.doc_id") != F.col("y.doc_id")) & enough("x", "y"))
     star = kept(star.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct(), "star")
     found = kept(verified(star), "links")

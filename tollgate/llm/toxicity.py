@@ -121,18 +121,20 @@ def ftrl(texts: pa.Array, labels: np.ndarray, epochs: int, alpha: float, beta: f
     return Model(keys[some], w[:-1][some], float(w[-1]))
 
 
-def fit(labelled: DataFrame, most: int = MOST, shards: int = SHARDS, epochs: int = 4, alpha: float = 1.0, beta: float = 1.0, l1: float = 2.0, l2: float = 1.0) -> Model | None:
-    """labelled: text and label 0 or 1, and doc_id; None without any rows."""
+def fit(docs: DataFrame, labels: DataFrame, most: int = MOST, shards: int = SHARDS, epochs: int = 4, alpha: float = 1.0, beta: float = 1.0, l1: float = 2.0, l2: float = 1.0) -> Model | None:
+    """docs: doc_id, text; labels: doc_id, label 0 or 1; None without any labelled text."""
     mixed = F.xxhash64(F.col("doc_id"), F.lit(17))
-    sample = labelled.select("doc_id", "text", F.col("label").cast("int").alias("label"), mixed.alias("mixed")).where("label is not null")
-    sample = sample.orderBy("mixed", "doc_id").limit(most).withColumn("shard", F.pmod("mixed", F.lit(shards)))
+    known = labels.select("doc_id", F.col("label").cast("int").alias("label"), mixed.alias("mixed")).where("label is not null")
+    chosen = known.orderBy("mixed", "doc_id").limit(most)
+    # ``most`` rows of numbers at the most, so only the chosen texts are shuffled
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").withColumn("shard", F.pmod("mixed", F.lit(shards)))
 
     def learn(part: pa.Table) -> pa.Table:
         part = part.sort_by([("mixed", "ascending"), ("doc_id", "ascending"), ("text", "ascending")])
         model = ftrl(part.column("text").combine_chunks(), part.column("label").to_numpy(), epochs, alpha, beta, l1, l2)
         return pa.table({"keys": pa.array([model.keys.tobytes()], pa.binary()), "weights": pa.array([model.weights.tobytes()], pa.binary()), "bias": pa.array([model.bias]), "n": pa.array([part.num_rows], pa.int64())})
 
-    parts = sample.groupBy("shard").applyInArrow(learn, "keys binary, weights binary, bias double, n long").collect()  # ``shards`` sparse models of a bounded sample
+    parts = sample.repartition(shards, "shard").groupBy("shard").applyInArrow(learn, "keys binary, weights binary, bias double, n long").collect()  # ``shards`` sparse models of a bounded sample
     total = sum(p["n"] for p in parts)
     if not total:
         return None
@@ -152,13 +154,13 @@ def scored(docs: DataFrame, model: Model | None, columns: tuple[str, ...] = ())
             score = model.score(block.column("text")) if model else np.zeros(block.num_rows)
             yield rows(doc_id=block.column("doc_id"), score=pa.array(score), **{c: block.column(c) for c in columns})
 
-    return arrow_map(docs.select("doc_id", "text", *columns), each, ", ".join(["doc_id long", "score double", *(f"`{c}` {kinds[c]}" for c in columns)]))
+    return arrow_map(docs.select(*dict.fromkeys(("doc_id", "text", *columns))), each, ", ".join(["doc_id long", "score double", *(f"`{c}` {kinds[c]}" for c in columns)]))
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, text, label of the rows to learn from: those whose crc32(doc_id as text) mod 4 isn't 2."""
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").alias("label")).where(~held_out(F.col("doc_id")) & F.col("label").isNotNull())
-    return known.join(docs.select("doc_id", "text"), "doc_id")
+def known_labels(labels: DataFrame) -> DataFrame:
+    """doc_id, label of the rows to learn from: those whose crc32(doc_id as text) mod 4 isn't 2."""
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").alias("label"))
+    return known.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
 
 
 def held_out(doc_id):
@@ -167,5 +169,5 @@ def held_out(doc_id):
 
 def judge(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
-    out = scored(docs, fit(labelled(docs, labels)))
+    out = scored(docs, fit(docs, known_labels(labels)))
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
