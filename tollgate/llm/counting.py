@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from tollgate.llm.tables import arrow_map, rows
 from tollgate.llm.words import blocks, distinct
 
-BLOCK = 16 << 20
+BLOCK = 8 << 20
 
 
 def pack(keys: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:

@@ -31,7 +31,7 @@ from tollgate.llm.words import Words, blocks, group_order, mix, sums, words
 
 END = np.uint64(0x0E4D5F10CA7E5EED)
 WORD, PAIR, CONTEXT = (("count", "<i8"),), (("count", "<u4"),), (("total", "<f8"), ("gamma", "<f8"), ("cont", "<f8"))
-BLOCK = 12 << 20
+BLOCK = 6 << 20
 _M64 = (1 << 64) - 1
 
 

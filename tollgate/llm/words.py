@@ -23,7 +23,7 @@ SPACES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 PIECE = 1 << 19
-BLOCK = 6 << 20
+BLOCK = 3 << 20
 _P = 0x9E3779B97F4A7C15 | 1
 _M64 = (1 << 64) - 1
 
