@@ -69,6 +69,7 @@ def classes(docs: DataFrame, n: int) -> DataFrame:
 
     sets = kept(arrow_map(docs, each, "doc_id long, n_shingles long, a long, b long"), "sets")
     same = sets.where("n_shingles > 0").groupBy("a", "b", "n_shingles").agg(F.min("doc_id").alias("class_id"))
+    same = kept(same, "same")  # both sides of the join are plain exchanges, so that a large class is split
     return sets.join(same, ["a", "b", "n_shingles"], "left").select("doc_id", "n_shingles", "class_id")
 
 

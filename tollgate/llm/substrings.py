@@ -6,8 +6,8 @@ mostly share theirs: the index holds about one fingerprint for five windows.  Ev
 of documents is written as a sorted, bucketed, immutable run of (fp, doc_id).  A new run is
 merge-joined with the runs before it, bucket by bucket without a shuffle; windows with a
 fingerprint that another document has too are candidates.  They are verified on the texts,
-the older ones read again: their own 96-bit hashes are sorted with doc_id, and all but those
-in the first document are removed.  More than ``fanout`` runs are compacted.
+the older ones read again: each one's own 96-bit hash is joined to the first document that has
+it, and all but those in the first document are removed.  More than ``fanout`` runs are compacted.
 
 Whole copies, which have no window of their own, are found by digests of all words first,
 so a group of copies costs one row a document.
@@ -69,7 +69,8 @@ def whole_copies(docs: DataFrame) -> DataFrame:
 
     found = kept(arrow_map(docs, each, "doc_id long, a long, b long"), "digests")
     first = found.groupBy("a", "b").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    copy = found.join(first.select("a", "b", "first"), ["a", "b"], "left").withColumn("copy", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)))
+    first = kept(first.select("a", "b", "first"), "first")
+    copy = found.join(first, ["a", "b"], "left").withColumn("copy", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)))
     return copy.groupBy("doc_id").agg(F.min("copy").alias("copy")).where("copy").select("doc_id")
 
 
@@ -177,26 +178,15 @@ def candidates(docs: DataFrame, shared: str, copies: str | None, old: bool) -> D
 
 
 def repeats(found: DataFrame) -> DataFrame:
-    """doc_id, pos of windows that a document with a smaller doc_id has: one sorted pass that keeps a single row in mind."""
-
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
-        for batch in batches:
-            h1, h2, doc, pos = (batch.column(c).to_numpy() for c in ("h1", "h2", "doc_id", "pos"))
-            if not len(h1):
-                continue
-            head = np.ones(len(h1), bool)
-            head[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
-            first = doc[head][np.cumsum(head) - 1]
-            if last is not None and last[:2] == (h1[0], h2[0]):
-                stop = int(np.flatnonzero(head)[1]) if head.sum() > 1 else len(head)
-                first[:stop] = last[2]
-            last = (h1[-1], h2[-1], first[-1])
-            out = (doc > first) & (pos >= 0)
-            yield rows(doc_id=pa.array(doc[out]), pos=pa.array(pos[out]))
-
-    ordered = found.repartition("h1").sortWithinPartitions("h1", "h2", "doc_id")
-    return ordered.mapInArrow(each, "doc_id long, pos int")
+    """doc_id, pos of windows that a document with a smaller doc_id has.
+
+    The first document of each window is aggregated before the shuffle and written, so that both
+    sides of the join are plain exchanges, of which a window that very many documents have is split.
+    """
+    found = kept(found, "candidates")
+    least = found.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    least = kept(least.select("h1", "h2", "first"), "first")
+    return found.where("pos >= 0").join(least, ["h1", "h2"]).where("doc_id > first").select("doc_id", "pos")
 
 
 def removals(docs: DataFrame, batches: int = 2, fanout: int = 4) -> tuple[DataFrame, DataFrame]:
