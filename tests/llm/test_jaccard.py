@@ -59,6 +59,21 @@ def test_ties_and_empty(spark):
     assert jaccard.join(df.limit(0)).count() == 0
 
 
+def test_rows_repeated_over_partitions(spark):
+    from pyspark.sql import functions as F
+
+    w = lambda tag, k: [f"{tag}{i}" for i in range(k)]
+    docs = {1: w("p", 53) + w("q", 50), 2: w("p", 53) + w("r", 50)}
+    docs |= {10 + i: w("q", 50) + w(f"s{i}x", 30 + i) for i in range(9)} | {30 + i: w("r", 50) + w(f"t{i}x", 30 + i) for i in range(9)}
+    docs |= {50: w("u", 60), 51: w("u", 59) + ["v"]}
+    rows = [(k, " ".join(v), part) for k, v in docs.items() for part in (range(4) if k in (1, 2, 50) else [k % 4])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, part int").repartitionByRange(4, F.col("part")).select("doc_id", "text")
+    want = brute({k: " ".join(v) for k, v in docs.items()})
+    out = jaccard.join(df).collect()
+    assert len(out) == len(rows) and want[2][1] == 2 and want[51][1] == 50
+    assert {(r.doc_id, r.n_shingles, r.component_id) for r in out} == {(k, *v) for k, v in want.items()}
+
+
 def test_components(spark):
     rnd = random.Random(1)
     pairs = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(1000, 1060)]

@@ -15,9 +15,10 @@ in the global order can reach the threshold.
 
 Cases: texts with fewer words than ``n`` have the whole sequence as their one shingle; texts
 without words and nulls have none and link with nothing; texts of any length are taken
-whole; equal rows with one doc_id count once, and of unlike texts under one doc_id that are
-the first of their classes, one stands for the doc_id in links; a null doc_id links with
-nothing; an empty table gives no rows; other columns are ignored.
+whole; equal rows with one doc_id count once, wherever in the table they are, and of unlike
+texts under one doc_id that are the first of their classes, the one with the smallest set
+hash stands for the doc_id in links; a null doc_id links with nothing; an empty table gives
+no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -58,19 +59,55 @@ def shingles(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
     return value[by_doc], np.searchsorted(doc[by_doc], np.arange(docs + 1))
 
 
+def _set_hashes(block: pa.RecordBatch, n: int) -> tuple[pa.Array, pa.Array, pa.Array]:
+    value, first = shingles(block.column("text"), n)
+    return pa.array(np.diff(first)), *(pa.array(sums(mix(value, seed).view(np.int64), first)) for seed in (51, 53))
+
+
 def classes(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, n_shingles, class_id: the smallest doc_id with an equal set; null for a document without shingles."""
+    """doc_id, n_shingles, a, b (of the set's hash), class_id: the smallest doc_id with an equal set; null for a document without shingles."""
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for block in blocks(batch):
-            value, first = shingles(block.column("text"), n)
-            a, b = (sums(mix(value, seed).view(np.int64), first) for seed in (51, 53))
-            yield rows(doc_id=block.column("doc_id"), n_shingles=pa.array(np.diff(first)), a=pa.array(a), b=pa.array(b))
+            count, a, b = _set_hashes(block, n)
+            yield rows(doc_id=block.column("doc_id"), n_shingles=count, a=a, b=b)
 
     sets = kept(arrow_map(docs, each, "doc_id long, n_shingles long, a long, b long"), "sets")
     same = sets.where("n_shingles > 0").groupBy("a", "b", "n_shingles").agg(F.min("doc_id").alias("class_id"))
     same = kept(same, "same")  # both sides of the join are plain exchanges, so that a large class is split
-    return sets.join(same, ["a", "b", "n_shingles"], "left").select("doc_id", "n_shingles", "class_id")
+    return sets.join(same, ["a", "b", "n_shingles"], "left").select("doc_id", "n_shingles", "a", "b", "class_id")
+
+
+def _firsts_of(block: pa.RecordBatch, path: str) -> pa.RecordBatch:
+    """The rows of a block whose doc_id is in the array, and those that stand for a repeated one."""
+    ids = block.column("doc_id").to_numpy()
+    up = np.argsort(ids, kind="stable")
+    here = np.empty(len(ids), bool)
+    here[up] = arrays.opened(path, "key", ()).has(ids[up])
+    return block.filter(pa.array(here | block.column("once").to_numpy(zero_copy_only=False)))
+
+
+def _once(docs: DataFrame, classed: DataFrame, n: int) -> tuple[DataFrame, str]:
+    """doc_id, text, once; and an array of doc_ids: their rows, and those with ``once``, are a row for each first of a class over the whole table."""
+    ids = classed.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("times"), F.max(F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False))).alias("first"))
+    ids = kept(ids.where("first").select(F.col("doc_id").alias("key"), "times"), "ids")
+    single = arrays.write(ids.where("times = 1").select("key"), "key", {}, "firsts")
+    docs = docs.select("doc_id", "text", F.lit(False).alias("once"))
+    if ids.where("times > 1").isEmpty():
+        return docs, single
+    again = arrays.write(ids.where("times > 1").select("key"), "key", {}, "repeated")
+
+    def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batch):
+            block = _firsts_of(block, again)
+            _, a, b = _set_hashes(block, n)
+            yield rows(doc_id=block.column("doc_id"), text=block.column("text"), a=a, b=b)
+
+    # only texts of repeated ids are shuffled, one for each set and task
+    one = arrow_map(docs, each, "doc_id long, text string, a long, b long").groupBy("doc_id", "a", "b").agg(F.min("text").alias("text"))
+    chosen = classed.where("doc_id = class_id").groupBy("doc_id").agg(F.min(F.struct("a", "b")).alias("set")).select("doc_id", "set.a", "set.b")
+    one = kept(one.join(chosen, ["doc_id", "a", "b"], "left_semi").select("doc_id", "text", F.lit(True).alias("once")), "once")
+    return docs.union(one), single
 
 
 def _shared(docs: DataFrame, n: int, percent: int, firsts: str) -> DataFrame:
@@ -78,21 +115,12 @@ def _shared(docs: DataFrame, n: int, percent: int, firsts: str) -> DataFrame:
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spec = (("n", "<i8"),)
 
-    def firsts_of(block: pa.RecordBatch) -> pa.RecordBatch:
-        ids = block.column("doc_id").to_numpy()
-        up = np.argsort(ids, kind="stable")
-        here = np.empty(len(ids), bool)
-        here[up] = arrays.opened(firsts, "key", ()).has(ids[up])
-        again = np.ones(len(ids), bool)
-        again[np.unique(ids, return_index=True)[1]] = False
-        return block.filter(pa.array(here & ~again))
-
-    counted = counts(docs, lambda block: shingles(firsts_of(block).column("text"), n)[0], buckets, 2)
+    counted = counts(docs, lambda block: shingles(_firsts_of(block, firsts).column("text"), n)[0], buckets, 2)
     table = arrays.write(counted.select("key", F.col("count").alias("n")), "key", dict(spec), "shingles")
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for block in blocks(batch):
-            block = firsts_of(block)
+            block = _firsts_of(block, firsts)
             value, first = shingles(block.column("text"), n)
             total = np.diff(first)
             own = np.sort(value.view(np.int64))
@@ -130,8 +158,8 @@ def overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, classed: DataFrame, n: int, percent: int, fragments: int = FRAGMENTS) -> DataFrame:
     """id, component of class ids that are linked with another."""
-    firsts = arrays.write(classed.where("doc_id = class_id").select(F.col("class_id").alias("key")).distinct(), "key", {}, "firsts")
-    shared = _shared(docs, n, percent, firsts)
+    once, firsts = _once(docs, classed, n)
+    shared = _shared(once, n, percent, firsts)
     # cut the global order at its quantiles
     orders = shared.select(F.explode("order").alias("o"))
     bounds = sorted({int(x) for x in orders.approxQuantile("o", [i / fragments for i in range(1, fragments)], 0.02)}) if fragments > 1 else []
