@@ -3,6 +3,7 @@ import random
 import re
 
 from tollgate.llm import lines
+from tollgate.llm.words import words
 
 
 def near(a, b):
@@ -59,3 +60,16 @@ def test_ties_and_empty(spark):
     df = spark.createDataFrame([(7, x), (7, x), (None, x), (9, x + " eleven")], "doc_id long, text string")
     assert sorted((r.doc_id or 0, r.n_removed) for r in lines.dedup(df).collect()) == [(0, 0), (7, 0), (7, 0), (9, 1)]
     assert lines.dedup(df.limit(0)).count() == 0
+
+
+def test_short_lines_repeat(spark):
+    df = spark.createDataFrame([(1, "All rights reserved.\nHome\nfirst of all"), (2, "second\nall RIGHTS reserved."), (3, "home\n\nAll rights kept.")], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in lines.dedup(df).collect()} == {1: "All rights reserved.\nHome\nfirst of all", 2: "second", 3: "\nAll rights kept."}
+
+
+def test_second_hash_is_another():
+    import pyarrow as pa
+
+    w = words(pa.array(["a b a", "c"]))
+    h, other = w.hashes(), lines._second(w)
+    assert other[0] == other[2] and len(set(other.tolist()) | set(h.tolist())) == 6

@@ -1,7 +1,7 @@
 """Line dedup by a join on deletion neighbourhoods.
 
 A line is what stands between line ends; its words are compared with A-Z lower-cased.  Lines
-under ``LEAST`` words are left alone.  Lines of ``NEAR`` words or more are near when one word
+without words are left alone.  Lines of ``NEAR`` words or more are near when one word
 inserted, deleted or replaced turns one into the other; shorter ones must be equal.  A line
 goes if a near one stands before it, in the order of (doc_id, line number).
 
@@ -9,7 +9,9 @@ Equal lines are joined first, and only the earliest of them has a neighbourhood:
 words and its words without any one of them, as hashed keys.  Keys that two lines have are
 joined; where both left out a word, the distance is one just if they left out the same
 place, and where one left out nothing it is always one.  So the earliest line of each (key,
-place) and each key decides, and no pair of lines is ever formed.
+place) and each key decides, and no pair of lines is ever formed.  Keys of 64 bits only choose
+the candidates; a line goes if a second hash of the same words, from other hashes of their
+bytes, is equal too, which with the places verifies the distance.
 
 Cases: a null text has no line with words; texts and lines of any length are taken whole;
 equal rows with one doc_id don't remove each other's lines, and of unlike texts under one
@@ -29,9 +31,9 @@ from pyspark.sql import functions as F
 from tollgate.llm import arrays
 from tollgate.llm.counting import counts
 from tollgate.llm.tables import arrow_map, kept, rows
-from tollgate.llm.words import Words, blocks, mix, words
+from tollgate.llm.words import Words, blocks, mix, span_hashes, words
 
-LEAST, NEAR = 6, 10
+LEAST, NEAR = 1, 10
 _F = 0x9E6C63D0876A9A35
 
 
@@ -89,7 +91,12 @@ def _read(block: pa.RecordBatch):
     w = words(block.column("text"), lower=True)
     first, doc, number = lines(w)
     ids = block.column("doc_id").to_numpy()[doc] if len(doc) else np.zeros(0, np.int64)
-    return w.hashes(), first, ids, number
+    return w, first, ids, number
+
+
+def _second(w: Words) -> np.ndarray:
+    """Hashes of words from other values of their bytes than w.hashes() has."""
+    return mix(span_hashes(w.data ^ np.uint8(0xA5), w.starts, w.ends), 77)
 
 
 def removed(docs: DataFrame) -> DataFrame:
@@ -99,27 +106,28 @@ def removed(docs: DataFrame) -> DataFrame:
 
     def whole(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for block in blocks(batch):
-            h, first, ids, number = _read(block)
-            key = neighbourhoods(h, first, np.zeros(0, np.int64))[0]
+            w, first, ids, number = _read(block)
+            key, check = (neighbourhoods(h, first, np.zeros(0, np.int64))[0] for h in (w.hashes(), _second(w)))
             some = np.diff(first) >= LEAST
-            yield rows(key=pa.array(key[some].view(np.int64)), doc_id=pa.array(ids[some], pa.int64()), line=pa.array(number[some], pa.int64()))
+            yield rows(key=pa.array(key[some].view(np.int64)), check=pa.array(check[some].view(np.int64)), doc_id=pa.array(ids[some], pa.int64()), line=pa.array(number[some], pa.int64()))
 
-    every = kept(arrow_map(docs, whole, "key long, doc_id long, line long"), "lines")
+    every = kept(arrow_map(docs, whole, "key long, check long, doc_id long, line long"), "lines")
     place = F.struct("doc_id", "line")
-    earliest = every.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    late = every.join(earliest.where("first < last").select("key", "first"), "key").where(place > F.col("first")).select("doc_id", "line")
+    earliest = every.groupBy("key", "check").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    late = every.join(earliest.where("first < last").select("key", "check", "first"), ["key", "check"]).where(place > F.col("first")).select("doc_id", "line")
     mixed = arrow_map(earliest.select("first.doc_id", "first.line"), lambda b: iter([rows(uid=pa.array(uid(b.column("doc_id").to_numpy(), b.column("line").to_numpy())))]), "uid long")
     firsts = arrays.write(mixed.distinct(), "uid", {}, "earliest")
 
     def around(block: pa.RecordBatch):
-        h, first, ids, number = _read(block)
+        w, first, ids, number = _read(block)
+        h = w.hashes()
         some = np.flatnonzero((np.diff(first) >= NEAR))
         some = some[_has(firsts, "uid", uid(ids[some], number[some]))]
         key, line, at, out = neighbourhoods(h, first, some)
-        return h, first, ids, number, some, key, line, at, out
+        return w, h, first, ids, number, some, key, line, at, out
 
     def keys_of(block: pa.RecordBatch) -> np.ndarray:
-        h, first, _, _, some, key, line, at, out = around(block)
+        _, h, first, _, _, some, key, line, at, out = around(block)
         i = first[line] + at
         again = (at > 0) & (h[i] == h[i - 1])  # leaves the same words as the place before
         return np.concatenate((key[some], out[~again]))
@@ -128,16 +136,18 @@ def removed(docs: DataFrame) -> DataFrame:
 
     def joined(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for block in blocks(batch):
-            _, _, ids, number, some, key, line, at, out = around(block)
+            w, _, first, ids, number, some, key, line, at, out = around(block)
+            key2, _, _, out2 = neighbourhoods(_second(w), first, some)
+            check = np.concatenate((key2[some], out2)).view(np.int64)
             line, at, out = np.concatenate((some, line)), np.concatenate((np.full(len(some), -1), at)), np.concatenate((key[some], out)).view(np.int64)
             hit = _has(shared, "key", out)
             line = line[hit]
-            yield rows(key=pa.array(out[hit]), place=pa.array(at[hit], pa.int32()), doc_id=pa.array(ids[line], pa.int64()), line=pa.array(number[line], pa.int64()))
+            yield rows(key=pa.array(out[hit]), check=pa.array(check[hit]), place=pa.array(at[hit], pa.int32()), doc_id=pa.array(ids[line], pa.int64()), line=pa.array(number[line], pa.int64()))
 
-    near = kept(arrow_map(docs, joined, "key long, place int, doc_id long, line long"), "near")
-    same = near.groupBy("key", "place").agg(F.min(place).alias("same"))
-    sides = near.groupBy("key").agg(F.min(F.when(F.col("place") < 0, place)).alias("complete"), F.min(F.when(F.col("place") >= 0, place)).alias("cut"))
-    met = near.join(same, ["key", "place"]).join(sides, "key")
+    near = kept(arrow_map(docs, joined, "key long, check long, place int, doc_id long, line long"), "near")
+    same = near.groupBy("key", "check", "place").agg(F.min(place).alias("same"))
+    sides = near.groupBy("key", "check").agg(F.min(F.when(F.col("place") < 0, place)).alias("complete"), F.min(F.when(F.col("place") >= 0, place)).alias("cut"))
+    met = near.join(same, ["key", "check", "place"]).join(sides, ["key", "check"])
     before = F.when(F.col("place") < 0, F.col("cut")).otherwise(F.least("same", "complete"))
     return late.union(met.where(before < place).select("doc_id", "line")).distinct()
 
