@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -48,6 +49,31 @@ def test_bands_reject_odd_texts_and_keep_clean_ones(judged):
     assert {r.doc_id for r in out if r.base_failed} - {1001} == {1003, 1004, 1005, 1006}
 
 
+def test_shuffled_words_score_worse(spark):
+    rnd = random.Random(9)
+    vocabulary = ["".join(rnd.choice("aeioubcdlmnrst") for _ in range(rnd.randrange(3, 7))) for _ in range(600)]
+    after = {w: rnd.sample(vocabulary, 3) for w in vocabulary}
+
+    def text():
+        w = [rnd.choice(vocabulary)]
+        while len(w) < 250:
+            w.append(rnd.choice(after[w[-1]]))
+        return w
+
+    texts = [text() for _ in range(200)]
+    shuffled = [rnd.sample(t, len(t)) for t in texts[:5]]
+    docs = spark.createDataFrame([(i, " ".join(t), "en") for i, t in enumerate(texts)] + [(1000 + i, "\n".join(t), "en") for i, t in enumerate(shuffled)], "doc_id long, text string, lang string").repartition(3)
+    out = {r.doc_id: r for r in quality.judge(docs).collect()}
+    assert all(out[1000 + i].run_log_ppl > 1.2 * out[i].run_log_ppl and not out[1000 + i].kept for i in range(5))
+    assert sum(out[i].kept for i in range(200)) >= 198
+
+
+def test_windows_are_of_running_text():
+    key, first = quality.running(words(pa.array(["ab\n c", None, "d"])), np.array([1, 2, 3]))
+    assert first.tolist() == [0, 5, 5, 7]
+    assert [int(k).to_bytes(8, "big")[2:] for k in key] == [b"\x01    a", b"\x01   ab", b"\x01  ab ", b"\x01 ab c", b"\x01ab c ", b"\x03    d", b"\x03   d "]
+
+
 def test_empty_table(spark):
     assert quality.judge(spark.createDataFrame([], "doc_id long, text string, lang string")).count() == 0
 

@@ -1,14 +1,17 @@
 """Quality rules: counts of a text, and an n-gram perplexity held against bands of its language.
 
-The model is an interpolated modified Kneser-Ney model of bytes within words, one for each
-language: Spark counts the five-byte windows of all words of all documents, lower orders
-are counted from them, and each order's probabilities and weights are joined into sorted
-hash arrays that the workers map.  A text's perplexity is per word that has a letter or a
-digit, word ends included: marks on words or between them make words dear.
-A language's band lies around its median of log-perplexity.  Its half-width is ``width``
+There are two interpolated modified Kneser-Ney models of bytes for each language.  One is of
+bytes within words and judges spelling.  The other is of running text, the words of a text
+with one space after each: its contexts cross word bounds, so a word's first bytes depend on
+how the word before ends, and shuffled words make a text dear.  Spark counts the five-byte
+windows of all documents, lower orders are counted from them, and each order's probabilities
+and weights are joined into sorted hash arrays that the workers map.  A text's perplexity is
+per word that has a letter or a digit, word ends included: marks on words or between them
+make words dear.
+Each model's band of a language lies around its median of log-perplexity.  Its half-width is ``width``
 standard deviations of a text of that many words, estimated from the quartiles of the
 deviations times the square root of the number of words, and ``least`` times the median at
-the least; a text outside is rejected.
+the least; a text outside either band is rejected.
 
 Cases: a null text has no words and fails the base rules; a null language is a language of
 its own; texts of any length are taken whole; repeated rows give repeated results; an empty
@@ -26,14 +29,15 @@ from pyspark.sql import functions as F
 
 from tollgate.llm import arrays
 from tollgate.llm.tables import arrow_map, kept, rows
-from tollgate.llm.words import Words, blocks, grams, group_order, inside, mix, span_hashes, sums, words
+from tollgate.llm.words import Words, blocks, distinct, grams, group_order, inside, mix, span_hashes, sums, words
 
 ORDER = 5
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
 LETTERS = np.zeros(256, bool)
 LETTERS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+RUNNING = "\0running"  # after a language's name: the model of its running text
 PROB, GAMMA = (("logp", "<f4"),), (("logg", "<f4"),)
 
 
@@ -106,6 +110,25 @@ def windows(w: Words, lang: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndar
     return group, key[ok].astype(np.int64), owner[: len(key)][ok], np.diff(np.append(np.flatnonzero(head), len(order))), n + 1
 
 
+def running(w: Words, lang: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the five-byte windows of running text that end at each byte of a word or at the space after it, text after text; where each text's begin, and the end."""
+    pad = ORDER - 1  # spaces before each text
+    n = w.ends - w.starts
+    after = np.cumsum(n + 1)
+    first = np.append(0, after)[w.first]
+    begin = after - (n + 1) + pad * (w.texts() + 1)
+    raw = np.full(int(first[-1]) + pad * len(lang), 32, np.uint8)
+    inner = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    raw[np.repeat(begin, n) + inner] = w.data[np.repeat(w.starts, n) + inner]
+    own = np.diff(first)
+    # the window's first byte: each text's windows begin at its padding
+    at = np.arange(int(first[-1])) + np.repeat(pad * np.arange(len(lang)), own)
+    key = np.repeat(lang.astype(np.uint64), own)
+    for k in range(ORDER):
+        key = (key << np.uint64(8)) | raw[at + k]
+    return key.view(np.int64), first
+
+
 def _spelled(w: Words) -> np.ndarray:
     """Whether each word has a letter, a digit or a byte beyond ASCII."""
     total = np.zeros(len(w.data) + 1, np.int64)
@@ -113,14 +136,14 @@ def _spelled(w: Words) -> np.ndarray:
     return total[w.ends] > total[w.starts]
 
 
-def _langs(block: pa.RecordBatch) -> np.ndarray:
+def _langs(block: pa.RecordBatch, kind: str = "") -> np.ndarray:
     codes = block.column("lang").dictionary_encode()
-    table = np.array([language_code(x) for x in codes.dictionary.to_pylist()] or [0], np.int64)
+    table = np.array([language_code(x + kind) for x in codes.dictionary.to_pylist()] or [0], np.int64)
     return table[codes.indices.to_numpy()]
 
 
 def count_windows(docs: DataFrame) -> DataFrame:
-    """key, count: the five-byte windows of all words, by language."""
+    """key, count: the five-byte windows of all words, and of all running texts, by language."""
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for block in blocks(batch, size=BLOCK):
@@ -129,6 +152,8 @@ def count_windows(docs: DataFrame) -> DataFrame:
             order, head = group_order(key.view(np.uint64))
             at = np.append(np.flatnonzero(head), len(order))
             yield rows(key=pa.array(key[order[at[:-1]]]), count=pa.array(sums(size[owner[order]], at)))
+            key, count = distinct(running(w, _langs(block, RUNNING))[0].view(np.uint64))
+            yield rows(key=pa.array(key.view(np.int64)), count=pa.array(count))
 
     return arrow_map(docs, each, "key long, count long").groupBy("key").agg(F.sum("count").alias("count"))
 
@@ -167,7 +192,7 @@ def model(docs: DataFrame) -> dict[str, str]:
 
 def log_prob(keys: np.ndarray, paths: dict[str, str]) -> np.ndarray:
     """log10 probability of the last byte of each window, given the ones before it."""
-    order, head = group_order(keys.view(np.uint64))
+    order, head = group_order(mix(keys.view(np.uint64), 7))
     at = np.flatnonzero(head)
     own = np.sort(keys[order[at]])
     p, found, weight = np.zeros(len(own)), np.zeros(len(own), bool), np.zeros(len(own))
@@ -190,7 +215,7 @@ def log_prob(keys: np.ndarray, paths: dict[str, str]) -> np.ndarray:
 
 
 def scores(docs: DataFrame, paths: dict[str, str] | None) -> DataFrame:
-    """doc_id, lang, the counts, and log10 perplexity (null for a text without words)."""
+    """doc_id, lang, the counts, and log10 perplexities by words and as running text (null for a text without words)."""
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for block in blocks(batch, size=BLOCK):
@@ -200,23 +225,29 @@ def scores(docs: DataFrame, paths: dict[str, str] | None) -> DataFrame:
             each_word = np.bincount(owner, log_prob(key, paths), len(size)) if len(size) else np.zeros(0)
             n = sums(_spelled(w), w.first)
             log_ppl = -sums(each_word[group], w.first) / np.maximum(n, 1)
-            yield rows(doc_id=block.column("doc_id"), lang=block.column("lang"), **{c: pa.array(v.astype(np.int64)) for c, v in found.items()}, log_ppl=pa.array(log_ppl, mask=n == 0))
+            key, first = running(w, _langs(block, RUNNING))
+            run_log_ppl = -sums(log_prob(key, paths), first) / np.maximum(n, 1)
+            yield rows(doc_id=block.column("doc_id"), lang=block.column("lang"), **{c: pa.array(v.astype(np.int64)) for c, v in found.items()}, log_ppl=pa.array(log_ppl, mask=n == 0), run_log_ppl=pa.array(run_log_ppl, mask=n == 0))
 
-    return arrow_map(docs, each, "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, log_ppl double")
+    return arrow_map(docs, each, "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, log_ppl double, run_log_ppl double")
 
 
 def judge(docs: DataFrame, width: float = 4.0, least: float = 0.06) -> DataFrame:
-    """doc_id, the counts, log_ppl, base_failed and kept for every document."""
+    """doc_id, the counts, base_failed, kept, log_ppl and run_log_ppl with their bands for every document."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     scored = kept(scores(docs, model(docs)), "scores")
     scored = scored.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
     fit = scored.where(~F.col("base_failed"))
-    middle = kept(fit.groupBy("lang").agg(F.percentile_approx("log_ppl", F.lit(0.5), 10_000).alias("mid")), "middle")
-    z = (F.col("log_ppl") - F.col("mid")) * F.sqrt("n_words")
-    q = F.percentile_approx(z, F.array(F.lit(0.25), F.lit(0.75)), 10_000)
+    kinds = ("log_ppl", "run_log_ppl")
+    middle = kept(fit.groupBy("lang").agg(*[F.percentile_approx(c, F.lit(0.5), 10_000).alias(f"{c}_mid") for c in kinds]), "middle")
+    z = {c: (F.col(c) - F.col(f"{c}_mid")) * F.sqrt("n_words") for c in kinds}
+    q = [F.percentile_approx(z[c], F.array(F.lit(0.25), F.lit(0.75)), 10_000).alias(f"{c}_q") for c in kinds]
     # a row for each language
-    bands = fit.join(middle, "lang").groupBy("lang", "mid").agg(q.alias("q")).select("lang", "mid", ((F.col("q")[1] - F.col("q")[0]) / 1.349).alias("sd"))
-    half = F.greatest(F.lit(least) * F.col("mid"), F.lit(width) * F.col("sd") / F.sqrt(F.greatest(F.lit(1), F.col("n_words"))))
-    joined = scored.join(bands, "lang", "left").withColumns({"low": F.col("mid") - half, "high": F.col("mid") + half})
-    verdict = ~F.col("base_failed") & F.col("log_ppl").between(F.col("low"), F.col("high"))
-    return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.coalesce(verdict, F.lit(False)).alias("kept"), "log_ppl", F.col("low").alias("log_ppl_low"), F.col("high").alias("log_ppl_high"))
+    mids = [f"{c}_mid" for c in kinds]
+    bands = fit.join(middle, "lang").groupBy("lang", *mids).agg(*q).select("lang", *mids, *[((F.col(f"{c}_q")[1] - F.col(f"{c}_q")[0]) / 1.349).alias(f"{c}_sd") for c in kinds])
+    half = {c: F.greatest(F.lit(least) * F.col(f"{c}_mid"), F.lit(width) * F.col(f"{c}_sd") / F.sqrt(F.greatest(F.lit(1), F.col("n_words")))) for c in kinds}
+    joined = scored.join(bands, "lang", "left").withColumns({f"{c}_{side}": F.col(f"{c}_mid") + sign * half[c] for c in kinds for side, sign in (("low", -1), ("high", 1))})
+    verdict = ~F.col("base_failed")
+    for c in kinds:
+        verdict = verdict & F.col(c).between(F.col(f"{c}_low"), F.col(f"{c}_high"))
+    return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.coalesce(verdict, F.lit(False)).alias("kept"), *[x for c in kinds for x in (c, f"{c}_low", f"{c}_high")])
