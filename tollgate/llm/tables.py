@@ -14,6 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+BATCH = 16 << 20
+SPARKS = f"{64 << 20}b"  # what the bound is if nobody has set it
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id and whole text of every document; a null text is empty."""
     return texts_of(spark.read.parquet(f"{sf_dir}/documents.parquet"))
@@ -48,6 +52,15 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def steady(docs: DataFrame) -> DataFrame:
+    """docs as a table that all passes read through the same partitions.
+
+    A table read from files is one, with whatever columns and filters; what isn't read from files
+    is written first.  Frames that come out of a shuffle or a join should be written by the caller.
+    """
+    return docs if docs.inputFiles() else kept(docs, "steady")
+
+
 def give_back() -> None:
     """Freed memory goes back to the system: workers live on from stage to stage, and what one stage needed isn't kept through the next."""
     pa.default_memory_pool().release_unused()
@@ -55,16 +68,31 @@ def give_back() -> None:
         trim(0)
 
 
-def arrow_map(df: DataFrame, f: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """mapInArrow with a function of one batch."""
+def arrow_map(df: DataFrame, f: Callable, schema: str, whole: bool = False) -> DataFrame:
+    """mapInArrow with a function of one batch, or with ``whole`` of all batches of a partition."""
+    bound_batches(df.sparkSession)
 
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def given_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield from f(batch)
+            yield batch
             give_back()
 
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if whole:
+            yield from f(given_back(batches))
+        else:
+            for batch in given_back(batches):
+                yield from f(batch)
+
     return df.mapInArrow(each, schema)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """A batch of long texts is cut at ``BATCH`` bytes, unless the session has another bound than Spark's own."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) == SPARKS:
+        spark.conf.set(key, str(BATCH))
+
+
 def rows(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(columns)

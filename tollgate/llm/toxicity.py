@@ -2,13 +2,15 @@
 
 A text's features are its distinct words, their first 5 and 7 bytes where they are longer,
 word pairs and pairs with one word between (A-Z lower-cased, ASCII marks around words cut
-off), hashed.  Each coordinate has its own
-learning rate, and the L1 term leaves most weights at zero, so the model is a short sorted
-array of hashes and weights that every task gets.
+off), hashed into 2 ** ``BITS`` coordinates.  Each coordinate has its own learning rate, and
+the L1 term leaves most weights at zero, so the model is a short array of coordinates and
+weights that every task gets.
 
 The labelled rows it learns from are a bounded sample: the ``most`` rows whose doc_id has
-the smallest hash.  They are split among ``shards`` tasks, each makes ``epochs`` passes, and
-the shards' weights are averaged.  Everything else covers all rows.
+the smallest hash.  They are dealt to ``shards`` tasks, a copy for each of ``epochs`` passes in
+the order of the passes, and each task learns from them as they stream by, a block of text
+at a time: it holds its coordinates and one block, however long the texts are.  The shards'
+weights are averaged.  Everything else covers all rows.
 
 Cases: a null text is empty, and an empty text scores by the intercept alone; rows without
 a label, or with a null one, aren't learned from; without any labels the score is 0.5 times
@@ -27,11 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollgate.llm.tables import arrow_map, rows
-from tollgate.llm.words import Words, blocks, group_order, mix, span_hashes, words
+from tollgate.llm.words import Words, blocks, mix, span_hashes, words
 
 MOST = 24_000
 STEMS = (5, 7)
 SHARDS = 6
+BITS = 22
+LEARN = 1 << 20  # bytes of text that are learned from at a time
 MARKS = np.zeros(256, bool)
 MARKS[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 
@@ -47,78 +51,74 @@ def trimmed(w: Words) -> Words:
     return Words(w.data, w.offsets, starts, ends, w.first)
 
 
-def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, int]:
-    """Hashes and the texts they are of, with repeats; the number of texts."""
+def features(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Coordinates and the texts they are of, with repeats, a kind of feature after another."""
     w = trimmed(words(texts, lower=True))
-    h, doc = w.hashes(), w.texts()
-    found, of = [mix(h, 11)], [doc]
+    h, doc = w.hashes(), w.texts().astype(np.uint32)
+    yield _slot(mix(h, 11)), doc
     for stem in STEMS:
         some = np.flatnonzero(w.ends - w.starts > stem)
-        found.append(mix(span_hashes(w.data, w.starts[some], w.starts[some] + stem), 20 + stem))
-        of.append(doc[some])
+        yield _slot(mix(span_hashes(w.data, w.starts[some], w.starts[some] + stem), 20 + stem)), doc[some]
     for gap in (1, 2):
         if len(h) > gap:
             same = doc[gap:] == doc[:-gap]
-            found.append(mix(h[:-gap] * np.uint64(0x9E6C63D0876A9A35) + h[gap:], 11 + gap)[same])
-            of.append(doc[gap:][same])
-    return np.concatenate(found), np.concatenate(of), len(w.first) - 1
+            yield _slot(mix(h[:-gap] * np.uint64(0x9E6C63D0876A9A35) + h[gap:], 11 + gap)[same]), doc[gap:][same]
+
+
+def _slot(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(64 - BITS)).astype(np.uint32)
+
+
+def _once(slot: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (text, coordinate), text after text: a feature counts once in a text."""
+    pair = np.unique((doc.astype(np.uint64) << np.uint64(BITS)) | slot)
+    return (pair & np.uint64((1 << BITS) - 1)).astype(np.uint32), (pair >> np.uint64(BITS)).astype(np.uint32)
 
 
 @dataclass
 class Model:
-    keys: np.ndarray
+    slots: np.ndarray
     weights: np.ndarray
     bias: float
 
-    def score(self, texts: pa.Array) -> np.ndarray:
-        key, doc, n = features(texts)
-        total = np.full(n, self.bias)
-        if len(self.keys):
-            # the top 16 bits of a hash say whether any key begins so; most features end here
-            some = np.flatnonzero(self._filter()[(key >> np.uint64(44)).astype(np.int64)])
-            at = np.minimum(np.searchsorted(self.keys, key[some]), len(self.keys) - 1)
-            hit = self.keys[at] == key[some]
-            at, doc = at[hit], doc[some][hit]
-            pair = np.unique(doc * len(self.keys) + at)  # a feature counts once in a text
-            total += np.bincount(pair // len(self.keys), self.weights[pair % len(self.keys)], n)
+    def table(self) -> np.ndarray:
+        out = np.zeros(1 << BITS, np.float32)
+        out[self.slots] = self.weights
+        return out
+
+    def score(self, texts: pa.Array, table: np.ndarray) -> np.ndarray:
+        found = [(slot[some], doc[some]) for slot, doc in features(texts) for some in [np.flatnonzero(table[slot])]]
+        slot, doc = _once(*(np.concatenate([f[k] for f in found]) for k in (0, 1)))
+        total = self.bias + np.bincount(doc, table[slot].astype(np.float64), len(texts))
         return 1 / (1 + np.exp(-total))
 
-    def _filter(self) -> np.ndarray:
-        if not hasattr(self, "_has"):
-            self._has = np.zeros(1 << 20, bool)
-            self._has[(self.keys >> np.uint64(44)).astype(np.int64)] = True
-        return self._has
-
-
-def ftrl(texts: pa.Array, labels: np.ndarray, epochs: int, alpha: float, beta: float, l1: float, l2: float) -> Model:
-    """One pass after another over the texts, a row at a time."""
-    key, doc, n = features(texts)
-    order, head = group_order(key)
-    index = np.empty(len(key), np.int64)
-    index[order] = np.cumsum(head) - 1
-    keys = key[order[head]]
-    pair = np.unique(doc * len(keys) + index) if len(keys) else np.zeros(0, np.int64)
-    doc, index = (pair // len(keys), pair % len(keys)) if len(keys) else (pair, pair)
-    first = np.searchsorted(doc, np.arange(n + 1))
-    z, s = np.zeros(len(keys) + 1), np.zeros(len(keys) + 1)  # the last is the intercept, without L1
-    penalty = np.full(len(keys) + 1, l1)
-    penalty[-1] = 0.0
-
-    def weights(at: np.ndarray) -> np.ndarray:
-        w = -(z[at] - np.sign(z[at]) * penalty[at]) / ((beta + np.sqrt(s[at])) / alpha + l2)
-        return np.where(np.abs(z[at]) <= penalty[at], 0.0, w)
-
-    for _ in range(epochs):
-        for i in range(n):
-            at = np.append(index[first[i] : first[i + 1]], len(keys))
-            w = weights(at)
-            g = 1 / (1 + np.exp(-np.clip(w.sum(), -30, 30))) - labels[i]
-            rate = (np.sqrt(s[at] + g * g) - np.sqrt(s[at])) / alpha
-            z[at] += g - rate * w
-            s[at] += g * g
-    w = weights(np.arange(len(keys) + 1))
-    some = np.flatnonzero(w[:-1])
-    return Model(keys[some], w[:-1][some], float(w[-1]))
+
+class Learner:
+    """FTRL-proximal, a row at a time; the last coordinate is the intercept, without L1."""
+
+    def __init__(self, alpha: float, beta: float, l1: float, l2: float):
+        self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
+        self.z, self.s = (np.zeros((1 << BITS) + 1, np.float32) for _ in range(2))
+
+    def weights(self, at: np.ndarray) -> np.ndarray:
+        z, penalty = self.z[at].astype(np.float64), np.where(at == 1 << BITS, 0.0, self.l1)
+        w = -(z - np.sign(z) * penalty) / ((self.beta + np.sqrt(self.s[at])) / self.alpha + self.l2)
+        return np.where(np.abs(z) <= penalty, 0.0, w)
+
+    def learn(self, texts: pa.Array, labels: np.ndarray) -> None:
+        slot, doc = _once(*(np.concatenate([f[k] for f in features(texts)]) for k in (0, 1)))
+        first = np.searchsorted(doc, np.arange(len(texts) + 1))
+        for i, label in enumerate(labels.tolist()):
+            at = np.append(slot[first[i] : first[i + 1]], np.uint32(1 << BITS))
+            w, s = self.weights(at), self.s[at].astype(np.float64)
+            g = 1 / (1 + np.exp(-np.clip(w.sum(), -30, 30))) - label
+            self.z[at] += g - (np.sqrt(s + g * g) - np.sqrt(s)) / self.alpha * w
+            self.s[at] = s + g * g
+
+    def model(self) -> Model:
+        w = self.weights(np.arange((1 << BITS) + 1))
+        some = np.flatnonzero(w[:-1])
+        return Model(some.astype(np.uint32), w[some].astype(np.float32), float(w[-1]))
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = MOST, shards: int = SHARDS, epochs: int = 4, alpha: float = 1.0, beta: float = 1.0, l1: float = 2.0, l2: float = 1.0) -> Model | None:
@@ -127,34 +127,54 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST, shards: int = SHAR
     known = labels.select("doc_id", F.col("label").cast("int").alias("label"), mixed.alias("mixed")).where("label is not null")
     chosen = known.orderBy("mixed", "doc_id").limit(most)
     # ``most`` rows of numbers at the most, so only the chosen texts are shuffled
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").withColumn("shard", F.pmod("mixed", F.lit(shards)))
-
-    def learn(part: pa.Table) -> pa.Table:
-        part = part.sort_by([("mixed", "ascending"), ("doc_id", "ascending"), ("text", "ascending")])
-        model = ftrl(part.column("text").combine_chunks(), part.column("label").to_numpy(), epochs, alpha, beta, l1, l2)
-        return pa.table({"keys": pa.array([model.keys.tobytes()], pa.binary()), "weights": pa.array([model.weights.tobytes()], pa.binary()), "bias": pa.array([model.bias]), "n": pa.array([part.num_rows], pa.int64())})
-
-    parts = sample.repartition(shards, "shard").groupBy("shard").applyInArrow(learn, "keys binary, weights binary, bias double, n long").collect()  # ``shards`` sparse models of a bounded sample
+    sample = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id").withColumn("shard", F.pmod("mixed", F.lit(shards)).cast("int"))
+    order = ("shard", "epoch", "mixed", "doc_id", "text")
+    passes = sample.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs)))).select(*order, "label")
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, learner, n = None, None, 0
+
+        def done() -> pa.RecordBatch:
+            model = learner.model()
+            return rows(slots=pa.array([model.slots.tobytes()], pa.binary()), weights=pa.array([model.weights.tobytes()], pa.binary()), bias=pa.array([model.bias]), n=pa.array([n], pa.int64()))
+
+        for batch in batches:
+            for block in blocks(batch, size=LEARN):
+                shards_ = block.column("shard").to_numpy()
+                at = [0, *(np.flatnonzero(shards_[1:] != shards_[:-1]) + 1).tolist(), len(shards_)]
+                for a, b in zip(at, at[1:]):
+                    if shards_[a] != shard:
+                        if learner:
+                            yield done()
+                        shard, learner, n = shards_[a], Learner(alpha, beta, l1, l2), 0
+                    learner.learn(block.column("text").slice(a, b - a), block.column("label").to_numpy()[a:b])
+                    n += b - a
+        if learner:
+            yield done()
+
+    dealt = passes.repartitionById(shards, F.col("shard")).sortWithinPartitions(*order)
+    parts = dealt.mapInArrow(learn, "slots binary, weights binary, bias double, n long").collect()  # ``shards`` sparse models of a bounded sample
     total = sum(p["n"] for p in parts)
     if not total:
         return None
-    key = np.concatenate([np.frombuffer(p["keys"], np.uint64) for p in parts])
-    weight = np.concatenate([np.frombuffer(p["weights"]) * (p["n"] / total) for p in parts])
-    keys, back = np.unique(key, return_inverse=True)
-    weights = np.bincount(back, weight, len(keys))
-    return Model(keys, weights, sum(p["bias"] * p["n"] for p in parts) / total)
+    slot = np.concatenate([np.frombuffer(p["slots"], np.uint32) for p in parts])
+    weight = np.concatenate([np.frombuffer(p["weights"], np.float32) * (p["n"] / total) for p in parts])
+    some, back = np.unique(slot, return_inverse=True)
+    return Model(some, np.bincount(back, weight, len(some)).astype(np.float32), sum(p["bias"] * p["n"] for p in parts) / total)
 
 
 def scored(docs: DataFrame, model: Model | None, columns: tuple[str, ...] = ()) -> DataFrame:
     """doc_id and score of every whole text; columns: others that stay."""
     kinds = dict(docs.dtypes)
 
-    def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batch):
-            score = model.score(block.column("text")) if model else np.zeros(block.num_rows)
-            yield rows(doc_id=block.column("doc_id"), score=pa.array(score), **{c: block.column(c) for c in columns})
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = model.table() if model else None
+        for batch in batches:
+            for block in blocks(batch):
+                score = model.score(block.column("text"), table) if model else np.zeros(block.num_rows)
+                yield rows(doc_id=block.column("doc_id"), score=pa.array(score), **{c: block.column(c) for c in columns})
 
-    return arrow_map(docs.select(*dict.fromkeys(("doc_id", "text", *columns))), each, ", ".join(["doc_id long", "score double", *(f"`{c}` {kinds[c]}" for c in columns)]))
+    return arrow_map(docs.select(*dict.fromkeys(("doc_id", "text", *columns))), each, ", ".join(["doc_id long", "score double", *(f"`{c}` {kinds[c]}" for c in columns)]), whole=True)
 
 
 def known_labels(labels: DataFrame) -> DataFrame:
