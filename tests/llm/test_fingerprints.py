@@ -53,3 +53,17 @@ def test_small_tables(spark):
     assert [r.near_next for r in fp.edited(one.where("doc_id = 5")).collect()] == [1.0]
     assert {r.doc_id for r in fp.edited(one).collect()} == {5, None}
     assert fp.edited(one.union(one)).count() == 4
+
+
+def test_a_sketch_does_not_depend_on_its_block():
+    import numpy as np
+    import pyarrow as pa
+
+    rnd = random.Random(9)
+    texts = [make(rnd, rnd.randrange(0, 60)) for _ in range(8000)]
+    whole, n = fp.sketches(pa.array(texts))
+    for size in (1, 300):
+        for i in range(0, 1200, size):
+            kept, count = fp.sketches(pa.array(texts[i : i + size]))
+            assert count.tolist() == n[i : i + size].tolist()
+            assert all(np.array_equal(a, b) for a, b in zip(kept, whole[i : i + size]))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollgate.llm.tables import arrow_map, rows
-from tollgate.llm.words import blocks, grams, inside, mix, words
+from tollgate.llm.words import blocks, grams, group_order, inside, mix, words
 
 SHINGLE = 5
 FRACTION = 0.25
@@ -45,18 +45,18 @@ def sketches(texts: pa.Array, fraction: float = FRACTION, n: int = SHINGLE) -> t
     if len(short):
         whole = np.array([int(mix(np.bitwise_xor.reduce(mix(h[a:b], 7) * np.arange(3, 2 * (b - a) + 3, 2, dtype=np.uint64), keepdims=True), 9)[0]) for a, b in zip(w.first[short].tolist(), w.first[short + 1].tolist())], np.uint64)
         value, doc = np.concatenate((value, whole)), np.concatenate((doc, short))
-    # doc in the high bits: one sort brings the distinct hashes of every text together
-    bits = max(1, docs.bit_length())
-    top = np.uint64(int(fraction * 2.0**64) - 1)
-    key = np.sort((doc.astype(np.uint64) << np.uint64(64 - bits)) | (value >> np.uint64(bits)))
-    key = key[np.concatenate(([True], key[1:] != key[:-1]))] if len(key) else key
-    doc = (key >> np.uint64(64 - bits)).astype(np.int64)
-    value = key << np.uint64(bits)
+    order, head = group_order(mix(value ^ mix(doc.astype(np.uint64), 41), 43))
+    some = order[head]  # each text's distinct hashes
+    value, doc = value[some], doc[some]
     count = np.bincount(doc, minlength=docs)
-    low = value <= top
-    kept = (value[low].astype(np.float64) * (2.0**32 / (fraction * 2.0**64))).astype(np.int64).clip(0, 2**32 - 1).astype(np.uint32)
-    at = np.searchsorted(doc[low], np.arange(docs + 1))
-    return [np.unique(kept[a:b]) if b > a else kept[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())], count
+    limit = int(fraction * 2.0**64)
+    low = np.flatnonzero(value <= np.uint64(limit - 1))
+    # whole numbers only, so that a hash is kept as the same number whatever lies beside its text
+    kept = (value[low] // np.uint64(-(-limit // (1 << 32)))).astype(np.uint32)
+    doc = doc[low]
+    by_doc = np.argsort(doc, kind="stable")
+    kept, at = kept[by_doc], np.searchsorted(doc[by_doc], np.arange(docs + 1))
+    return [np.unique(kept[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist())], count
 
 
 def fingerprint(text: bytes, kept: np.ndarray, shingles: int) -> str:
