@@ -32,7 +32,7 @@ def test_sql_agrees(spark, tmp_path):
     import random
 
     rnd = random.Random(1)
-    said = ["One line", "Two  lines here", "three", "?!", "é a"]
+    said = ["One line", "Two  lines here", "three", "?!", "é a", ""]
     rows = [(c, t, "user", "\n".join(rnd.choice(["", "", "> ", ">> ", ">"]) + rnd.choice(said) for _ in range(rnd.randrange(5)))) for c in range(30) for t in range(rnd.randrange(9))]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     df.coalesce(1).write.parquet(str(tmp_path / "c"))
@@ -45,3 +45,23 @@ def test_sql_agrees(spark, tmp_path):
 def test_repeated_rows(spark):
     df = spark.createDataFrame([(1, 0, "u", "Hi you"), (1, 0, "u", "Hi you"), (1, 1, "u", "> Hi you")], "conv_id long, turn long, role string, text string")
     assert sorted((r.turn, r.parent_turn or 0) for r in quotes.format_chats(df).collect()) == [(0, 0), (0, 0), (1, 0)]
+
+
+def test_a_passage_is_found_however_it_is_wrapped(spark):
+    rows = [
+        (1, 0, "The first point is that ships\nsail by night and by day.\n\nThanks"),
+        (1, 1, "Another paragraph of the same thread.\n\nThanks"),
+        (1, 2, "> The first point is\n> that ships sail by\n> NIGHT and by day.\n>\n> Thanks\nAgreed."),
+        (1, 3, "> sail by night and by day.\nA part of it."),
+        (2**40, 10**13, "One"),
+        (2**40, 10**13 + 1, "> One\nTwo"),
+        (2**40, 10**13 + 2, " ".join(["word"] * 200_000)),
+        (2**40, 10**13 + 3, "\n".join("> " + " ".join(["word"] * 50) for _ in range(4000)) + "\nYes"),
+    ]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, text string").selectExpr("*", "'u' as role")
+    out = {(r.conv_id, r.turn): r for r in quotes.format_chats(df).collect()}
+    # 14 words of the first message beside one word, "Thanks", whose latest message is the second
+    assert out[1, 2].parent_turn == 0 and out[1, 2].quoted_turns == "0,1"
+    assert out[1, 3].parent_turn == 0
+    assert [out[2**40, 10**13 + i].parent_turn for i in range(4)] == [None, 10**13, None, 10**13 + 2]
+    assert out[2**40, 10**13 + 1].path.endswith("/" + str(10**13 + 1).zfill(20))
