@@ -97,3 +97,30 @@ def test_plan_uses_up_any_histogram():
             for k in pattern:
                 used[k] += times
         assert (used == histogram).all()
+
+
+def sequences(histogram, limit):
+    return sum(times for _, times in packing.plan(histogram, limit))
+
+
+def test_patterns_are_all_that_fill():
+    import numpy as np
+
+    have = np.zeros(31, bool)
+    have[[1, 2, 5, 7, 11, 12, 18, 23, 28, 30]] = True
+    some = np.flatnonzero(have).tolist()
+    want = {(30,)} | {tuple(sorted((a, b), reverse=True)) for a in some for b in some if a + b == 30} | {tuple(sorted((a, b, c), reverse=True)) for a in some for b in some for c in some if a + b + c == 30}
+    found = packing.patterns(30, have)
+    assert want <= set(found) and all(sum(p) <= 30 and set(p) <= set(some) for p in found)
+    assert len(packing.patterns(30, have, most=10)) < len(found)
+
+
+def test_packs_near_the_bound():
+    import numpy as np
+
+    rnd = np.random.default_rng(5)
+    for histogram in (rnd.integers(0, 900, 1025), np.where(np.arange(1025) < 300, rnd.integers(0, 900, 1025), 0)):
+        histogram[0] = 0
+        # no sequence holds two pieces of more than half its length
+        bound = max(-(-int((histogram * np.arange(1025)).sum()) // 1024), int(histogram[513:].sum()))
+        assert sequences(histogram, 1024) <= 1.005 * bound + 1

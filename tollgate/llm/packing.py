@@ -51,27 +51,42 @@ def pieces(docs: DataFrame, tokenizer_path: str, limit: int = 1024, end: int = 2
     return arrow_map(docs.select("doc_id", "text"), cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def patterns(limit: int, have: np.ndarray) -> list[tuple[int, ...]]:
-    """Sets of one to three lengths that fill ``limit`` exactly, from lengths that occur; the third is the largest that still fits."""
-    some = np.flatnonzero(have)
-    found = {(limit,)} if limit < len(have) and have[limit] else set()
-    for a in some[some < limit].tolist():
-        if a * 2 <= limit and limit - a < len(have) and have[limit - a]:
-            found.add((limit - a, a))
-    step = max(1, len(some) // 96)
-    for a in some[::step].tolist():
-        for b in some[::step].tolist():
-            c = limit - a - b
-            if a <= b <= c and have[c]:
-                found.add((c, b, a))
+def patterns(limit: int, have: np.ndarray, most: int | None = None) -> list[tuple[int, ...]]:
+    """Patterns of few lengths that occur, longest first: all of one to three lengths that fill ``limit`` exactly, and, for tables of short texts, for every length as many as fit with the longest that fits behind them.
+
+    There are about limit ** 2 / 12 patterns of three lengths, whatever the number of texts;
+    ``most`` bounds them for very long limits by spreading the shortest length evenly.
+    """
+    some = np.flatnonzero(have[: limit + 1])
+    some = some[some > 0]
+    found = {(limit,)} if limit in some else set()
+    present = np.zeros(limit + 1, bool)
+    present[some] = True
+    pairs = some[(2 * some <= limit) & present[limit - some]]
+    found.update((limit - a, a) for a in pairs.tolist())
+    shortest = some[3 * some <= limit]
+    if most is not None and len(shortest):
+        shortest = shortest[:: max(1, -(-len(shortest) * len(some) // max(1, most)))]
+    for a in shortest.tolist():
+        b = some[(some >= a) & (2 * some <= limit - a)]
+        b = b[present[limit - a - b]]
+        found.update((limit - a - x, x, a) for x in b.tolist())
+    for a in some.tolist():
+        pattern = [a] * (limit // a)
+        rest = limit - a * len(pattern)
+        fits = some[some <= rest]
+        found.add((*pattern, int(fits[-1])) if len(fits) else tuple(pattern))
     return sorted(found, reverse=True)
 
 
-def nnls(columns: list[tuple[int, ...]], target: np.ndarray, rounds: int = 400) -> np.ndarray:
-    """Non-negative x for which the columns' lengths, x times each, come close to the target; by accelerated projected gradients."""
+def nnls(columns: list[tuple[int, ...]], target: np.ndarray, rounds: int = 2000, close: float = 1e-3) -> np.ndarray:
+    """Non-negative x for which the columns' lengths, x times each, come close to the target; by accelerated projected gradients, until a hundred rounds gain less than ``close`` of the error.
+
+    Long lengths weigh more: one that is left over takes a sequence, a short one a gap.
+    """
     index = np.array([k for c in columns for k in c])
     owner = np.repeat(np.arange(len(columns)), [len(c) for c in columns])
-    weight = 1 / np.sqrt(np.maximum(target, 1.0))
+    weight = np.arange(len(target)) / np.sqrt(np.maximum(target, 1.0)) / len(target)
 
     def times(x: np.ndarray) -> np.ndarray:
         return np.bincount(index, x[owner], len(target)) * weight
@@ -85,14 +100,20 @@ def nnls(columns: list[tuple[int, ...]], target: np.ndarray, rounds: int = 400)
         v /= np.linalg.norm(v) or 1.0
     rate = 1 / max(1e-12, float(v @ back(times(v))) * 1.05)
     x, y, t, want = np.zeros(len(columns)), np.zeros(len(columns)), 1.0, target * weight
-    for _ in range(rounds):
+    before = float(want @ want)
+    for k in range(1, rounds + 1):
         new = np.maximum(0.0, y - rate * back(times(y) - want))
         s = (1 + (1 + 4 * t * t) ** 0.5) / 2
         y, x, t = new + (t - 1) / s * (new - x), new, s
+        if k % 100 == 0:
+            error = float(np.square(times(x) - want).sum())
+            if before - error <= close * max(before, 1e-9):
+                break
+            before = error
     return x
 
 
-def plan(histogram: np.ndarray, limit: int) -> list[tuple[tuple[int, ...], int]]:
+def plan(histogram: np.ndarray, limit: int, most: int | None = None) -> list[tuple[tuple[int, ...], int]]:
     """(pattern, repeats) that use up the histogram of lengths 0..limit exactly."""
     left = histogram.astype(np.int64).copy()
     out: list[tuple[tuple[int, ...], int]] = []
@@ -102,7 +123,7 @@ def plan(histogram: np.ndarray, limit: int) -> list[tuple[tuple[int, ...], int]]
         for k in pattern:
             left[k] -= times
 
-    found = patterns(limit, left > 0)
+    found = patterns(limit, left > 0, most)
     if found:
         for pattern, x in zip(found, np.floor(nnls(found, left.astype(float)) + 1e-9).astype(np.int64).tolist()):
             times = min([x, *(int(left[k]) // pattern.count(k) for k in pattern)])
