@@ -24,7 +24,7 @@ def brute(docs):
             w = ["".join(c.lower() if c.isascii() else c for c in y) for y in re.findall(r"[^\x20\x09-\x0D]+", x)]
             if w:
                 found.append((d, k, w))
-    gone = {(d, k) for i, (d, k, w) in enumerate(found) if len(w) >= lines.LEAST and any(near(w, v) for _, _, v in found[:i] if len(v) >= lines.LEAST)}
+    gone = {(d, k) for i, (d, k, w) in enumerate(found) if any(near(w, v) for _, _, v in found[:i])}
     out = {}
     for d, t in docs.items():
         left = "\n".join(x for k, x in enumerate((t or "").split("\n")) if (d, k) not in gone)
@@ -73,3 +73,26 @@ def test_second_hash_is_another():
     w = words(pa.array(["a b a", "c"]))
     h, other = w.hashes(), lines._second(w)
     assert other[0] == other[2] and len(set(other.tolist()) | set(h.tolist())) == 6
+
+
+def test_distance_by_words():
+    rnd = random.Random(4)
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, last = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+        return row[-1]
+
+    for _ in range(3000):
+        a, b = ([rnd.choice("xyz") for _ in range(rnd.randrange(1, 7))] for _ in range(2))
+        assert lines.within(" ".join(a), " ".join(b)) == (distance(a, b) <= 1)
+
+
+def test_unlike_texts_under_one_id_and_near_as_a_parameter(spark):
+    a, b = "one two three four five six", "one two three four five seven"
+    df = spark.createDataFrame([(1, a), (1, b), (2, b), (2, "other")], "doc_id long, text string").repartition(4)
+    assert sorted((r.doc_id, r.text) for r in lines.dedup(df).collect()) == sorted([(1, a), (1, b), (2, ""), (2, "other")])
+    assert sum(r.n_removed for r in lines.dedup(df, near=2).collect()) == 2

@@ -55,11 +55,23 @@ def test_runs_are_compacted_and_keep_their_order(spark):
     rnd = random.Random(1)
     for k in range(4):
         batch = spark.createDataFrame([(k * 10 + i, " ".join(str(rnd.random()) for _ in range(40))) for i in range(5)], "doc_id long, text string")
-        index.add(batch, None)
-    assert len(index.runs) <= 2
-    assert sum(spark.table(r).select("doc_id").distinct().count() for r in index.runs) == 20
+        index.add(substrings.prints(batch, None))
+    assert len(index.runs) <= 2 and index.compactions == 1
+    ids = [x for r in index.runs for row in spark.table(r).collect() for x in (row.least, row.most)]
+    assert (min(ids), max(ids)) == (0, 34)
     with pytest.raises(ValueError):
-        index.add(batch, None)
+        index.add(substrings.prints(batch, None))
+    name = index.runs[0]
+    index.close()
+    assert not spark.catalog.tableExists(name)
+
+
+def test_default_batches_compact(spark, monkeypatch):
+    seen = []
+    compact = substrings.FingerprintIndex.compact
+    monkeypatch.setattr(substrings.FingerprintIndex, "compact", lambda self: (seen.append(len(self.runs)), compact(self)))
+    df = spark.createDataFrame([(i, " ".join(str(j) for j in range(i, i + 30))) for i in range(100)], "doc_id long, text string")
+    assert substrings.digest(df).count() == 100 and seen == [3]
 
 
 def test_repeated_rows_and_empty_table(spark):

@@ -30,13 +30,13 @@ def place(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path)
 
 
-def put(path: str, name: str, data: np.ndarray) -> None:
+def put(path: str, name: str, data: np.ndarray | pa.Buffer) -> None:
     """Write to a name of its own, then move, so that no half-written file is ever read."""
     where, base = place(path)
     where.create_dir(base, recursive=True)
     own = f"{base}/.{name}-{os.getpid()}-{os.urandom(4).hex()}"
     with where.open_output_stream(own) as out:
-        out.write(np.ascontiguousarray(data))
+        out.write(data if isinstance(data, pa.Buffer) else np.ascontiguousarray(data))
     where.move(own, f"{base}/{name}")
 
 
@@ -78,29 +78,43 @@ def write(df: DataFrame, key: str, values: dict[str, str], name: str) -> str:
     return path
 
 
+def put_counts(path: str, name: str, keys: np.ndarray, counts: np.ndarray) -> None:
+    """Counts of ascending keys as bytes, and those that a byte can't hold again with their keys."""
+    many = counts >= 255
+    put(path, f"{name}.count", np.minimum(counts, 255).astype(np.uint8))
+    put(path, f"{name}.more", np.concatenate((keys[many], counts[many])).astype("<i8"))
+
+
 class Arrays:
-    """The arrays of one path; keys ascend as signed numbers."""
+    """The arrays of one path; keys ascend as signed numbers.  A column of kind ``count`` is one of ``put_counts``."""
 
     def __init__(self, path: str, key: str, values: dict[str, str]):
         where, base = place(path)
         names = sorted(x.base_name for x in where.get_file_info(fs.FileSelector(base)) if x.base_name.endswith("." + key) and not x.base_name.startswith("."))
         self.firsts = np.array([int(n.split(".")[0]) - (1 << 63) for n in names], np.int64)
-        self.shards = [(mapped(path, n, "<i8"), {c: mapped(path, n.removesuffix(key) + c, kind) for c, kind in values.items()}) for n in names]
-        self.kinds = values
+        stored = {c: "u1" if kind == "count" else kind for c, kind in values.items()}
+        self.shards = [(mapped(path, n, "<i8"), {c: mapped(path, n.removesuffix(key) + c, kind) for c, kind in stored.items()}) for n in names]
+        self.more = [mapped(path, n.removesuffix(key) + "more", "<i8") for n in names] if "count" in values.values() else []
+        self.kinds = {c: "<i8" if kind == "count" else kind for c, kind in values.items()}
+        self.counted = [c for c, kind in values.items() if kind == "count"]
 
     def get(self, keys: np.ndarray, missing: dict[str, float]) -> dict[str, np.ndarray]:
         """The values of ascending keys; missing where a key isn't there."""
         out = {c: np.full(len(keys), missing[c], self.kinds[c]) for c in self.kinds}
         cuts = [*np.searchsorted(keys, self.firsts).tolist(), len(keys)]
-        for (found, values), a, b in zip(self.shards, cuts, cuts[1:]):
+        for i, ((found, values), a, b) in enumerate(zip(self.shards, cuts, cuts[1:])):
             if b > a:
                 at = np.minimum(np.searchsorted(found, keys[a:b]), len(found) - 1)
                 hit = np.flatnonzero(found[at] == keys[a:b])
                 for c, v in values.items():
                     out[c][a + hit] = v[at[hit]]
+                for c in self.counted:
+                    many = np.flatnonzero(out[c][a:b] == 255) + a
+                    if len(many):
+                        large = self.more[i].reshape(2, -1)
+                        out[c][many] = large[1][np.searchsorted(large[0], keys[many])]
         return out
 
-
     def rank(self, keys: np.ndarray) -> np.ndarray:
         """The places of the ascending keys among all of them, -1 for one that isn't there."""
         out = np.full(len(keys), -1, np.int64)
@@ -114,16 +128,6 @@ class Arrays:
             before += len(found)
         return out
 
-    def has(self, keys: np.ndarray) -> np.ndarray:
-        """Which of the ascending keys are there."""
-        out = np.zeros(len(keys), bool)
-        cuts = [*np.searchsorted(keys, self.firsts).tolist(), len(keys)]
-        for (found, _), a, b in zip(self.shards, cuts, cuts[1:]):
-            if b > a:
-                at = np.minimum(np.searchsorted(found, keys[a:b]), len(found) - 1)
-                out[a:b] = found[at] == keys[a:b]
-        return out
-
 
 @functools.lru_cache(maxsize=16)
 def opened(path: str, key: str, values: tuple[tuple[str, str], ...]) -> Arrays:

@@ -11,7 +11,8 @@ A group that shares a shingle isn't paired with itself: each member first meets
 the fewest shingles of its own, links are united, and only members whose components still
 differ meet after that.  So no link between components is lost, and a group of near copies
 costs a pair a member.  A pair meets at a shared shingle only if what both have from there on
-in the global order can reach the threshold.
+in the global order can reach the threshold.  Shingles are 64-bit hashes, and overlaps are
+counted on all 64 bits.
 
 Cases: texts with fewer words than ``n`` have the whole sequence as their one shingle; texts
 without words and nulls have none and link with nothing; texts of any length are taken
@@ -30,10 +31,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.llm import arrays
+from tollgate.llm import counting, parts
 from tollgate.llm.components import components
-from tollgate.llm.counting import counts
-from tollgate.llm.tables import arrow_map, kept, rows
+from tollgate.llm.tables import arrow_map, kept, rows, steady
 from tollgate.llm.words import blocks, grams, group_order, inside, mix, sums, words
 
 FRAGMENTS = 12
@@ -65,87 +65,84 @@ def _set_hashes(block: pa.RecordBatch, n: int) -> tuple[pa.Array, pa.Array, pa.A
 
 
 def classes(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, n_shingles, a, b (of the set's hash), class_id: the smallest doc_id with an equal set; null for a document without shingles."""
+    """doc_id, n_shingles, a, b (of the set's hash), part (of docs), class_id: the smallest doc_id with an equal set; null for a document without shingles."""
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for block in blocks(batch):
             count, a, b = _set_hashes(block, n)
-            yield rows(doc_id=block.column("doc_id"), n_shingles=count, a=a, b=b)
+            yield rows(doc_id=block.column("doc_id"), n_shingles=count, a=a, b=b, part=pa.array(np.full(block.num_rows, parts.here()), pa.int32()))
 
-    sets = kept(arrow_map(docs, each, "doc_id long, n_shingles long, a long, b long"), "sets")
+    sets = kept(arrow_map(docs, each, "doc_id long, n_shingles long, a long, b long, part int"), "sets")
     same = sets.where("n_shingles > 0").groupBy("a", "b", "n_shingles").agg(F.min("doc_id").alias("class_id"))
     same = kept(same, "same")  # both sides of the join are plain exchanges, so that a large class is split
-    return sets.join(same, ["a", "b", "n_shingles"], "left").select("doc_id", "n_shingles", "a", "b", "class_id")
+    return sets.join(same, ["a", "b", "n_shingles"], "left").select("doc_id", "n_shingles", "a", "b", "part", "class_id")
 
 
-def _firsts_of(block: pa.RecordBatch, path: str) -> pa.RecordBatch:
-    """The rows of a block whose doc_id is in the array, and those that stand for a repeated one."""
-    ids = block.column("doc_id").to_numpy()
-    up = np.argsort(ids, kind="stable")
-    here = np.empty(len(ids), bool)
-    here[up] = arrays.opened(path, "key", ()).has(ids[up])
-    return block.filter(pa.array(here | block.column("once").to_numpy(zero_copy_only=False)))
+def _firsts_of(block: pa.RecordBatch, ids: np.ndarray) -> pa.RecordBatch:
+    """The rows of a block whose doc_id is among the ascending ids, and those that stand for a repeated one."""
+    own = block.column("doc_id").fill_null(0).to_numpy()
+    there = block.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
+    return block.filter(pa.array((parts.among(own, ids) & there) | block.column("once").to_numpy(zero_copy_only=False)))
 
 
 def _once(docs: DataFrame, classed: DataFrame, n: int) -> tuple[DataFrame, str]:
-    """doc_id, text, once; and an array of doc_ids: their rows, and those with ``once``, are a row for each first of a class over the whole table."""
-    ids = classed.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("times"), F.max(F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False))).alias("first"))
-    ids = kept(ids.where("first").select(F.col("doc_id").alias("key"), "times"), "ids")
-    single = arrays.write(ids.where("times = 1").select("key"), "key", {}, "firsts")
+    """doc_id, text, once; and a path of doc_ids by part: their rows, and those with ``once``, are a row for each first of a class over the whole table."""
+    known = classed.where("doc_id is not null")
+    ids = known.groupBy("doc_id").agg(F.count("*").alias("times"), F.max(F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False))).alias("first"), F.min("part").alias("part"))
+    ids = kept(ids.where("first").select("doc_id", "times", "part"), "ids")
+    single = parts.write(ids.where("times = 1").select("part", "doc_id"), "firsts")
     docs = docs.select("doc_id", "text", F.lit(False).alias("once"))
     if ids.where("times > 1").isEmpty():
         return docs, single
-    again = arrays.write(ids.where("times > 1").select("key"), "key", {}, "repeated")
+    again = parts.write(known.join(ids.where("times > 1").select("doc_id"), "doc_id", "left_semi").select("part", "doc_id").distinct(), "again")
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for block in blocks(batch):
-            block = _firsts_of(block, again)
+            block = _firsts_of(block, parts.longs(again, "doc_id"))
             _, a, b = _set_hashes(block, n)
             yield rows(doc_id=block.column("doc_id"), text=block.column("text"), a=a, b=b)
 
     # only texts of repeated ids are shuffled, one for each set and task
     one = arrow_map(docs, each, "doc_id long, text string, a long, b long").groupBy("doc_id", "a", "b").agg(F.min("text").alias("text"))
-    chosen = classed.where("doc_id = class_id").groupBy("doc_id").agg(F.min(F.struct("a", "b")).alias("set")).select("doc_id", "set.a", "set.b")
+    chosen = known.where("doc_id = class_id").groupBy("doc_id").agg(F.min(F.struct("a", "b")).alias("set")).select("doc_id", "set.a", "set.b")
     one = kept(one.join(chosen, ["doc_id", "a", "b"], "left_semi").select("doc_id", "text", F.lit(True).alias("once")), "once")
-    return docs.union(one), single
+    return docs.union(one), single  # a union's first partitions are those of docs
 
 
 def _shared(docs: DataFrame, n: int, percent: int, firsts: str) -> DataFrame:
-    """doc_id, n, u (shingles that no other class has), order (count and hash of the others) of classes that can link."""
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spec = (("n", "<i8"),)
+    """doc_id, n, u (shingles that no other class has), order (hashes of the others by count and hash), cut (what the order is cut by) of classes that can link."""
+    ranges = counting.ranges(docs)
 
-    counted = counts(docs, lambda block: shingles(_firsts_of(block, firsts).column("text"), n)[0], buckets, 2)
-    table = arrays.write(counted.select("key", F.col("count").alias("n")), "key", dict(spec), "shingles")
+    def read(block: pa.RecordBatch) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray]:
+        block = _firsts_of(block, parts.longs(firsts, "doc_id"))
+        return block, *shingles(block.column("text"), n)
 
-    def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batch):
-            block = _firsts_of(block, firsts)
-            value, first = shingles(block.column("text"), n)
-            total = np.diff(first)
-            own = np.sort(value.view(np.int64))
-            times = arrays.opened(table, "key", spec).get(own, {"n": 1})["n"]
-            many = own[times > 1]
-            at = np.minimum(np.searchsorted(many, value.view(np.int64)), max(0, len(many) - 1))
-            hit = many[at] == value.view(np.int64) if len(many) else np.zeros(len(value), bool)
-            count = np.ones(len(value), np.int64)
-            count[hit] = times[times > 1][at[hit]]
+    answers = counting.answered(docs, lambda block: read(block)[1], ranges, "shingles")
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked = counting.Answers(answers, ranges)
+        for k, block in enumerate(block for batch in batches for block in blocks(batch, size=counting.BLOCK)):
+            block, value, first = read(block)
+            count = asked.counts(k, value)
+            hit, total = count > 1, np.diff(first)
             alone = sums(~hit, first)
             # the best partner has all the others and nothing else
             can = np.flatnonzero((100 * (total - alone) >= percent * total) & (total > 0))
-            ids = block.column("doc_id").to_numpy()[can]
-            order = []
+            order, cut = [], []
             for d in can.tolist():
                 some = np.flatnonzero(hit[first[d] : first[d + 1]]) + first[d]
-                # 23 bits of the count before 40 of the hash
-                order.append(np.sort((np.minimum(count[some], (1 << 23) - 1) << 40) | (value[some] >> np.uint64(24)).astype(np.int64)))
-            yield rows(doc_id=pa.array(ids, pa.int64()), n=pa.array(total[can], pa.int64()), u=pa.array(alone[can], pa.int64()), order=pa.array(order, pa.list_(pa.int64())))
+                some = some[np.lexsort((value[some], count[some]))]
+                order.append(value[some].view(np.int64))
+                # ascends with the order: the count, then the first bits of the hash; shingles of the highest counts are cut together
+                most = (1 << 23) - 1
+                cut.append(np.where(count[some] < most, (count[some] << 40) | (value[some] >> np.uint64(24)).astype(np.int64), most << 40))
+            yield rows(doc_id=block.column("doc_id").take(pa.array(can)), n=pa.array(total[can], pa.int64()), u=pa.array(alone[can], pa.int64()), order=pa.array(order, pa.list_(pa.int64())), cut=pa.array(cut, pa.list_(pa.int64())))
 
-    return kept(arrow_map(docs, each, "doc_id long, n long, u long, `order` array<long>"), "shared")
+    return kept(arrow_map(docs, each, "doc_id long, n long, u long, `order` array<long>, cut array<long>", whole=True), "shared")
 
 
-def _between(lo: int, hi: int):
-    return lambda o: (o > F.lit(lo)) & (o <= F.lit(hi))
+def _to(edge: int):
+    return lambda x: x <= F.lit(edge)
 
 
 def overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
@@ -161,11 +158,14 @@ def links(docs: DataFrame, classed: DataFrame, n: int, percent: int, fragments:
     once, firsts = _once(docs, classed, n)
     shared = _shared(once, n, percent, firsts)
     # cut the global order at its quantiles
-    orders = shared.select(F.explode("order").alias("o"))
-    bounds = sorted({int(x) for x in orders.approxQuantile("o", [i / fragments for i in range(1, fragments)], 0.02)}) if fragments > 1 else []
+    cuts = shared.select(F.explode("cut").alias("o"))
+    bounds = sorted({int(x) for x in cuts.approxQuantile("o", [i / fragments for i in range(1, fragments)], 0.02)}) if fragments > 1 else []
     edges = [-1, *bounds, (1 << 63) - 1]
-    cut = F.explode(F.array(*[F.struct(F.lit(i).alias("fragment"), F.filter("order", _between(lo, hi)).alias("part")) for i, (lo, hi) in enumerate(zip(edges, edges[1:]))]))
-    segments = kept(shared.select("doc_id", cut.alias("s")).select("doc_id", "s.fragment", "s.part").where(F.size("part") > 0), "segments")
+    upto = {e: F.size(F.filter("cut", _to(e))) for e in edges}
+    at = shared.select("doc_id", "order", *[upto[e].alias(f"upto{i}") for i, e in enumerate(edges)])
+    part = lambda i: F.slice("order", F.col(f"upto{i}") + 1, F.col(f"upto{i + 1}") - F.col(f"upto{i}"))
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("fragment"), part(i).alias("part")) for i in range(len(edges) - 1)]))
+    segments = kept(at.select("doc_id", each.alias("s")).select("doc_id", "s.fragment", "s.part").where(F.size("part") > 0), "segments")
     sizes = shared.select("doc_id", "n", "u")
     # the prefix of the whole set begins with the u shingles of its own
     length = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1 - F.col("u")
@@ -200,8 +200,9 @@ def links(docs: DataFrame, classed: DataFrame, n: int, percent: int, fragments:
 
 def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id of every document; ``percent`` is the least Jaccard similarity of a link, times 100."""
+    docs = steady(docs.select("doc_id", "text"))
     classed = kept(classes(docs, n), "classes")
-    grouped = links(docs.where("doc_id is not null"), classed, n, percent).select(F.col("id").alias("class_id"), "component")
+    grouped = links(docs, classed, n, percent).select(F.col("id").alias("class_id"), "component")
     out = classed.join(grouped, "class_id", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "class_id", "doc_id")).alias("component_id"))
 

@@ -25,14 +25,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollgate.llm import arrays
-from tollgate.llm.counting import added, by_bucket, counts, packs
+from tollgate.llm.counting import added, by_bucket, counts, packs, ranges
 from tollgate.llm.tables import arrow_map, kept, rows, scratch
 from tollgate.llm.words import Words, blocks, group_order, mix, sums, words
 
 END = np.uint64(0x0E4D5F10CA7E5EED)
-WORD, PAIR, CONTEXT = (("count", "<i8"),), (("count", "<u4"),), (("total", "<f8"), ("gamma", "<f8"), ("cont", "<f8"))
+WORD, PAIR, CONTEXT = (("count", "<i8"),), (("count", "count"),), (("total", "<f8"), ("gamma", "<f8"), ("cont", "<f8"))
 BLOCK = 6 << 20
 _M64 = (1 << 64) - 1
+UNKNOWN = 0xFFFFFFFF  # the number of a word that isn't in the vocabulary
 
 
 def unmixed(h: np.ndarray, seed: int) -> np.ndarray:
@@ -83,7 +84,7 @@ def pair_keys(t: Tokens, start: int) -> np.ndarray:
     before = np.empty(len(now), np.int64)
     before[1:] = now[:-1]
     before[t.first[:-1]] = start
-    return mix((before.astype(np.uint64) << np.uint64(32)) | (now.astype(np.uint64) & np.uint64(0xFFFFFFFF)), 61)
+    return mix((before.astype(np.uint64) << np.uint64(32)) | (now.astype(np.uint64) & np.uint64(UNKNOWN)), 61)
 
 
 def signed(key: np.ndarray) -> np.ndarray:
@@ -114,23 +115,24 @@ class Model:
 def train(docs: DataFrame) -> Model | None:
     """The model of all texts of docs; None without rows."""
     spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = ranges(docs)
     words_ = kept(counts(docs, lambda block: tokens(words(block.column("text"), lower=True))[0], buckets), "words")
     size, total = words_.agg(F.count("*"), F.sum("count")).first()
     if not size:
         return None
-    assert size < 1 << 31
+    if size >= UNKNOWN:
+        raise ValueError(f"{size} distinct words can't be numbered in 32 bits")
     vocabulary = arrays.write(words_, "key", dict(WORD), "vocabulary")
     path = scratch(spark, "pairs")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, group in by_bucket(batches):
-            key, count = added(group)
+            key, count = added((k, c) for _, _, k, c in group)
             name = f"{int(signed(key[:1])[0]) + (1 << 63):020d}"
-            arrays.put(path, f"{name}.count", np.minimum(count, 2**32 - 1).astype("<u4"))
+            arrays.put_counts(path, name, signed(key), count)
             arrays.put(path, f"{name}.key", signed(key))
             pair = unmixed(key, 61)
-            ids = np.concatenate((pair >> np.uint64(32), pair & np.uint64(0xFFFFFFFF))).astype(np.int64)
+            ids = np.concatenate((pair >> np.uint64(32), pair & np.uint64(UNKNOWN))).astype(np.int64)
             none = np.zeros(len(key), np.int64)
             columns = [np.concatenate((x, none)) for x in (count, count == 1, count == 2, count >= 3)] + [np.concatenate((none, none + 1))]
             order = np.argsort(ids, kind="stable")

@@ -1,21 +1,21 @@
 """Line dedup by a join on deletion neighbourhoods.
 
 A line is what stands between line ends; its words are compared with A-Z lower-cased.  Lines
-without words are left alone.  Lines of ``NEAR`` words or more are near when one word
+without words are left alone.  Lines of ``near`` words or more are near when one word
 inserted, deleted or replaced turns one into the other; shorter ones must be equal.  A line
 goes if a near one stands before it, in the order of (doc_id, line number).
 
-Equal lines are joined first, and only the earliest of them has a neighbourhood: its own
-words and its words without any one of them, as hashed keys.  Keys that two lines have are
-joined; where both left out a word, the distance is one just if they left out the same
-place, and where one left out nothing it is always one.  So the earliest line of each (key,
-place) and each key decides, and no pair of lines is ever formed.  Keys of 64 bits only choose
-the candidates; a line goes if a second hash of the same words, from other hashes of their
-bytes, is equal too, which with the places verifies the distance.
+Equal lines are joined first, by 128 bits of their words' hashes, and only the earliest of
+them has a neighbourhood: its own words and its words without any one of them, as hashed
+keys.  Keys that two lines have are joined; where both left out a word, the distance is one
+just if they left out the same place, and where one left out nothing it is always one.  So
+the earliest line of each (key, place) and each key decides, and no pair of lines is ever
+formed but the one that decides: its edit distance is computed from the words themselves
+before the later line goes.
 
 Cases: a null text has no line with words; texts and lines of any length are taken whole;
 equal rows with one doc_id don't remove each other's lines, and of unlike texts under one
-doc_id both lose a line number that either loses; rows with a null doc_id keep all; an empty
+doc_id the one with the smaller digest comes first; rows with a null doc_id keep all; an empty
 table gives no rows; a clashing column is ignored.
 """
 
@@ -28,12 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.llm import arrays
-from tollgate.llm.counting import counts
-from tollgate.llm.tables import arrow_map, kept, rows
+from tollgate.llm import counting, parts
+from tollgate.llm.tables import arrow_map, kept, rows, steady
 from tollgate.llm.words import Words, blocks, mix, span_hashes, words
 
-LEAST, NEAR = 1, 10
+#: Lines of fewer words go if equal; a changed word of very few is another sentence, not a near copy.
+NEAR = 10
 _F = 0x9E6C63D0876A9A35
 
 
@@ -76,22 +76,17 @@ def neighbourhoods(h: np.ndarray, first: np.ndarray, some: np.ndarray) -> tuple[
     return whole, line, at, out
 
 
-def uid(doc_id: np.ndarray, number: np.ndarray) -> np.ndarray:
-    return mix(mix(doc_id.astype(np.uint64), 81) + number.astype(np.uint64), 83).view(np.int64)
-
-
-def _has(path: str, name: str, values: np.ndarray) -> np.ndarray:
-    up = np.argsort(values, kind="stable")
-    out = np.empty(len(values), bool)
-    out[up] = arrays.opened(path, name, ()).has(values[up])
-    return out
+def uid(doc_id: np.ndarray, number: np.ndarray, row: np.ndarray) -> np.ndarray:
+    return mix(mix(mix(doc_id.astype(np.uint64), 81) + number.astype(np.uint64), 83) + row.view(np.uint64), 85).view(np.int64)
 
 
 def _read(block: pa.RecordBatch):
+    """Words; and of lines with words the first word, doc_id, number and the text's digest."""
     w = words(block.column("text"), lower=True)
     first, doc, number = lines(w)
     ids = block.column("doc_id").to_numpy()[doc] if len(doc) else np.zeros(0, np.int64)
-    return w, first, ids, number
+    row = span_hashes(w.data, w.offsets[:-1], w.offsets[1:]).view(np.int64)[doc]
+    return w, first, ids, number, row
 
 
 def _second(w: Words) -> np.ndarray:
@@ -99,73 +94,125 @@ def _second(w: Words) -> np.ndarray:
     return mix(span_hashes(w.data ^ np.uint8(0xA5), w.starts, w.ends), 77)
 
 
-def removed(docs: DataFrame) -> DataFrame:
-    """doc_id, line: the lines that go."""
-    docs = docs.where("doc_id is not null").select("doc_id", "text")
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def within(a: str, b: str) -> bool:
+    """Whether one word inserted, deleted or replaced, or none, turns one line into the other."""
+    x, y = a.split(" "), b.split(" ")
+    if abs(len(x) - len(y)) > 1:
+        return False
+    short, long = min(len(x), len(y)), max(len(x), len(y))
+    head = 0
+    while head < short and x[head] == y[head]:
+        head += 1
+    tail = 0
+    while tail < short - head and x[-1 - tail] == y[-1 - tail]:
+        tail += 1
+    return long - head - tail <= 1
+
+
+def verified(pairs: DataFrame) -> DataFrame:
+    """doc_id, line, row, part of the pairs (with words and earlier_words) whose edit distance is one at the most."""
+
+    def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        ok = [within(a, b) for a, b in zip(batch.column("words").to_pylist(), batch.column("earlier_words").to_pylist())]
+        yield batch.filter(pa.array(ok, pa.bool_())).select(["doc_id", "line", "row", "part"])
+
+    return arrow_map(pairs.select("doc_id", "line", "row", "part", "words", "earlier_words"), each, "doc_id long, line long, row long, part int")
+
+
+def removed(docs: DataFrame, near: int = NEAR) -> DataFrame:
+    """doc_id, line, row (digest of the text), part (of docs): the lines that go."""
+    docs = docs.select("doc_id", "text")
+    there = lambda block: block.filter(block.column("doc_id").is_valid())
 
     def whole(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batch):
-            w, first, ids, number = _read(block)
+        for block in map(there, blocks(batch)):
+            w, first, ids, number, row = _read(block)
             key, check = (neighbourhoods(h, first, np.zeros(0, np.int64))[0] for h in (w.hashes(), _second(w)))
-            some = np.diff(first) >= LEAST
-            yield rows(key=pa.array(key[some].view(np.int64)), check=pa.array(check[some].view(np.int64)), doc_id=pa.array(ids[some], pa.int64()), line=pa.array(number[some], pa.int64()))
+            yield rows(key=pa.array(key.view(np.int64)), check=pa.array(check.view(np.int64)), doc_id=pa.array(ids, pa.int64()), line=pa.array(number, pa.int64()), row=pa.array(row, pa.int64()), part=pa.array(np.full(len(ids), parts.here()), pa.int32()))
 
-    every = kept(arrow_map(docs, whole, "key long, check long, doc_id long, line long"), "lines")
-    place = F.struct("doc_id", "line")
-    earliest = every.groupBy("key", "check").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    late = every.join(earliest.where("first < last").select("key", "check", "first"), ["key", "check"]).where(place > F.col("first")).select("doc_id", "line")
-    mixed = arrow_map(earliest.select("first.doc_id", "first.line"), lambda b: iter([rows(uid=pa.array(uid(b.column("doc_id").to_numpy(), b.column("line").to_numpy())))]), "uid long")
-    firsts = arrays.write(mixed.distinct(), "uid", {}, "earliest")
+    place = F.struct("doc_id", "line", "row")
+    every = kept(arrow_map(docs, whole, "key long, check long, doc_id long, line long, row long, part int"), "lines")
+    repeated = every.groupBy("key", "check").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last")
+    # written, so that both sides of the join are plain exchanges, of which a line that very many documents have is split
+    repeated = kept(repeated.select("key", "check", "first"), "repeated")
+    late = kept(every.join(repeated, ["key", "check"]).where(place > F.col("first")).select("doc_id", "line", "row", "part"), "late")
+    later = parts.write(_uids(late), "late")
 
     def around(block: pa.RecordBatch):
-        w, first, ids, number = _read(block)
+        """The words and lines of a block; keys of the neighbourhoods that it asks about, with those who leave out nothing first; and of every variant the key, line and place, and which of the asked keys it has."""
+        w, first, ids, number, row = _read(there(block))
+        some = np.flatnonzero(np.diff(first) >= near)
+        some = some[~parts.among(uid(ids[some], number[some], row[some]), parts.longs(later, "uid"))]
         h = w.hashes()
-        some = np.flatnonzero((np.diff(first) >= NEAR))
-        some = some[_has(firsts, "uid", uid(ids[some], number[some]))]
         key, line, at, out = neighbourhoods(h, first, some)
-        return w, h, first, ids, number, some, key, line, at, out
-
-    def keys_of(block: pa.RecordBatch) -> np.ndarray:
-        _, h, first, _, _, some, key, line, at, out = around(block)
         i = first[line] + at
-        again = (at > 0) & (h[i] == h[i - 1])  # leaves the same words as the place before
-        return np.concatenate((key[some], out[~again]))
-
-    shared = arrays.write(counts(docs, keys_of, buckets, 2).select(F.col("key")), "key", {}, "variants")
-
-    def joined(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batch):
-            w, _, first, ids, number, some, key, line, at, out = around(block)
+        new = np.ones(len(some) + len(out), bool)
+        new[len(some) :] = ~((at > 0) & (h[i] == h[i - 1]))  # else it leaves the same words as the place before
+        out = np.concatenate((key[some], out))
+        return (w, first, ids, number, row, some), out[new], (out, np.concatenate((some, line)), np.concatenate((np.full(len(some), -1), at)), np.cumsum(new) - 1)
+
+    ranges = counting.ranges(docs)
+    answers = counting.answered(docs, lambda block: around(block)[1], ranges, "variants")
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, part = counting.Answers(answers, ranges), parts.here()
+        for k, block in enumerate(block for batch in batches for block in blocks(batch, size=counting.BLOCK)):
+            (w, first, ids, number, row, some), keys, (out, line, at, which) = around(block)
+            hit = (asked.counts(k, keys) > 1)[which]
             key2, _, _, out2 = neighbourhoods(_second(w), first, some)
-            check = np.concatenate((key2[some], out2)).view(np.int64)
-            line, at, out = np.concatenate((some, line)), np.concatenate((np.full(len(some), -1), at)), np.concatenate((key[some], out)).view(np.int64)
-            hit = _has(shared, "key", out)
+            check = np.concatenate((key2[some], out2)).view(np.int64)[hit]
             line = line[hit]
-            yield rows(key=pa.array(out[hit]), check=pa.array(check[hit]), place=pa.array(at[hit], pa.int32()), doc_id=pa.array(ids[line], pa.int64()), line=pa.array(number[line], pa.int64()))
-
-    near = kept(arrow_map(docs, joined, "key long, check long, place int, doc_id long, line long"), "near")
-    same = near.groupBy("key", "check", "place").agg(F.min(place).alias("same"))
-    sides = near.groupBy("key", "check").agg(F.min(F.when(F.col("place") < 0, place)).alias("complete"), F.min(F.when(F.col("place") >= 0, place)).alias("cut"))
-    met = near.join(same, ["key", "check", "place"]).join(sides, ["key", "check"])
+            kept_ = np.unique(line)
+            blob = w.data.tobytes()
+            text = [b" ".join(blob[a:b].split()).decode() for a, b in zip(w.starts[first[kept_]].tolist(), w.ends[first[kept_ + 1] - 1].tolist())]
+            line, none = np.concatenate((line, kept_)), np.zeros(len(kept_), np.int64)
+            yield rows(
+                key=pa.array(np.concatenate((out.view(np.int64)[hit], none))),
+                check=pa.array(np.concatenate((check, none))),
+                place=pa.array(np.concatenate((at[hit], none - 2)), pa.int32()),
+                doc_id=pa.array(ids[line], pa.int64()),
+                line=pa.array(number[line], pa.int64()),
+                row=pa.array(row[line], pa.int64()),
+                part=pa.array(np.full(len(line), part), pa.int32()),
+                words=pa.array([None] * int(hit.sum()) + text, pa.string()),
+            )
+
+    # place -1: the whole line; -2: not a key, but the line's words
+    found = kept(arrow_map(docs, joined, "key long, check long, place int, doc_id long, line long, row long, part int, words string", whole=True), "near")
+    variants = found.where("place >= -1").drop("words")
+    same = variants.groupBy("key", "check", "place").agg(F.min(place).alias("same"))
+    sides = variants.groupBy("key", "check").agg(F.min(F.when(F.col("place") < 0, place)).alias("complete"), F.min(F.when(F.col("place") >= 0, place)).alias("cut"))
+    first = kept(same.join(sides, ["key", "check"]), "sides")
     before = F.when(F.col("place") < 0, F.col("cut")).otherwise(F.least("same", "complete"))
-    return late.union(met.where(before < place).select("doc_id", "line")).distinct()
+    met = variants.join(first, ["key", "check", "place"]).withColumn("before", before).where(F.col("before") < place)
+    pairs = met.select("doc_id", "line", "row", "part", F.col("before.doc_id").alias("d"), F.col("before.line").alias("l"), F.col("before.row").alias("r")).distinct()
+    spelled = found.where("place = -2").groupBy("doc_id", "line", "row").agg(F.min("words").alias("words"))
+    earlier = spelled.select(F.col("doc_id").alias("d"), F.col("line").alias("l"), F.col("row").alias("r"), F.col("words").alias("earlier_words"))
+    return late.union(verified(pairs.join(spelled, ["doc_id", "line", "row"]).join(earlier, ["d", "l", "r"]))).distinct()
+
+
+def _uids(gone: DataFrame) -> DataFrame:
+    def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        yield rows(uid=pa.array(uid(*(batch.column(c).to_numpy() for c in ("doc_id", "line", "row")))), part=batch.column("part"))
+
+    return arrow_map(gone, each, "uid long, part int")
 
 
-def dedup(docs: DataFrame, columns: tuple[str, ...] = ()) -> DataFrame:
+def dedup(docs: DataFrame, columns: tuple[str, ...] = (), near: int = NEAR) -> DataFrame:
     """doc_id, n_lines (with words), n_removed, text of the lines that stay, other columns."""
-    gone = removed(docs)
-    mixed = arrow_map(gone, lambda b: iter([rows(uid=pa.array(uid(b.column("doc_id").to_numpy(), b.column("line").to_numpy())))]), "uid long")
-    path = arrays.write(mixed.distinct(), "uid", {}, "removed")
     kinds = dict(docs.dtypes)
+    docs = steady(docs.select("doc_id", "text", *columns))
+    path = parts.write(_uids(removed(docs, near)), "removed")
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        gone = parts.longs(path, "uid")
         for block in blocks(batch):
             w = words(block.column("text"), lower=True)
             _, doc, number = lines(w)
             ids = block.column("doc_id").fill_null(0).to_numpy()
             null = block.column("doc_id").is_null().to_numpy(zero_copy_only=False)
-            out = _has(path, "uid", uid(ids[doc], number)) & ~null[doc]
+            row = span_hashes(w.data, w.offsets[:-1], w.offsets[1:]).view(np.int64)
+            out = parts.among(uid(ids[doc], number, row[doc]), gone) & ~null[doc]
             texts = block.column("text").to_pylist()
             cut: dict[int, set[int]] = {}
             for d, k in zip(doc[out].tolist(), number[out].tolist()):
@@ -176,7 +223,7 @@ def dedup(docs: DataFrame, columns: tuple[str, ...] = ()) -> DataFrame:
             yield rows(doc_id=block.column("doc_id"), n_lines=pa.array(n.astype(np.int64)), n_removed=pa.array(np.bincount(doc[out], minlength=block.num_rows).astype(np.int64)), text=pa.array([t or "" for t in texts], pa.string()), **{c: block.column(c) for c in columns})
 
     also = "".join(f", `{c}` {kinds[c]}" for c in columns)
-    return arrow_map(docs.select("doc_id", "text", *columns), each, "doc_id long, n_lines long, n_removed long, text string" + also)
+    return arrow_map(docs, each, "doc_id long, n_lines long, n_removed long, text string" + also)
 
 
 def digest(docs: DataFrame) -> DataFrame:

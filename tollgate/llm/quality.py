@@ -11,10 +11,11 @@ make words dear.
 Each model's band of a language lies around its median of log-perplexity.  Its half-width is ``width``
 standard deviations of a text of that many words, estimated from the quartiles of the
 deviations times the square root of the number of words, and ``least`` times the median at
-the least; a text outside either band is rejected.
+the least; a text outside either band is rejected.  Medians and quartiles come from exact
+histograms on a fine grid, so they don't depend on how the table is partitioned.
 
 Cases: a null text has no words and fails the base rules; a null language is a language of
-its own; texts of any length are taken whole; repeated rows give repeated results; an empty
+its own; a table with over ``LANGUAGES`` languages is refused; texts of any length are taken whole; repeated rows give repeated results; an empty
 table gives no rows; other columns are ignored.
 """
 
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tollgate.llm import arrays
@@ -37,7 +38,9 @@ SYMBOLS = np.zeros(256, bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
 LETTERS = np.zeros(256, bool)
 LETTERS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
-RUNNING = "\0running"  # after a language's name: the model of its running text
+LANGUAGES = 1 << 16
+KINDS = ("log_ppl", "run_log_ppl")
+GRID = 1e-4  # of the histograms of log perplexities and of their deviations
 PROB, GAMMA = (("logp", "<f4"),), (("logg", "<f4"),)
 
 
@@ -81,12 +84,12 @@ def _again(h: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return order[~head]
 
 
-def language_code(lang: str) -> int:
-    """23 bits for a language, above the five bytes of a window."""
-    h = 0xCBF29CE484222325
-    for b in lang.encode():
-        h = ((h ^ b) * 0x100000001B3) & (2**64 - 1)
-    return (h ^ (h >> 32)) & 0x7FFFFF
+def languages(docs: DataFrame) -> dict[str, int]:
+    """The number of each language's model of words, by name; the next number is that of its running text."""
+    found = docs.select("lang").distinct().limit(LANGUAGES + 1).collect()  # names of languages, refused where they are more
+    if len(found) > LANGUAGES:
+        raise ValueError(f"over {LANGUAGES} languages")
+    return {x: 2 * i for i, x in enumerate(sorted(r["lang"] for r in found))}
 
 
 def windows(w: Words, lang: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -136,31 +139,33 @@ def _spelled(w: Words) -> np.ndarray:
     return total[w.ends] > total[w.starts]
 
 
-def _langs(block: pa.RecordBatch, kind: str = "") -> np.ndarray:
+def _langs(block: pa.RecordBatch, numbers: dict[str, int]) -> np.ndarray:
+    """The number of each text's language."""
     codes = block.column("lang").dictionary_encode()
-    table = np.array([language_code(x + kind) for x in codes.dictionary.to_pylist()] or [0], np.int64)
+    table = np.array([numbers[x] for x in codes.dictionary.to_pylist()] or [0], np.int64)
     return table[codes.indices.to_numpy()]
 
 
-def count_windows(docs: DataFrame) -> DataFrame:
+def count_windows(docs: DataFrame, numbers: dict[str, int]) -> DataFrame:
     """key, count: the five-byte windows of all words, and of all running texts, by language."""
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for block in blocks(batch, size=BLOCK):
             w = words(block.column("text"))
-            _, key, owner, size, _ = windows(w, _langs(block))
+            lang = _langs(block, numbers)
+            _, key, owner, size, _ = windows(w, lang)
             order, head = group_order(key.view(np.uint64))
             at = np.append(np.flatnonzero(head), len(order))
             yield rows(key=pa.array(key[order[at[:-1]]]), count=pa.array(sums(size[owner[order]], at)))
-            key, count = distinct(running(w, _langs(block, RUNNING))[0].view(np.uint64))
+            key, count = distinct(running(w, lang + 1)[0].view(np.uint64))
             yield rows(key=pa.array(key.view(np.int64)), count=pa.array(count))
 
     return arrow_map(docs, each, "key long, count long").groupBy("key").agg(F.sum("count").alias("count"))
 
 
-def model(docs: DataFrame) -> dict[str, str]:
+def model(docs: DataFrame, numbers: dict[str, int]) -> dict[str, str]:
     """Paths of the arrays: p1..p5 have log10 probabilities, g1..g4 the log10 weights of contexts."""
-    level = kept(count_windows(docs), "windows").select("key", F.col("count").alias("a"))
+    level = kept(count_windows(docs, numbers), "windows").select("key", F.col("count").alias("a"))
     levels = {ORDER: level}
     for k in range(ORDER - 1, 0, -1):  # how many bytes come before what is left
         low = F.col("key").bitwiseAND(F.lit((1 << (8 * k)) - 1))
@@ -214,40 +219,53 @@ def log_prob(keys: np.ndarray, paths: dict[str, str]) -> np.ndarray:
     return out
 
 
-def scores(docs: DataFrame, paths: dict[str, str] | None) -> DataFrame:
+def scores(docs: DataFrame, paths: dict[str, str], numbers: dict[str, int]) -> DataFrame:
     """doc_id, lang, the counts, and log10 perplexities by words and as running text (null for a text without words)."""
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for block in blocks(batch, size=BLOCK):
             w = words(block.column("text"))
             found = counts(w)
-            group, key, owner, size, _ = windows(w, _langs(block))
+            lang = _langs(block, numbers)
+            group, key, owner, size, _ = windows(w, lang)
             each_word = np.bincount(owner, log_prob(key, paths), len(size)) if len(size) else np.zeros(0)
             n = sums(_spelled(w), w.first)
             log_ppl = -sums(each_word[group], w.first) / np.maximum(n, 1)
-            key, first = running(w, _langs(block, RUNNING))
+            key, first = running(w, lang + 1)
             run_log_ppl = -sums(log_prob(key, paths), first) / np.maximum(n, 1)
             yield rows(doc_id=block.column("doc_id"), lang=block.column("lang"), **{c: pa.array(v.astype(np.int64)) for c, v in found.items()}, log_ppl=pa.array(log_ppl, mask=n == 0), run_log_ppl=pa.array(run_log_ppl, mask=n == 0))
 
     return arrow_map(docs, each, "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, log_ppl double, run_log_ppl double")
 
 
+def quantiles(rows_: DataFrame, value: Column, shares: dict[str, float]) -> DataFrame:
+    """lang, kind, and for each name the smallest cell of the grid that the share of a language's rows doesn't exceed."""
+    cells = rows_.select("lang", "kind", F.round(value / F.lit(GRID)).cast("long").alias("cell")).groupBy("lang", "kind", "cell").agg(F.count("*").alias("n"))
+    by = Window.partitionBy("lang", "kind")  # a row for each cell that occurs, not for each text
+    run = cells.withColumns({"run": F.sum("n").over(by.orderBy("cell")), "total": F.sum("n").over(by)})
+    return run.groupBy("lang", "kind").agg(*[(F.min(F.when(F.col("run") >= F.lit(share) * F.col("total"), F.col("cell"))) * F.lit(GRID)).alias(name) for name, share in shares.items()])
+
+
+def bands(scored: DataFrame) -> DataFrame:
+    """lang, and of each kind of perplexity its median and the standard deviation of a word; from texts that the base rules keep."""
+    long = [F.struct(F.lit(c).alias("kind"), F.col(c).alias("x")) for c in KINDS]
+    fit = scored.where(~F.col("base_failed")).select("lang", "n_words", F.explode(F.array(*long)).alias("v")).select("lang", "n_words", "v.kind", "v.x").where("x is not null")
+    middle = kept(quantiles(fit, F.col("x"), {"mid": 0.5}), "middle")
+    # a row for each language and kind
+    spread = quantiles(fit.join(middle, ["lang", "kind"]), (F.col("x") - F.col("mid")) * F.sqrt("n_words"), {"lower": 0.25, "upper": 0.75})
+    one = middle.join(spread, ["lang", "kind"]).withColumn("sd", (F.col("upper") - F.col("lower")) / F.lit(1.349))
+    return one.groupBy("lang").agg(*[F.max(F.when(F.col("kind") == c, F.col(x))).alias(f"{c}_{x}") for c in KINDS for x in ("mid", "sd")])
+
+
 def judge(docs: DataFrame, width: float = 4.0, least: float = 0.06) -> DataFrame:
     """doc_id, the counts, base_failed, kept, log_ppl and run_log_ppl with their bands for every document."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    scored = kept(scores(docs, model(docs)), "scores")
+    numbers = languages(docs)
+    scored = kept(scores(docs, model(docs, numbers), numbers), "scores")
     scored = scored.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-    fit = scored.where(~F.col("base_failed"))
-    kinds = ("log_ppl", "run_log_ppl")
-    middle = kept(fit.groupBy("lang").agg(*[F.percentile_approx(c, F.lit(0.5), 10_000).alias(f"{c}_mid") for c in kinds]), "middle")
-    z = {c: (F.col(c) - F.col(f"{c}_mid")) * F.sqrt("n_words") for c in kinds}
-    q = [F.percentile_approx(z[c], F.array(F.lit(0.25), F.lit(0.75)), 10_000).alias(f"{c}_q") for c in kinds]
-    # a row for each language
-    mids = [f"{c}_mid" for c in kinds]
-    bands = fit.join(middle, "lang").groupBy("lang", *mids).agg(*q).select("lang", *mids, *[((F.col(f"{c}_q")[1] - F.col(f"{c}_q")[0]) / 1.349).alias(f"{c}_sd") for c in kinds])
-    half = {c: F.greatest(F.lit(least) * F.col(f"{c}_mid"), F.lit(width) * F.col(f"{c}_sd") / F.sqrt(F.greatest(F.lit(1), F.col("n_words")))) for c in kinds}
-    joined = scored.join(bands, "lang", "left").withColumns({f"{c}_{side}": F.col(f"{c}_mid") + sign * half[c] for c in kinds for side, sign in (("low", -1), ("high", 1))})
+    half = {c: F.greatest(F.lit(least) * F.col(f"{c}_mid"), F.lit(width) * F.col(f"{c}_sd") / F.sqrt(F.greatest(F.lit(1), F.col("n_words")))) for c in KINDS}
+    joined = scored.join(bands(scored), "lang", "left").withColumns({f"{c}_{side}": F.col(f"{c}_mid") + sign * half[c] for c in KINDS for side, sign in (("low", -1), ("high", 1))})
     verdict = ~F.col("base_failed")
-    for c in kinds:
+    for c in KINDS:
         verdict = verdict & F.col(c).between(F.col(f"{c}_low"), F.col(f"{c}_high"))
-    return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.coalesce(verdict, F.lit(False)).alias("kept"), *[x for c in kinds for x in (c, f"{c}_low", f"{c}_high")])
+    return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.coalesce(verdict, F.lit(False)).alias("kept"), *[x for c in KINDS for x in (c, f"{c}_low", f"{c}_high")])

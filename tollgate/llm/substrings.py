@@ -3,20 +3,25 @@
 A window is ``WINDOW`` consecutive words.  Its fingerprint is the least hash among the
 ``GRAM``-word sequences in it, so equal windows have equal fingerprints and neighbours
 mostly share theirs: the index holds about one fingerprint for five windows.  Every batch
-of documents is written as a sorted, bucketed, immutable run of (fp, doc_id).  A new run is
-merge-joined with the runs before it, bucket by bucket without a shuffle; windows with a
-fingerprint that another document has too are candidates.  They are verified on the texts,
-the older ones read again: each one's own 96-bit hash is joined to the first document that has
-it, and all but those in the first document are removed.  More than ``fanout`` runs are compacted.
+of documents is written as a sorted, bucketed, immutable run of fingerprints, one row for
+all documents of a block of texts that have one, so a passage that very many documents share
+stays small.  A new run is merge-joined with the runs before it, bucket by bucket without a
+shuffle; windows with a fingerprint that another document has too are candidates.  More than
+``fanout`` runs are compacted.
+
+The candidates of all batches are verified in one pass over the texts: each one's own 96-bit
+hash is joined to the first document that has it, and all but those in the first document are
+removed.  What a partition of the table is asked for, and what it loses, comes back to it as
+a file of its own (``parts``), so no text is shuffled.
 
 Whole copies, which have no window of their own, are found by digests of all words first,
 so a group of copies costs one row a document.
 
 Cases: a null text has no words; texts under ``WINDOW`` words have no window; texts of any
-length are taken whole; equal rows with one doc_id don't remove each other's words, and
-unlike texts under one doc_id lose the words at the positions of either; an empty table
-gives no rows; a document with a null doc_id keeps all words and takes none from others;
-other columns are ignored.  Batches must come in ascending order of doc_id.
+length are taken whole; every row is judged by itself, so equal rows with one doc_id don't
+remove each other's words; an empty table gives no rows; a document with a null doc_id keeps
+all words and takes none from others; other columns are ignored.  Batches must come in
+ascending order of doc_id.
 """
 
 from __future__ import annotations
@@ -26,15 +31,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgate.llm import arrays
-from tollgate.llm.tables import arrow_map, kept, rows, scratch
-from tollgate.llm.words import Words, blocks, grams, group_order, inside, mix, words
+from tollgate.llm import parts
+from tollgate.llm.tables import arrow_map, kept, rows, scratch, steady
+from tollgate.llm.words import Words, blocks, grams, inside, mix, words
 
 WINDOW, GRAM = 13, 4
+BATCHES, FANOUT = 4, 2
 
 
 def least_grams(h: np.ndarray, window: int, gram: int) -> np.ndarray:
@@ -58,97 +63,103 @@ def digests(w: Words, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
+def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Blocks, and the numbers of their rows in the partition."""
+    n = 0
+    for batch in batches:
+        for block in blocks(batch):
+            yield block, np.arange(n, n + block.num_rows, dtype=np.int32)
+            n += block.num_rows
+
+
 def whole_copies(docs: DataFrame) -> DataFrame:
-    """doc_id of documents whose words are all those of a document with a smaller doc_id."""
+    """part, row of the rows whose words are all those of a document with a smaller doc_id."""
 
-    def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batch):
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, row in numbered(batches):
             w = words(block.column("text"))
             a, b = digests(w, w.hashes())
-            yield rows(doc_id=block.column("doc_id"), a=pa.array(a), b=pa.array(b))
+            yield rows(doc_id=block.column("doc_id"), a=pa.array(a), b=pa.array(b), part=pa.array(np.full(len(row), parts.here()), pa.int32()), row=pa.array(row))
 
-    found = kept(arrow_map(docs, each, "doc_id long, a long, b long"), "digests")
+    found = kept(arrow_map(docs.select("doc_id", "text"), each, "doc_id long, a long, b long, part int, row int", whole=True), "digests").where("doc_id is not null")
     first = found.groupBy("a", "b").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
     first = kept(first.select("a", "b", "first"), "first")
-    copy = found.join(first, ["a", "b"], "left").withColumn("copy", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)))
-    return copy.groupBy("doc_id").agg(F.min("copy").alias("copy")).where("copy").select("doc_id")
-
-
-def _member(path: str | None, column: str, values: np.ndarray) -> np.ndarray:
-    """Which of the values are in the array at path; None has none of them."""
-    if path is None or not len(values):
-        return np.zeros(len(values), bool)
-    order, head = group_order(values.view(np.uint64))
-    some = values[order[head]]
-    up = np.argsort(some)
-    here = np.zeros(len(some), bool)
-    here[up] = arrays.opened(path, column, ()).has(some[up])
-    out = np.empty(len(values), bool)
-    out[order] = here[np.cumsum(head) - 1]
-    return out
-
-
-def _windows(block: pa.RecordBatch, copies: str | None) -> tuple[pa.RecordBatch, Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The block without copies; its words and their hashes; each window's first word, text and fingerprint."""
+    return found.join(first, ["a", "b"]).where("doc_id > first").select("part", "row")
+
+
+def _windows(block: pa.RecordBatch, row: np.ndarray, copies: str | None) -> tuple[np.ndarray, np.ndarray, Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a block's rows that have a doc_id and aren't copies: doc_ids, rows, words and their hashes; each window's first word, text and fingerprint."""
+    there = block.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
     if copies:
-        block = block.filter(pa.array(~_member(copies, "doc_id", block.column("doc_id").to_numpy())))
+        there &= ~parts.among(row.astype(np.int64), parts.longs(copies, "row"))
+    block, row = block.filter(pa.array(there)), row[there]
     w = words(block.column("text"))
     h = w.hashes()
     ok = inside(w.first, WINDOW)
     at = np.flatnonzero(ok)
     fp = least_grams(h, WINDOW, GRAM)[: len(ok)][ok].view(np.int64) if len(ok) else np.zeros(0, np.int64)
-    return block, w, h, at, w.texts()[at], fp
+    return block.column("doc_id").to_numpy(), row, w, h, at, w.texts()[at], fp
 
 
-def prints(docs: DataFrame, copies: str | None) -> DataFrame:
-    """fp, doc_id: the fingerprints of all windows of documents that aren't copies."""
+def prints(docs: DataFrame, copies: str | None, bounds: list[int] = ()) -> DataFrame:
+    """fp, part, batch, least, most: the fingerprints of the windows of documents that aren't copies, with the smallest and largest doc_id of a block that have each; bounds: the last doc_ids of all batches but the last."""
 
-    def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batch):
-            block, _, _, _, doc, fp = _windows(block, copies)
-            new = np.ones(len(fp), bool)
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, row in numbered(batches):
+            ids, _, _, _, _, doc, fp = _windows(block, row, copies)
+            batch = np.searchsorted(np.array(bounds, np.int64), ids, "left")
+            new = np.ones(len(fp), bool)  # neighbours mostly share theirs
             new[1:] = (fp[1:] != fp[:-1]) | (doc[1:] != doc[:-1])
-            yield rows(fp=pa.array(fp[new]), doc_id=block.column("doc_id").take(pa.array(doc[new])))
+            fp, doc = fp[new], doc[new]
+            order = np.lexsort((ids[doc], fp, batch[doc]))
+            fp, of, b = fp[order], ids[doc[order]], batch[doc[order]]
+            head = np.ones(len(fp), bool)
+            head[1:] = (fp[1:] != fp[:-1]) | (b[1:] != b[:-1])
+            last = np.append(head[1:], True) if len(fp) else head
+            yield rows(fp=pa.array(fp[head]), part=pa.array(np.full(int(head.sum()), parts.here()), pa.int32()), batch=pa.array(b[head], pa.int32()), least=pa.array(of[head]), most=pa.array(of[last]))
 
-    return arrow_map(docs, each, "fp long, doc_id long")
+    return arrow_map(docs.select("doc_id", "text"), each, "fp long, part int, batch int, least long, most long", whole=True)
 
 
 class FingerprintIndex:
-    """Runs of (fp, doc_id), each a table bucketed and sorted by fp, in the shared folder."""
+    """Runs of (fp, part, least, most), each a table bucketed and sorted by fp, in the shared folder."""
 
-    def __init__(self, spark: SparkSession, buckets: int, fanout: int = 4):
+    def __init__(self, spark: SparkSession, buckets: int, fanout: int = FANOUT):
         self.spark, self.buckets, self.fanout = spark, buckets, fanout
         self.runs: list[str] = []
-        self.last = None  # the largest doc_id so far
+        self.last: int | None = None  # the largest doc_id so far
+        self.compactions = 0
 
     def _write(self, df: DataFrame) -> str:
         path = scratch(self.spark, "run")
         name = "run_" + path.rsplit("-", 1)[1]
-        sorted_ = df.repartition(self.buckets, "fp").sortWithinPartitions("fp")
+        sorted_ = df.select("fp", "part", "least", "most").repartition(self.buckets, "fp").sortWithinPartitions("fp")
         sorted_.write.option("path", path).bucketBy(self.buckets, "fp").sortBy("fp").saveAsTable(name)
         return name
 
-    def add(self, batch: DataFrame, copies: str | None) -> tuple[str, str]:
-        """Append a batch as a run; paths of its fingerprints that another document has, and of those that an older run has."""
-        lo, hi = batch.agg(F.min("doc_id"), F.max("doc_id")).first()
+    def add(self, batch: DataFrame) -> DataFrame:
+        """Append the ``prints`` of a batch as a run; part, fp of all documents so far whose windows with that fingerprint are candidates now."""
+        lo, hi = batch.agg(F.min("least"), F.max("most")).first()
         if lo is not None and self.last is not None and lo <= self.last:
             raise ValueError(f"a batch begins at {lo}, the index ends at {self.last}")
         self.last = hi if hi is not None else self.last
-        run = self._write(prints(batch, copies))
-        new = self.spark.table(run).groupBy("fp").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-        older = [self.spark.table(r).join(self.spark.table(run).select("fp"), "fp", "left_semi").select("fp") for r in self.runs]
-        self.runs.append(run)
-        across = self.spark.createDataFrame([], "fp long")
-        for o in older:
-            across = across.union(o)
-        across = arrays.write(across.distinct(), "fp", {}, "across")
-        shared = new.where("least < most").select("fp")
-        for o in older:
-            shared = shared.union(o)
-        shared = arrays.write(shared.distinct(), "fp", {}, "shared")
+        name = self._write(batch)
+        run = self.spark.table(name)
+        new = run.groupBy("fp").agg(F.min("least").alias("least"), F.max("most").alias("most"))
+        asked = new.where("least < most").select("fp")
+        out = None
+        for r in self.runs:
+            older = self.spark.table(r).join(new.select("fp"), "fp", "left_semi").select("part", "fp")
+            out = older if out is None else out.union(older)
+        if out is not None:
+            out = kept(out, "older")
+            asked = asked.union(out.select("fp"))
+        now = run.join(asked.distinct(), "fp", "left_semi").select("part", "fp")
+        out = kept(now if out is None else out.union(now), "asked")
+        self.runs.append(name)
         if len(self.runs) > self.fanout:
             self.compact()
-        return shared, across
+        return out
 
     def compact(self) -> None:
         """All runs merged into one; the old ones are dropped after it is written."""
@@ -156,29 +167,34 @@ class FingerprintIndex:
         for r in self.runs[1:]:
             merged = merged.union(self.spark.table(r))
         name = self._write(merged)
-        for r in self.runs:
-            self.spark.sql(f"drop table {r}")
+        self.close()
         self.runs = [name]
+        self.compactions += 1
 
+    def close(self) -> None:
+        for r in self.runs:
+            self.spark.sql(f"drop table if exists {r}")
+        self.runs = []
 
-def candidates(docs: DataFrame, shared: str, copies: str | None, old: bool) -> DataFrame:
-    """h1, h2, doc_id, pos: hashes of the windows with a shared fingerprint; pos is -1 for documents of older batches."""
 
-    def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batch):
-            block, w, h, at, doc, fp = _windows(block, copies)
-            hit = np.flatnonzero(_member(shared, "fp", fp))
+def candidates(docs: DataFrame, asked: str, copies: str | None) -> DataFrame:
+    """h1, h2, doc_id, part, row, pos: hashes of the windows whose fingerprint their part is asked for."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = parts.longs(asked, "fp")
+        for block, row in numbered(batches) if len(wanted) else ():
+            ids, row, w, h, at, doc, fp = _windows(block, row, copies)
+            hit = np.flatnonzero(parts.among(fp, wanted))
             at, doc = at[hit], doc[hit]
             h1 = grams(h, WINDOW, 3)[at].view(np.int64) if len(at) else np.zeros(0, np.int64)
             h2 = (grams(mix(h, 77), WINDOW, 5)[at] >> np.uint64(33)).astype(np.int32) if len(at) else np.zeros(0, np.int32)
-            pos = np.full(len(at), -1, np.int32) if old else (at - w.first[doc]).astype(np.int32)
-            yield rows(h1=pa.array(h1), h2=pa.array(h2), doc_id=block.column("doc_id").take(pa.array(doc)), pos=pa.array(pos))
+            yield rows(h1=pa.array(h1), h2=pa.array(h2), doc_id=pa.array(ids[doc]), part=pa.array(np.full(len(at), parts.here()), pa.int32()), row=pa.array(row[doc]), pos=pa.array((at - w.first[doc]).astype(np.int32)))
 
-    return arrow_map(docs, each, "h1 long, h2 int, doc_id long, pos int")
+    return arrow_map(docs.select("doc_id", "text"), each, "h1 long, h2 int, doc_id long, part int, row int, pos int", whole=True)
 
 
 def repeats(found: DataFrame) -> DataFrame:
-    """doc_id, pos of windows that a document with a smaller doc_id has.
+    """part, row, pos of windows that a document with a smaller doc_id has.
 
     The first document of each window is aggregated before the shuffle and written, so that both
     sides of the join are plain exchanges, of which a window that very many documents have is split.
@@ -186,29 +202,24 @@ def repeats(found: DataFrame) -> DataFrame:
     found = kept(found, "candidates")
     least = found.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
     least = kept(least.select("h1", "h2", "first"), "first")
-    return found.where("pos >= 0").join(least, ["h1", "h2"]).where("doc_id > first").select("doc_id", "pos")
+    return found.join(least, ["h1", "h2"]).where("doc_id > first").select("part", "row", "pos")
 
 
-def removals(docs: DataFrame, batches: int = 2, fanout: int = 4) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, pos of the windows to remove), and doc_id of whole copies; documents go in by batches of ascending doc_id."""
+def removals(docs: DataFrame, batches: int = BATCHES, fanout: int = FANOUT) -> tuple[DataFrame, str]:
+    """(part, row, pos of the windows to remove), and a path of the rows that are whole copies; documents go into the index by batches of ascending doc_id."""
     spark = docs.sparkSession
-    copied = kept(whole_copies(docs), "copies")
-    copies = arrays.write(copied, "doc_id", {}, "copies")
-    docs = docs.where("doc_id is not null")
-    cuts = [] if batches < 2 else docs.approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.01)
-    bounds = [None, *sorted({int(c) for c in cuts}), None]
+    copies = parts.write(whole_copies(docs), "copies")
+    cuts = [] if batches < 2 else docs.where("doc_id is not null").approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.01)
+    bounds = sorted({int(c) for c in cuts})
+    all_prints = kept(prints(docs, copies, bounds), "prints")
     index = FingerprintIndex(spark, int(spark.conf.get("spark.sql.shuffle.partitions")), fanout)
     out = None
-    for lo, hi in zip(bounds, bounds[1:]):
-        part = docs if lo is None else docs.where(F.col("doc_id") > lo)
-        part = part if hi is None else part.where(F.col("doc_id") <= hi)
-        shared, across = index.add(part, copies)
-        found = candidates(part, shared, copies, False)
-        if lo is not None:
-            found = found.union(candidates(docs.where(F.col("doc_id") <= lo), across, copies, True))
-        found = repeats(found)
-        out = found if out is None else out.union(found)
-    return out, copied
+    for i in range(len(bounds) + 1):
+        asked = index.add(all_prints.where(F.col("batch") == i))
+        out = asked if out is None else out.union(asked)
+    index.close()
+    asked = parts.write(out.distinct(), "asked")
+    return repeats(candidates(docs, asked, copies)), copies
 
 
 def _spaced(raw: bytes, cover: np.ndarray) -> bytes:
@@ -224,44 +235,36 @@ def _cover(pos: np.ndarray, n: int) -> np.ndarray:
     return np.cumsum(step)[:n] > 0
 
 
-def dedup(docs: DataFrame, batches: int = 2, columns: tuple[str, ...] = (), spacing: bool = False) -> DataFrame:
+def dedup(docs: DataFrame, batches: int = BATCHES, columns: tuple[str, ...] = (), spacing: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed, text, other columns; text is the kept words joined by one space, or with ``spacing`` by the white space that followed them."""
     kinds = dict(docs.dtypes)
-    found, copied = removals(docs.select("doc_id", "text"), batches)
-    marks = kept(found, "repeats").groupBy("doc_id").agg(F.collect_set("pos").alias("pos")).withColumn("copy", F.lit(False))  # at most the document's words
-    marks = marks.union(copied.select("doc_id", F.lit(None).cast("array<int>").alias("pos"), F.lit(True).alias("copy")))
-
-    def squeeze(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        z = zstandard.ZstdCompressor(level=1)
-        for block in blocks(batch):
-            yield rows(doc_id=block.column("doc_id"), z=pa.array([z.compress(t.encode()) for t in block.column("text").to_pylist()], pa.binary()), **{c: block.column(c) for c in columns})
-
-    also = "".join(f", `{c}` {kinds[c]}" for c in columns)
-    small = arrow_map(docs.select("doc_id", "text", *columns), squeeze, "doc_id long, z binary" + also)
-
-    def finish(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        z = zstandard.ZstdDecompressor()
-        for i in range(0, batch.num_rows, 1000):
-            part = batch.slice(i, 1000)
+    docs = steady(docs.select("doc_id", "text", *columns))
+    found, copies = removals(docs, batches)
+    marks = parts.write(found, "repeats", ("row",))
+
+    def finish(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = parts.opened(marks, parts.here())
+        at, pos = (np.zeros(0, np.int32),) * 2 if table is None else (table.column(c).to_numpy() for c in ("row", "pos"))
+        for block, row in numbered(batches_):
+            copy = parts.among(row.astype(np.int64), parts.longs(copies, "row"))
+            first = np.searchsorted(at, np.append(row, row[-1] + 1))
             text, n, gone = [], [], []
-            at = part.column("pos")
-            for raw, copy, pos in zip(part.column("z").to_pylist(), part.column("copy").to_pylist(), (x.values.to_numpy() if x.is_valid else None for x in at)):
-                raw = z.decompress(raw)
+            for raw, whole, a, b in zip(block.column("text").to_pylist(), copy.tolist(), first[:-1].tolist(), first[1:].tolist()):
+                raw = (raw or "").encode()
                 found = raw.split()  # of bytes: at \x20 and \x09-\x0D
                 count = len(found)
-                cover = np.full(count, bool(copy) and count >= WINDOW) if copy or pos is None else _cover(pos.astype(np.int64), count)
-                left = [x for x, c in zip(found, cover.tolist()) if not c]
+                cover = np.full(count, count >= WINDOW) if whole else _cover(pos[a:b].astype(np.int64), count)
+                left = [x for x, c in zip(found, cover.tolist()) if not c] if whole or b > a else found
                 text.append((b" ".join(left) if not spacing else raw if len(left) == count else _spaced(raw, cover)).decode())
                 n.append(count)
                 gone.append(count - len(left))
-            yield rows(doc_id=part.column("doc_id"), n_words=pa.array(n, pa.int64()), n_removed=pa.array(gone, pa.int64()), text=pa.array(text, pa.string()), **{c: part.column(c) for c in columns})
+            yield rows(doc_id=block.column("doc_id"), n_words=pa.array(n, pa.int64()), n_removed=pa.array(gone, pa.int64()), text=pa.array(text, pa.string()), **{c: block.column(c) for c in columns})
 
-    return arrow_map(small.join(marks, "doc_id", "left"), finish, "doc_id long, n_words long, n_removed long, text string" + also)
+    also = "".join(f", `{c}` {kinds[c]}" for c in columns)
+    return arrow_map(docs, finish, "doc_id long, n_words long, n_removed long, text string" + also, whole=True)
 
 
-def digest(docs: DataFrame, batches: int = 2) -> DataFrame:
+def digest(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256."""
     out = dedup(docs, batches)
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
-
-
