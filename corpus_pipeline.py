@@ -48,7 +48,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words of passages that a document before them has."""
-    return _documents(substrings.dedup(_whole(docs), 2, OTHERS, spacing=True).where("n_words = 0 or n_removed < n_words"))
+    return _documents(substrings.dedup(_whole(docs), columns=OTHERS, spacing=True).where("n_words = 0 or n_removed < n_words"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
