@@ -188,7 +188,8 @@ def removed(docs: DataFrame, near: int = NEAR) -> DataFrame:
     pairs = met.select("doc_id", "line", "row", "part", F.col("before.doc_id").alias("d"), F.col("before.line").alias("l"), F.col("before.row").alias("r")).distinct()
     spelled = found.where("place = -2").groupBy("doc_id", "line", "row").agg(F.min("words").alias("words"))
     earlier = spelled.select(F.col("doc_id").alias("d"), F.col("line").alias("l"), F.col("row").alias("r"), F.col("words").alias("earlier_words"))
-    return late.union(verified(pairs.join(spelled, ["doc_id", "line", "row"]).join(earlier, ["d", "l", "r"]))).distinct()
+    pairs = kept(pairs.join(spelled, ["doc_id", "line", "row"]), "pairs")  # so that lines with one earlier line are split in the second join
+    return late.union(verified(pairs.join(earlier, ["d", "l", "r"]))).distinct()
 
 
 def _uids(gone: DataFrame) -> DataFrame:
