@@ -2,6 +2,7 @@ import pytest
 
 from tests import oracle
 from tollgate import queries
+from tollgate.operators import rejudge
 
 SF = f"{oracle.DATA}/sf0.001"
 
@@ -21,6 +22,11 @@ def test_without_sql(spark, name):
     assert queries.QUERIES[name](spark, SF).count() > 0
 
 
-def test_break_is_caught_and_named(spark):
-    r = queries.QUERIES["break_duplicate_key"](spark, SF).first()
-    assert r.targets == r.caught == r.named == r.new_holds == r.control_clean and r.collateral == 0
+@pytest.mark.parametrize("break_", rejudge.CATALOGUE, ids=lambda b: b.name)
+def test_breaks_are_caught_and_named(spark, break_):
+    r = queries.QUERIES[f"break_{break_.name}"](spark, SF).first()
+    if break_.subject is None:
+        assert r.new_holds == r.caught == 0
+    else:
+        assert r.damaged == r.caught == r.named == r.new_holds and r.collateral == r.control_holds == 0
+        assert r.amplification == (1.125 if break_.copied else 1.0)

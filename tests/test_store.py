@@ -33,24 +33,46 @@ def put(raw, partition, *keys, held=0):
 def test_load_twice_leaves_one_copy_and_others_alone(raw):
     put(raw, "2025-01-01", "00083", "b", "b", held=2)
     put(raw, "2025-01-02", "c")
-    before = store.fingerprint(raw.table())
+    before = store.stamp(raw.table())
     put(raw, "2025-01-01", "00083", "b", "b", held=2)
-    assert store.fingerprint(raw.table()) == before
+    assert store.stamp(raw.table()) == before
     assert raw.reconcile().count() == 0
     assert {r._partition: (r.rows_loaded, r.rows_held) for r in raw.ledger().collect()} == {"2025-01-01": (3, 2), "2025-01-02": (1, 0)}
     put(raw, "2025-01-01", "00083")
-    assert store.fingerprint(raw.table()) != before
+    assert store.stamp(raw.table()) != before
     assert sorted(r.k for r in raw.table().collect()) == ["00083", "c"]
 
 
 def test_a_refused_load_leaves_what_was_there(raw):
     put(raw, "2025-01-01", "a", "b")
-    before = store.fingerprint(raw.table())
+    before = store.stamp(raw.table())
     with pytest.raises(LoadCountMismatch):
         raw.load(rows(raw.spark, "x"), "2025-01-01", {"accepted": 2, "held": 0}, "1" * 64, NOW)
     with pytest.raises(HeaderMismatch):
         raw.load(rows(raw.spark, "x").select("n", "k", "state", "memo"), "2025-01-01", {"accepted": 1, "held": 0}, "1" * 64, NOW)
-    assert store.fingerprint(raw.table()) == before
+    assert store.stamp(raw.table()) == before
+
+
+def test_an_empty_reload_leaves_no_old_rows(raw):
+    put(raw, "2025-01-01", "a", "b", "c")
+    put(raw, "2025-01-02", "d")
+    put(raw, "2025-01-01", held=3)
+    assert [r.k for r in raw.table().collect()] == ["d"]
+    assert {r._partition: (r.rows_loaded, r.rows_held) for r in raw.ledger().collect()} == {"2025-01-01": (0, 3), "2025-01-02": (1, 0)}
+    assert raw.reconcile().count() == 0
+    put(raw, "2025-01-01", "e")
+    assert sorted(r.k for r in raw.table().collect()) == ["d", "e"]
+    put(raw, "odd: 50%/a=b", "x")
+    put(raw, "odd: 50%/a=b")
+    assert sorted(r.k for r in raw.table().collect()) == ["d", "e"]
+    assert not [t for t in raw.spark.catalog.listTables() if t.name.startswith("staging_")]
+
+
+def test_mismatches_are_counted_beyond_the_examples(spark):
+    a, b = (spark.createDataFrame([(x,) for x in v], "k string") for v in ("aaabcdefgh", "aabx"))
+    wrong, total = store.mismatches(a, b)
+    assert total == 8 and len(wrong) == 5 and wrong[0] == ("second", "x")
+    assert store.mismatches(a, a) == ([], 0)
 
 
 def test_empty_fields_become_null_and_na_stays_text(raw):
@@ -134,9 +156,9 @@ def test_inference_disagrees_and_damages(spark, tmp_path):
     (tmp_path / "b.csv").write_text("zip\n00083\nn/a\n")
     paths = [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")]
     assert list(files.type_disagreements(spark, paths)) == ["zip"]
-    assert files.inference_damage(spark, paths, "zip").first().differing > 0
+    assert {r.column: r.changed for r in files.inference_damage(spark, paths).collect()}["zip"] > 0
     with pytest.raises(NoQuarantine):
-        files.inference_damage(spark, paths[:1], "zip")
+        files.inference_damage(spark, paths[:1])
 
 
 def test_manifest(spark, tmp_path):
@@ -182,8 +204,8 @@ def test_pages_and_counts(spark):
     assert api.window("ts", days[0]) == "ts >= '2025-01-01T00:00:00' AND ts < '2025-01-02T00:00:00'"
 
 
-def test_additive_fingerprint_ignores_order(spark):
+def test_fingerprint_ignores_order(spark):
     df = spark.createDataFrame([(i, str(i % 7)) for i in range(50)], "a int, b string")
-    one, two = (store.additive_fingerprint(x).first() for x in (df, df.orderBy(F.desc("a")).repartition(3)))
-    assert one == two and store.additive_fingerprint(df.limit(49)).first() != one
-    assert store.additive_fingerprint(df.limit(0)).first().rows == 0
+    one, two = (store.fingerprint(x).first() for x in (df, df.orderBy(F.desc("a")).repartition(3)))
+    assert one == two and store.fingerprint(df.limit(49)).first() != one
+    assert store.fingerprint(df.limit(0)).first().rows == 0

@@ -26,10 +26,15 @@ def accepted_values(rows: DataFrame, column: str, allowed: list[str]) -> DataFra
 
 
 def lossless_cast(raw: DataFrame, staged: DataFrame, columns: dict[str, str], key: str = "unique_key") -> DataFrame:
-    """key, column: texts that the typed table lost; columns: raw name to staged name. One join serves all columns."""
-    pairs = raw.select(key, *[F.col(c).alias(f"raw_{c}") for c in columns]).join(staged.select(key, *[F.col(s).cast("string").alias(f"typed_{c}") for c, s in columns.items()]), key)
-    lost = F.array_compact(F.array(*[F.when(F.col(f"raw_{c}").isNotNull() & F.col(f"typed_{c}").isNull(), F.lit(c)) for c in columns]))
-    return pairs.select(key, F.explode(lost).alias("column"))
+    """key, column, lost: how many texts of a key the typed table lost; columns: raw name to staged name.
+
+    Both sides are counted by key before they meet, so a key that very many rows have isn't paired with itself.
+    """
+    count = lambda df, names: df.groupBy(F.col(key).alias("_key")).agg(*[F.count(F.col(c)).alias(f"_{i}") for i, c in enumerate(names)])
+    texts, typed = count(raw, columns), count(staged, columns.values())
+    both = texts.alias("a").join(typed.alias("b"), F.col("a._key").eqNullSafe(F.col("b._key")))
+    lost = F.array(*[F.struct(F.lit(c).alias("column"), (F.col(f"a._{i}") - F.col(f"b._{i}")).alias("lost")) for i, c in enumerate(columns)])
+    return both.select(F.col("a._key").alias(key), F.explode(F.filter(lost, lambda x: x["lost"] > 0)).alias("c")).select(key, "c.column", "c.lost")
 
 
 def totals_agree(silver: DataFrame, daily: DataFrame, by_complaint: DataFrame) -> DataFrame:
@@ -83,6 +88,20 @@ def documents(contract: Contract, relation: str) -> dict:
     return {"version": 2, "models": [{"name": relation, "columns": [{"name": c, "data_tests": tests} for c, tests in columns.items()]}]}
 
 
+def rendered(contract: Contract, relation: str) -> str:
+    """The document's text, ready to be stored beside the models."""
+    import yaml
+
+    return yaml.safe_dump(documents(contract, relation), sort_keys=False, allow_unicode=True)
+
+
+def drifted(contract: Contract, relation: str, stored: str) -> list[str]:
+    """The lines in which a stored document isn't what the contract generates now; none if it is up to date."""
+    import difflib
+
+    return list(difflib.unified_diff(stored.splitlines(), rendered(contract, relation).splitlines(), "stored", "generated", lineterm=""))
+
+
 def run_on_held(held: DataFrame, contract: Contract, key: str) -> DataFrame:
     """column, kind, violations, control: the generated tests on held rows, and on two poisoned rows that must make each fire."""
     spark, out = held.sparkSession, []

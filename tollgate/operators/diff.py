@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.refusals import ContentMismatch, LoadCountMismatch, NothingChecked
@@ -78,3 +78,35 @@ def null_safe_counts(a: DataFrame, b: DataFrame, column: str) -> DataFrame:
     return both.agg(F.floor(F.coalesce(total, F.lit(0)) / 2).cast("long").alias("differing"))
 
 
+def recorded(before: DataFrame, after: DataFrame, key: str, partition: str) -> DataFrame:
+    """kind (rows_before, rows_after, changed, added, removed), key, column, before, after: everything that a replay of a partition's second extract needs, a row a fact."""
+    if before.isEmpty() and after.isEmpty():
+        raise NothingChecked("both extracts are empty")
+    none = F.lit(None).cast("string")
+    shape = lambda kind, key_, column, x, y: [F.lit(partition).alias("partition"), F.lit(kind).alias("kind"), key_.cast("string").alias("key"), column.alias("column"), x.alias("before"), y.alias("after")]
+    moved = cells(before, after, key).select(*shape("changed", F.col(key), F.col("column"), F.col("before"), F.col("after")))
+    gone = added_removed(before, after, key)
+    sides = [gone.where(F.col("state") == s).select(*shape(s, F.col(key), none, none, none)) for s in ("added", "removed")]
+    counts = [df.agg(F.countDistinct(key).alias("n")).select(*shape(kind, none, none, F.col("n").cast("string"), none)) for kind, df in (("rows_before", before), ("rows_after", after))]
+    out = moved
+    for x in (*sides, *counts):
+        out = out.union(x)
+    return out
+
+
+def save(diff: DataFrame, path: str) -> None:
+    """JSON lines in one order, so that equal diffs are equal files in equal numbers of parts."""
+    diff.repartitionByRange("partition", "kind", "key", "column").sortWithinPartitions("partition", "kind", "key", "column").write.mode("overwrite").json(path)
+
+
+def load(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("partition string, kind string, key string, `column` string, before string, after string").json(path)
+
+
+def replayed(before: DataFrame, diff: DataFrame, key: str) -> DataFrame:
+    """before with a recorded diff done to it; refuses another number of keys than was recorded."""
+    rows = diff.where("kind = 'rows_before'").first()
+    if rows is None or before.select(key).distinct().count() != int(rows["before"]):
+        raise LoadCountMismatch("not the extract that the diff was recorded on")
+    named = lambda kind: diff.where(F.col("kind") == kind).withColumnRenamed("key", key)
+    return applied(before, named("changed").select(key, "column", "before", "after"), named("removed").select(key), key)

@@ -22,11 +22,6 @@ def newest_events(rows: DataFrame, column: str) -> DataFrame:
     return rows.groupBy("_partition").agg(F.max(text.timestamp(F.col(column))).alias("newest"))
 
 
-def hours(start: Column, end: Column) -> Column:
-    micro = lambda c: F.unix_micros(c.cast("timestamp"))
-    return (micro(end) - micro(start)).cast("double") / F.lit(3.6e9)
-
-
 def freshness(contract: Contract, manifest: DataFrame, newest: DataFrame, now: datetime, reference: str | None = None, applies_to: str | None = None) -> DataFrame:
     """partition, clause, verdict, limit, lag_hours, reference for each entry (partition, rows, fetched_at) of a manifest."""
     clock = reference or contract.freshness["reference"]
@@ -36,7 +31,7 @@ def freshness(contract: Contract, manifest: DataFrame, newest: DataFrame, now: d
     tail = manifest.agg(F.max("partition").alias("_tail"))
     named = newest.select(F.col("_partition").alias("partition"), "newest")
     out = manifest.join(named, "partition", "left").crossJoin(F.broadcast(tail)).withColumn("_clock", against)  # one row
-    lag = hours(F.col("newest"), F.col("_clock"))
+    lag = text.exact_hours(F.col("newest"), F.col("_clock"))
     verdict = (
         F.when(F.lit(scope == "tail") & (F.col("partition") != F.col("_tail")), "not_applicable")
         .when(F.col("newest").isNull(), "no_events")
@@ -70,7 +65,7 @@ def mad(rows: DataFrame, column: str) -> DataFrame:
 
 
 def fit_floor(manifest: DataFrame, holdout: int = 5, k: float = 3.0) -> DataFrame:
-    """median, mad, floor, train, test, fires, rate, degenerate: a floor of k deviations, fitted before the last ``holdout`` partitions and tried on them."""
+    """median, mad, floor, train, test, fires, rate, resolution (the step that a rate of so few can have), degenerate: a floor of k deviations, fitted before the last ``holdout`` partitions and tried on them."""
     # a row for each day of a feed: small by nature
     placed = manifest.withColumn("_place", F.row_number().over(Window.orderBy(F.desc("partition"))))
     train, test = placed.where(F.col("_place") > holdout), placed.where(F.col("_place") <= holdout)
@@ -80,7 +75,7 @@ def fit_floor(manifest: DataFrame, holdout: int = 5, k: float = 3.0) -> DataFram
     counts = train.agg(F.count("*").alias("train"))
     tried = test.crossJoin(F.broadcast(fitted)).agg(F.count("*").alias("test"), F.count_if(F.col("rows") < F.col("floor")).alias("fires"))
     out = fitted.crossJoin(counts).crossJoin(tried)
-    return out.withColumns({"rate": F.when(F.col("test") > 0, F.col("fires") / F.col("test")), "degenerate": F.col("mad") == 0})
+    return out.withColumns({"rate": F.when(F.col("test") > 0, F.col("fires") / F.col("test")), "resolution": F.when(F.col("test") > 0, F.lit(1.0) / F.col("test")), "degenerate": F.col("mad") == 0})
 
 
 def tally(verdicts: DataFrame) -> DataFrame:

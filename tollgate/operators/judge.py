@@ -16,13 +16,13 @@ from tollgate.contract import Check, Contract
 from tollgate.functions import text
 from tollgate.refusals import NothingChecked
 
-PARTITION, FAILURES, EVALUATIONS = "_partition", "_failures", "_evaluations"
+PARTITION, FAILURES, EVALUATIONS, ALL = "_partition", "_failures", "_evaluations", "__verdicts"
 FAILURE = "array<struct<subject:string,rule:string>>"
 
 
 @dataclass(frozen=True)
 class Rule:
-    """subject, label; passes: of a present value, or of the row (null: silent); on_null: judged on null too."""
+    """subject, label; passes: of a present value, or of the row (null: silent); evaluated: whether it was judged."""
 
     subject: str
     label: str
@@ -36,44 +36,44 @@ def value_rules(contract: Contract, present: set[str]) -> list[Rule]:
     for c in contract.columns:
         if c.name not in present:
             continue
-        col, there = F.col(f"`{c.name}`"), ~text.is_null(F.col(f"`{c.name}`"))
+        value = text.stripped(F.col(f"`{c.name}`"))
+        there, n = ~text.null_text(value), text.number_of(value)
 
         def rule(label: str, passes: Column, name=c.name, there=there) -> Rule:
             return Rule(name, label, F.when(there, passes), there)
 
         if c.rules.get("required"):
             out.append(Rule(c.name, "required", there, F.lit(True)))
-        kinds = {"string": lambda x: F.lit(True), "integer": text.is_integer, "number": lambda x: text.number(x).isNotNull(), "timestamp": lambda x: text.timestamp(x).isNotNull()}
-        out.append(rule("type", kinds[c.type](col)))
+        kinds = {"string": lambda: F.lit(True), "integer": lambda: value.rlike(text.INTEGER), "number": lambda: n.isNotNull(), "timestamp": lambda: text.timestamp_of(value).isNotNull()}
+        out.append(rule("type", kinds[c.type]()))
         if "allowed" in c.rules:
-            out.append(rule("allowed", text.stripped(col).isin(*[str(v) for v in c.rules["allowed"]])))
+            out.append(rule("allowed", value.isin(*[str(v) for v in c.rules["allowed"]])))
         if "max_length" in c.rules:
-            out.append(rule("max_length", F.char_length(text.stripped(col)) <= int(c.rules["max_length"])))
+            out.append(rule("max_length", F.char_length(value) <= int(c.rules["max_length"])))
         if "matches" in c.rules:
-            out.append(rule("matches", text.starts_matching(col, c.rules["matches"])))
-        value = text.number(col)
+            out.append(rule("matches", value.rlike(f"^(?:{c.rules['matches']})")))
         if "min" in c.rules:
-            out.append(rule("min", value.isNull() | (~F.isnan(value) & (value >= float(c.rules["min"])))))
+            out.append(rule("min", n.isNull() | (~F.isnan(n) & (n >= float(c.rules["min"])))))
         if "max" in c.rules:
-            out.append(rule("max", value.isNull() | (~F.isnan(value) & (value <= float(c.rules["max"])))))
+            out.append(rule("max", n.isNull() | (~F.isnan(n) & (n <= float(c.rules["max"])))))
         if c.rules.get("unique"):
-            out.append(rule("unique", F.coalesce(F.col(twice(c.name)), F.lit(1)) <= 1))
+            out.append(rule("unique", F.coalesce(F.col(f"`{twice(c.name)}`"), F.lit(1)) <= 1))
     return out
 
 
 def twice(name: str) -> str:
-    return f"_times_{name}"
+    return f"__times_{name}"
 
 
 def check_passes(check: Check) -> Column:
     """True, false, or null where the check has nothing to say."""
+    value = lambda arg: text.stripped(F.col(f"`{check.args[arg]}`"))
     if check.kind == "ordering":
-        before, after = (text.timestamp(F.col(f"`{check.args[k]}`")) for k in ("before", "after"))
-        return after >= before
+        return text.timestamp_of(value("after")) >= text.timestamp_of(value("before"))
     if check.kind not in ("requires_when", "forbids_when"):
         raise ValueError(f"no check is called {check.kind}")
-    fires = F.coalesce(text.stripped(F.col(f"`{check.args['when_column']}`")), F.lit("")).isin(*[str(v) for v in check.values])
-    null = text.is_null(F.col(f"`{check.args['then_required' if check.kind == 'requires_when' else 'then_absent']}`"))
+    fires = F.coalesce(value("when_column"), F.lit("")).isin(*[str(v) for v in check.values])
+    null = text.null_text(value("then_required" if check.kind == "requires_when" else "then_absent"))
     return F.when(fires, ~null if check.kind == "requires_when" else null)
 
 
@@ -96,18 +96,18 @@ def judged(rows: DataFrame, contract: Contract) -> DataFrame:
     out = rows
     for c in contract.columns:
         if c.name in present and c.rules.get("unique"):
-            again = collisions(rows, c.name).select(F.col(PARTITION).alias("_p"), F.col("value").alias("_v"), F.col("times").alias(twice(c.name)))
-            out = out.join(again, (out[PARTITION] == again["_p"]) & (out[c.name] == again["_v"]), "left").drop("_p", "_v")
+            again = collisions(rows, c.name).select(F.col(PARTITION).alias("__p"), F.col("value").alias("__v"), F.col("times").alias(twice(c.name)))
+            out = out.join(again, (out[PARTITION] == again["__p"]) & (out[c.name] == again["__v"]), "left").drop("__p", "__v")
     rules, checks = value_rules(contract, present), checks_of(contract, present)
-    out = out.withColumns({f"_check_{c.name}": check_passes(c) for c in checks})
     label = lambda subject, rule: F.struct(F.lit(subject).alias("subject"), F.lit(rule).alias("rule"))
-    failures = [F.when(~r.passes, label(r.subject, r.label)) for r in rules] + [F.when(~F.col(f"_check_{c.name}"), label("check", c.name)) for c in checks]
-    work = [r.evaluated.cast("long") for r in rules] + [F.col(f"_check_{c.name}").isNotNull().cast("long") for c in checks]
+    verdicts = [F.when(~r.passes, label(r.subject, r.label)) for r in rules] + [F.when(~check_passes(c), label("check", c.name)) for c in checks]
     total = F.lit(0).cast("long")
-    for w in work:
-        total = total + w
-    found = F.array_compact(F.array(*failures)).cast(FAILURE) if failures else F.array().cast(FAILURE)
-    return out.withColumns({FAILURES: found, EVALUATIONS: total}).drop(*[twice(c.name) for c in contract.columns])
+    for w in [*[r.evaluated for r in rules], *[check_passes(c).isNotNull() for c in checks]]:
+        total = total + w.cast("long")
+    # all verdicts are one column, read twice and so computed once, inside code generation; only rows that fail have a list made for them
+    out = out.withColumns({ALL: (F.array(*verdicts) if verdicts else F.array()).cast(FAILURE), EVALUATIONS: total} | {f"_check_{c.name}": check_passes(c) for c in checks})
+    found = F.when(F.array_max(ALL).isNull(), F.array().cast(FAILURE)).otherwise(F.array_compact(ALL))
+    return out.withColumn(FAILURES, found).select(*[f"`{c}`" for c in rows.columns], *[f"`_check_{c.name}`" for c in checks], FAILURES, EVALUATIONS)
 
 
 def drift(rows: DataFrame, contract: Contract) -> tuple[list[str], list[str]]:

@@ -33,6 +33,19 @@ def rejudge_summary(again: DataFrame) -> DataFrame:
     return out
 
 
+def stopped(again: DataFrame) -> DataFrame:
+    """reason, rows: reasons of recovered rows, which no longer fire."""
+    free = again.where(F.size(judge.FAILURES) == 0).select(F.explode(F.split(split.REASONS, " and ")).alias("reason"))
+    return free.groupBy("reason").agg(F.count("*").alias("rows"))
+
+
+def reworded(again: DataFrame, ordinal: str) -> DataFrame:
+    """ordinal, was, now: the sorted reasons of rows that are still held for another set of them."""
+    now = F.array_sort(F.transform(judge.FAILURES, lambda f: F.concat(f["subject"], F.lit(":"), f["rule"])))
+    both = again.where(F.size(judge.FAILURES) > 0).select(ordinal, F.array_sort(F.split(split.REASONS, " and ")).alias("was"), now.alias("now"))
+    return both.where(F.col("was") != F.col("now"))
+
+
 def marginal(judged: DataFrame, contract: Contract) -> DataFrame:
     """subject, rule, removable, recovered: how many rows each constraint alone holds; null where it can't be removed.
 
@@ -40,9 +53,10 @@ def marginal(judged: DataFrame, contract: Contract) -> DataFrame:
     """
     spark = judged.sparkSession
     listed = spark.createDataFrame([(c.subject, c.rule, c.removable) for c in constraints(contract)], "subject string, rule string, removable boolean")
-    alone = judged.where(F.size(judge.FAILURES) == 1).select(F.get(judge.FAILURES, F.lit(0)).alias("f")).groupBy(F.col("f.subject").alias("subject"), F.col("f.rule").alias("rule")).agg(F.count("*").alias("alone"))
-    out = listed.join(alone, ["subject", "rule"], "left")
-    return out.select("subject", "rule", "removable", F.when(F.col("removable"), F.coalesce("alone", F.lit(0))).alias("recovered"))
+    one = judged.select(F.when(F.size(judge.FAILURES) == 1, F.get(judge.FAILURES, F.lit(0))).alias("f")).groupBy("f").agg(F.count("*").alias("alone"))
+    alone = one.select(F.col("f.subject").alias("subject"), F.col("f.rule").alias("rule"), F.lit(None).cast("boolean").alias("removable"), "alone")
+    both = listed.withColumn("alone", F.lit(0).cast("long")).unionByName(alone).groupBy("subject", "rule").agg(F.max("removable").alias("removable"), F.sum("alone").alias("alone"))
+    return both.where("removable is not null").select("subject", "rule", "removable", F.when(F.col("removable"), F.col("alone")).alias("recovered"))
 
 
 def relaxed(contract: Contract, subject: str, rule: str | None) -> Contract:
@@ -54,27 +68,31 @@ def relaxed(contract: Contract, subject: str, rule: str | None) -> Contract:
 
 @dataclass(frozen=True)
 class Break:
-    """Damage to some rows; subject, rule: what must catch it, or None if it should pass."""
+    """Damage to some rows; subject, rule: what must catch it (a rule ``type`` goes with its column), or None if it should pass.
+
+    columns: what a target's column becomes; copied: columns that targets take from a clean donor row, which then fails with them.
+    """
 
     name: str
     subject: str | None
     rule: str | None
     columns: dict[str, Callable[[Column], Column]]
+    copied: tuple[str, ...] = ()
 
 
 #: Breaks of service requests, by what they do to a column of a clean row.
 CATALOGUE = [
-    Break("blank key", "unique_key", "required", {"unique_key": lambda c: F.lit("")}),
-    Break("duplicate key", "unique_key", "unique", {"unique_key": lambda c: F.lit("same")}),
-    Break("no created date", "created_date", "required", {"created_date": lambda c: F.lit("N/A")}),
-    Break("date without time", "created_date", "type", {"created_date": lambda c: F.substring(c, 1, 10)}),
-    Break("closed before created", "check", "closed_after_created", {"closed_date": lambda c: F.lit("1900-01-01T00:00:00.000"), "status": lambda c: F.lit("Closed")}),
-    Break("closed without a date", "check", "closed_request_has_a_closed_date", {"status": lambda c: F.lit("Closed"), "closed_date": lambda c: F.lit("")}),
-    Break("open with a date", "check", "open_request_has_no_closed_date", {"status": lambda c: F.lit("Open"), "closed_date": lambda c: F.lit("2999-01-01T00:00:00.000")}),
-    Break("short zip", "incident_zip", "matches", {"incident_zip": lambda c: F.lit("0083")}),
-    Break("unknown borough", "borough", "allowed", {"borough": lambda c: F.lit("ATLANTIS")}),
-    Break("long agency", "agency", "max_length", {"agency": lambda c: F.lit("A very long agency")}),
-    Break("wrong agency", None, None, {"agency": lambda c: F.lit("OTHER")}),
+    Break("blank_key", "unique_key", "required", {"unique_key": lambda c: F.lit("")}),
+    Break("unknown_borough", "borough", "allowed", {"borough": lambda c: F.lit("ATLANTIS")}),
+    Break("long_agency", "agency", "max_length", {"agency": lambda c: F.lit("A very long agency")}),
+    Break("short_zip", "incident_zip", "matches", {"incident_zip": lambda c: F.lit("0083")}),
+    Break("far_north", "latitude", "max", {"latitude": lambda c: F.lit("60.17")}),
+    Break("longitude_in_words", "longitude", "type", {"longitude": lambda c: F.lit("seventy-four")}),
+    Break("duplicate_key", "unique_key", "unique", {}, ("unique_key",)),
+    Break("closed_before_created", "check", "closed_after_created", {"closed_date": lambda c: F.lit("1900-01-01T00:00:00.000"), "status": lambda c: F.lit("Closed")}),
+    Break("closed_without_a_date", "check", "closed_request_has_a_closed_date", {"status": lambda c: F.lit("Closed"), "closed_date": lambda c: F.lit("")}),
+    Break("open_with_a_date", "check", "open_request_has_no_closed_date", {"status": lambda c: F.lit("Open"), "closed_date": lambda c: F.lit("2999-01-01T00:00:00.000")}),
+    Break("wrong_agency", None, None, {"agency": lambda c: F.lit("OTHER")}),
 ]
 
 
@@ -92,25 +110,43 @@ def targets(judged: DataFrame, ordinal: str, count: int) -> DataFrame:
     return spread.join(before, "_part").withColumn("_place", place).where((F.col("_place") > 0) & (F.col("_place") % step == 0) & (F.col("_place") / step <= count)).select(ordinal)
 
 
-def damaged(rows: DataFrame, chosen: DataFrame, ordinal: str, break_: Break) -> DataFrame:
-    """rows with the break done to the chosen ones; chosen has few rows."""
-    marked = rows.join(F.broadcast(chosen.withColumn("_hit", F.lit(True))), ordinal, "left")
-    return marked.withColumns({c: F.when(F.col("_hit"), f(F.col(c))).otherwise(F.col(c)) for c, f in break_.columns.items()}).drop("_hit")
+def damaged(rows: DataFrame, chosen: DataFrame, ordinal: str, break_: Break, donor=None) -> DataFrame:
+    """rows with the break done to the chosen ones; donor: a clean row, for what the break copies."""
+    marked = rows.join(chosen.withColumn("_hit", F.lit(True)), ordinal, "left")
+    changes = {c: f(F.col(c)) for c, f in break_.columns.items()} | {c: F.lit(donor[c]) for c in break_.copied}
+    return marked.withColumns({c: F.when(F.col("_hit"), new).otherwise(F.col(c)) for c, new in changes.items()}).drop("_hit")
 
 
 def outcome(rows: DataFrame, contract: Contract, ordinal: str, break_: Break, count: int) -> DataFrame:
-    """name, targets, new_holds, caught, named, collateral, control_clean: what the contract says of the damage, and without the rule."""
+    """name, targets, damaged, new_holds, caught, named, collateral, control_holds, amplification: what the contract says of the damage.
+
+    damaged: rows that must fail, the donor among them; control_holds: how many of them still do when the
+    damage is judged again by a contract without the rule, which must be none; amplification: rows lost for each row written to.
+    """
     before = judge.judged(rows, contract)
     chosen = targets(before, ordinal, count)
-    after = judge.judged(damaged(rows, chosen, ordinal, break_), contract)
-    held = after.where(F.size(judge.FAILURES) > 0).select(ordinal, judge.FAILURES)
-    new = held.join(before.where(F.size(judge.FAILURES) > 0).select(ordinal), ordinal, "left_anti")
-    new = new.join(F.broadcast(chosen.withColumn("_target", F.lit(True))), ordinal, "left")
+    hurt, donor = chosen, None
+    if break_.copied:
+        donor = before.where(F.size(judge.FAILURES) == 0).agg(F.max_by(F.struct(ordinal, *break_.copied), ordinal).alias("r")).first()["r"]  # one row
+        if not chosen.where(F.col(ordinal) == donor[ordinal]).isEmpty():
+            raise CannotRelax("the donor is a target: fewer of them")
+        hurt = chosen.union(rows.sparkSession.createDataFrame([(donor[ordinal],)], chosen.schema))
+    after = damaged(rows, chosen, ordinal, break_, donor)
+    without = contract if break_.subject is None else relaxed(contract, break_.subject, None if break_.rule == "type" else break_.rule)
+
+    def fresh(rule_book: Contract, was: DataFrame) -> DataFrame:
+        """Rows that the damage made fail."""
+        held = lambda df: df.where(F.size(judge.FAILURES) > 0)
+        return held(judge.judged(after, rule_book)).select(ordinal, judge.FAILURES).join(held(was).select(ordinal), ordinal, "left_anti")
+
+    new = fresh(contract, before).join(hurt.withColumn("_target", F.lit(True)), ordinal, "left")
+    still = fresh(without, judge.judged(rows, without)).join(hurt, ordinal, "left_semi").agg(F.count("*").alias("control_holds"))
     by_rule = F.exists(judge.FAILURES, lambda f: (f["subject"] == (break_.subject or "")) & (f["rule"] == (break_.rule or "")))
-    # the control: the same rows judged without the rule
-    control = F.size(F.filter(judge.FAILURES, lambda f: ~((f["subject"] == (break_.subject or "")) & (f["rule"] == (break_.rule or ""))))) == 0
     hit = F.coalesce("_target", F.lit(False))
-    return new.agg(F.lit(break_.name).alias("name"), F.lit(count).alias("targets"), F.count("*").alias("new_holds"), F.count_if(hit).alias("caught"), F.count_if(hit & by_rule).alias("named"), F.count_if(~hit).alias("collateral"), F.count_if(hit & control).alias("control_clean"))
+    found = new.agg(F.count("*").alias("new_holds"), F.count_if(hit).alias("caught"), F.count_if(hit & by_rule).alias("named"), F.count_if(~hit).alias("collateral"))
+    out = found.crossJoin(still)  # one row each
+    n = count + (1 if break_.copied else 0)
+    return out.select(F.lit(break_.name).alias("name"), F.lit(count).cast("long").alias("targets"), F.lit(n).cast("long").alias("damaged"), "new_holds", "caught", "named", "collateral", "control_holds", (F.col("new_holds") / F.lit(float(count))).alias("amplification"))
 
 
 def repeated(rows: DataFrame, times: int) -> DataFrame:

@@ -36,21 +36,62 @@ def held(judged: DataFrame) -> DataFrame:
     return judged.where(F.size(judge.FAILURES) > 0).select(judge.PARTITION, *columns, reason().alias(REASONS))
 
 
-def report(judged: DataFrame, contract: Contract) -> dict:
-    """The counts of one partition's or all rows' judgement, rule counts by descending count, then name."""
-    total = judge.summary(judged, contract).drop(judge.PARTITION)
-    got = total.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in total.columns]).first().asDict()
-    rules = judge.rule_counts(judged).orderBy(F.desc("failed"), "subject", "rule").collect()  # a row for each rule of the contract
-    return got | {"dataset": contract.dataset, "rules": [{"subject": r.subject, "rule": r.rule, "failed": r.failed} for r in rules], "held_by_rule_total": sum(r.failed for r in rules), "largest_rule": max((r.failed for r in rules), default=0)}
-
-
-def write(judged: DataFrame, contract: Contract, partition: str, directory: str) -> dict:
+#: The names of a report's fields, fixed values of the format.
+FIELDS = {
+    "rows": "rows", "accepted": "accepted", "held": "held", "held_share": "held_share", "multi_rule": "rows_breaking_more_than_one_rule",
+    "held_only_by_unique": "held_only_by_a_key_collision", "largest_collision": "largest_key_collision", "sum_of_rule_counts": "sum_of_rule_counts",
+    "largest_rule_count": "largest_rule_count", "evaluations": "rule_evaluations",
+}
+
+
+def reports(judged: DataFrame, contract: Contract) -> DataFrame:
+    """A row for each partition: the counts, held_share, largest_collision, by_rule (subject, rule, rows by descending rows, then name) and considered_<check>.
+
+    Every part is aggregated by partition first, so a row for each rule is all that is gathered.
+    """
+    total = judge.summary(judged, contract)
+    by = judged.select(judge.PARTITION, F.explode(judge.FAILURES).alias("f")).groupBy(judge.PARTITION, "f").agg(F.count("*").alias("n"))
+    listed = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), F.col("f.subject").alias("subject"), F.col("f.rule").alias("rule"))))
+    rules = by.groupBy(judge.PARTITION).agg(F.sum("n").alias("sum_of_rule_counts"), F.max("n").alias("largest_rule_count"), F.transform(listed, lambda x: F.struct(x["subject"].alias("subject"), x["rule"].alias("rule"), (-x["n"]).alias("rows"))).alias("by_rule"))
+    largest = None
+    for c in contract.columns:
+        if c.rules.get("unique") and c.name in judged.columns:
+            one = judge.collisions(judged, c.name).groupBy(judge.PARTITION).agg(F.max("times").alias("times"))
+            largest = one if largest is None else largest.union(one)
+    out = total.join(rules, judge.PARTITION, "left")
+    out = out.join(largest.groupBy(judge.PARTITION).agg(F.max("times").alias("times")), judge.PARTITION, "left") if largest is not None else out.withColumn("times", F.lit(None).cast("long"))
+    checks = [c for c in total.columns if c.startswith("considered_")]
+    return out.select(
+        judge.PARTITION, "rows", "accepted", "held", F.round(F.col("held") / F.col("rows"), 6).alias("held_share"), "multi_rule", "held_only_by_unique",
+        F.greatest(F.lit(1), F.coalesce("times", F.lit(1))).cast("long").alias("largest_collision"), F.coalesce("sum_of_rule_counts", F.lit(0)).alias("sum_of_rule_counts"),
+        F.coalesce("largest_rule_count", F.lit(0)).alias("largest_rule_count"), "evaluations", F.coalesce("by_rule", F.array().cast("array<struct<subject:string,rule:string,rows:long>>")).alias("by_rule"), *checks,
+    )
+
+
+def report(judged: DataFrame, contract: Contract, partition: str, path: str | None = None) -> dict:
+    """The report of one partition; of one without rows too, whose held share is 0.0."""
+    one = reports(judged.where(F.col(judge.PARTITION) == partition), contract)
+    row = one.first()  # one row, a list with an entry for each rule in it
+    got = row.asDict() if row else {c: 0 for c in one.columns} | {"largest_collision": 1, "by_rule": []}
+    missing, more = judge.drift(judged, contract)
+    return {name: got[c] for c, name in FIELDS.items()} | {
+        "partition": partition,
+        "path": path,
+        "held_share": round(got["held"] / got["rows"], 6) if got["rows"] else 0.0,
+        "by_rule": [{"subject": r.subject, "rule": r.rule, "rows": r.rows} for r in got["by_rule"]],
+        "rows_each_check_could_judge": {c.removeprefix("considered_"): n for c, n in sorted(got.items()) if c.startswith("considered_")},
+        "contracted_columns_absent": missing,
+        "columns_with_no_contract": more,
+    }
+
+
+def write(judged: DataFrame, contract: Contract, partition: str, directory: str, path: str | None = None) -> dict:
     """accepted/ and quarantined/ as CSV with headers, and report.json, of one partition; the report."""
     one = judged.where(F.col(judge.PARTITION) == partition)
     judge.refuse_if_idle(one)
     for name, side in (("accepted", accepted(one)), ("quarantined", held(one))):
         side.drop(judge.PARTITION).write.mode("overwrite").option("header", True).option("emptyValue", "").option("quote", '"').option("escape", '"').csv(f"{directory}/{name}")
-    found = report(one, contract) | {"partition": partition}
+    found = report(one, contract, partition, path)
     spark = judged.sparkSession
     text = json.dumps(found, sort_keys=True, indent=2)
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").option("lineSep", "\n").text(f"{directory}/report.json")

@@ -18,8 +18,8 @@ def staging(raw: DataFrame) -> DataFrame:
         text.fractional_timestamp(F.col("created_date")).alias("created_at"),
         text.fractional_timestamp(F.col("closed_date")).alias("closed_at"),
         "agency", "complaint_type", "descriptor", "incident_zip", "borough", "status",
-        text.number(F.col("latitude")).alias("latitude"),
-        text.number(F.col("longitude")).alias("longitude"),
+        text.plain_double(F.col("latitude")).alias("latitude"),
+        text.plain_double(F.col("longitude")).alias("longitude"),
         F.col("_partition").alias("partition_day"), "_source_sha256", "_loaded_at",
     )
 
@@ -113,11 +113,42 @@ def materialize(raw: DataFrame, path: str) -> dict[str, DataFrame]:
     return built
 
 
+def table_name(model: str) -> str:
+    """The layer is the database's name, whatever else is set: staging, silver or gold."""
+    layer = {"stg": "staging", "slv": "silver", "dim": "silver", "gold": "gold"}[model.split("_")[0]]
+    return f"{layer}.{model}"
+
+
+def publish(raw: DataFrame) -> dict[str, DataFrame]:
+    """All models as catalog objects of their layer: staging as a temporary view, the others as tables."""
+    spark, built = raw.sparkSession, {"raw": raw}
+    for layer in layers()[1:]:
+        for name in layer:
+            parents, f = MODELS[name]
+            built[name] = f(*[built[p] for p in parents])
+            if name.startswith("stg"):
+                built[name].createOrReplaceTempView(name)
+                continue
+            spark.sql(f"create database if not exists {table_name(name).split('.')[0]}")
+            built[name].write.mode("overwrite").saveAsTable(table_name(name))
+            built[name] = spark.table(table_name(name))
+    return built
+
+
+def published_gold(spark) -> dict[str, DataFrame]:
+    """The gold tables that the catalog lists; refuses none."""
+    names = [t.name for d in spark.catalog.listDatabases() if d.name.startswith("gold") for t in spark.catalog.listTables(d.name) if not t.isTemporary]
+    if not names:
+        raise Refusal("the catalog has no gold table")
+    return {n: spark.table(f"gold.{n}") for n in sorted(names)}
+
+
 def gold_digest(built: dict[str, DataFrame]) -> DataFrame:
-    """table, rows, digest of every gold table; refuses none."""
-    from tollgate.sinks.store import additive_fingerprint
+    """table, rows, digest of every gold table, and the requests that its rows are of; refuses none."""
+    from tollgate.sinks.store import fingerprint
 
-    found = [additive_fingerprint(df).select(F.lit(n).alias("table"), "*") for n, df in sorted(built.items()) if n.startswith("gold")]
+    total = lambda df: df.agg(F.coalesce(F.sum("request_count"), F.lit(0)).alias("requests"))
+    found = [fingerprint(df).crossJoin(total(df)).select(F.lit(n).alias("table"), "*") for n, df in sorted(built.items()) if n.startswith("gold")]  # one row each
     if not found:
         raise Refusal("no gold table")
     out = found[0]

@@ -161,8 +161,8 @@ def _range(c: str, lo: str, hi: str) -> list[str]:
     return [f"CASE WHEN NOT {_null(c)} AND {_num(c)} IS NOT NULL AND (isnan({_num(c)}) OR {_num(c)} < {lo}) THEN '{c}:min' END", f"CASE WHEN NOT {_null(c)} AND {_num(c)} IS NOT NULL AND (isnan({_num(c)}) OR {_num(c)} > {hi}) THEN '{c}:max' END"]
 
 
-def _judged_sql(view: str) -> str:
-    """judged: the view with f (subject:rule texts in order), c1..c3 (the checks' verdicts) and evaluations."""
+def _judge_ctes(view: str, n: str = "") -> str:
+    """judged<n>: the view with f (subject:rule texts in order), c1..c3 (the checks' verdicts) and evaluations."""
     required = lambda c: f"CASE WHEN {_null(c)} THEN '{c}:required' END"
     present = lambda c, n: f"CASE WHEN {_null(c)} THEN 0 ELSE {n} END"
     f = [
@@ -180,13 +180,14 @@ def _judged_sql(view: str) -> str:
     ]
     work = ["6", present("unique_key", 2), present("created_date", 1), present("closed_date", 1), present("agency", 2), present("complaint_type", 1), present("descriptor", 1), present("incident_zip", 2), present("borough", 2), present("status", 2), present("latitude", 3), present("longitude", 3), present("n", 3)]
     work += [f"CASE WHEN {c} IS NULL THEN 0 ELSE 1 END" for c in ("c1", "c2", "c3")]
-    return (
-        (_DAMAGED if view == "damaged" else _REQUESTS)
-        + f""", counted AS (SELECT *, {_ts('closed_date')} >= {_ts('created_date')} AS c1, CASE WHEN trim(status) = 'Closed' THEN NOT {_null('closed_date')} END AS c2,
+    return f""", counted{n} AS (SELECT *, {_ts('closed_date')} >= {_ts('created_date')} AS c1, CASE WHEN trim(status) = 'Closed' THEN NOT {_null('closed_date')} END AS c2,
   CASE WHEN trim(status) IN ('Open', 'Assigned', 'Pending', 'In Progress', 'Started') THEN {_null('closed_date')} END AS c3,
   CASE WHEN {_null('unique_key')} THEN 1 ELSE count(*) OVER (PARTITION BY _partition, unique_key) END AS times FROM {view}),
-judged AS (SELECT *, list_filter([{', '.join(f)}], lambda x: x IS NOT NULL) AS f, CAST({' + '.join(work)} AS BIGINT) AS evaluations FROM counted)"""
-    )
+judged{n} AS (SELECT *, list_filter([{', '.join(f)}], lambda x: x IS NOT NULL) AS f, CAST({' + '.join(work)} AS BIGINT) AS evaluations FROM counted{n})"""
+
+
+def _judged_sql(view: str) -> str:
+    return (_DAMAGED if view == "damaged" else _REQUESTS) + _judge_ctes(view)
 
 
 _JUDGED = _judged_sql("damaged")
@@ -224,9 +225,16 @@ query("check_considered", f"{_JUDGED} SELECT count(c1) AS ordering, count(c2) AS
 )
 query("split_accepted", f"{_JUDGED} SELECT _partition, k, {_COLUMNS} FROM judged WHERE len(f) = 0")(lambda s, d: split.accepted(judged(s, d)))
 query("split_held", f"{_JUDGED} SELECT _partition, k, {_COLUMNS}, array_to_string(f, ' and ') AS _contract_failures FROM judged WHERE len(f) > 0")(lambda s, d: split.held(judged(s, d)))
-query("quarantine_report", f"{_JUDGED} SELECT count(*) AS rows, count(*) FILTER (WHERE len(f) = 0) AS accepted, count(*) FILTER (WHERE len(f) > 0) AS held, CAST(sum(len(f)) AS BIGINT) AS failures FROM judged")(
-    lambda s, d: judged(s, d).agg(F.count("*").alias("rows"), F.count_if(F.size(judge.FAILURES) == 0).alias("accepted"), F.count_if(F.size(judge.FAILURES) > 0).alias("held"), F.sum(F.size(judge.FAILURES)).alias("failures"))
-)
+_CHECKS = {"c1": "closed_after_created", "c2": "closed_request_has_a_closed_date", "c3": "open_request_has_no_closed_date"}
+query(
+    "quarantine_report",
+    f"""{_JUDGED}, flat AS (SELECT _partition, x, count(*) AS n FROM (SELECT _partition, unnest(f) AS x FROM judged) t GROUP BY _partition, x),
+  rules AS (SELECT _partition, CAST(sum(n) AS BIGINT) AS total, max(n) AS largest, string_agg(x || '=' || n, '; ' ORDER BY n DESC, split_part(x, ':', 1), split_part(x, ':', 2)) AS by_rule FROM flat GROUP BY _partition),
+  whole AS (SELECT _partition, count(*) AS rows, count(*) FILTER (WHERE len(f) = 0) AS accepted, count(*) FILTER (WHERE len(f) > 0) AS held, count(*) FILTER (WHERE len(f) > 1) AS multi_rule,
+  count(*) FILTER (WHERE len(f) > 0 AND len(list_filter(f, lambda x: NOT ends_with(x, ':unique'))) = 0) AS held_only_by_unique, max(times) AS largest_collision, CAST(sum(evaluations) AS BIGINT) AS evaluations,
+  {', '.join(f'count({c}) AS considered_{name}' for c, name in _CHECKS.items())} FROM judged GROUP BY _partition)
+  SELECT w.*, round(held / rows, 6) AS held_share, coalesce(total, 0) AS sum_of_rule_counts, coalesce(largest, 0) AS largest_rule_count, coalesce(by_rule, '') AS by_rule FROM whole w LEFT JOIN rules r ON r._partition = w._partition""",
+)(lambda s, d: split.reports(judged(s, d), table_contract()).withColumn("by_rule", F.array_join(F.transform("by_rule", lambda x: F.concat(x["subject"], F.lit(":"), x["rule"], F.lit("="), x["rows"].cast("string"))), "; ")))
 _PROFILE = [(r, c.name) for c in table_contract().columns for r in [*(["required"] if c.rules.get("required") else []), "type", *[x for x in ("allowed", "max_length", "matches", "min", "max") if x in c.rules], *(["unique"] if c.rules.get("unique") else [])]]
 _LISTED = ", ".join([f"('{c}', '{r}')" for r, c in _PROFILE] + [f"('check', '{c.name}')" for c in table_contract().checks])
 query("profile_columns", f"{_FLAT} SELECT p.subject, p.rule, count(flat.rule) AS failed FROM (VALUES {_LISTED}) p(subject, rule) LEFT JOIN flat ON flat.subject = p.subject AND flat.rule = p.rule GROUP BY p.subject, p.rule")(
@@ -254,12 +262,48 @@ def rejudge_relaxed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejudge.rejudge_summary(again)
 
 
-@query("break_duplicate_key")
-def break_duplicate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = next(b for b in rejudge.CATALOGUE if b.name == "duplicate key")
-    rows = requests(spark, sf_dir).withColumn("_partition", F.lit("all"))
-    return rejudge.outcome(rows, table_contract(), "k", found, 8)
+query("rejudge_stopped", f"{_JUDGED} SELECT 'agency:max_length' AS reason, count(*) AS rows FROM judged WHERE f = ['agency:max_length']")(
+    lambda s, d: rejudge.stopped(rejudge.rejudge(split.accepted(r := judged(s, d)), split.held(r), contracts.relax_column(table_contract(), "agency", "max_length")))
+)
+query(
+    "rejudge_reworded",
+    f"{_JUDGED} SELECT k, array_to_string(list_sort(f), ' and ') AS was, array_to_string(list_sort(list_filter(f, lambda x: x <> 'agency:max_length')), ' and ') AS now FROM judged WHERE list_contains(f, 'agency:max_length') AND len(f) > 1",
+)(
+    lambda s, d: rejudge.reworded(rejudge.rejudge(split.accepted(r := judged(s, d)), split.held(r), contracts.relax_column(table_contract(), "agency", "max_length")), "k").select("k", F.array_join("was", " and ").alias("was"), F.array_join("now", " and ").alias("now"))
+)
 
+_DONE = {  # what each break writes, in SQL
+    "blank_key": {"unique_key": "''"},
+    "unknown_borough": {"borough": "'ATLANTIS'"},
+    "long_agency": {"agency": "'A very long agency'"},
+    "short_zip": {"incident_zip": "'0083'"},
+    "far_north": {"latitude": "'60.17'"},
+    "longitude_in_words": {"longitude": "'seventy-four'"},
+    "duplicate_key": {"unique_key": "(SELECT CAST(max(k) AS VARCHAR) FROM clean)"},
+    "closed_before_created": {"closed_date": "'1900-01-01T00:00:00.000'", "status": "'Closed'"},
+    "closed_without_a_date": {"status": "'Closed'", "closed_date": "''"},
+    "open_with_a_date": {"status": "'Open'", "closed_date": "'2999-01-01T00:00:00.000'"},
+    "wrong_agency": {"agency": "'OTHER'"},
+}
+
+
+def _break_sql(b: rejudge.Break, count: int) -> str:
+    named = f"{b.subject}:{b.rule}"
+    less = "f" if b.subject is None else f"list_filter(f, lambda x: NOT starts_with(x, '{b.subject}:'))" if b.rule == "type" else f"list_filter(f, lambda x: x <> '{named}')"
+    changes = ", ".join(f"CASE WHEN k IN (SELECT k FROM chosen) THEN {v} ELSE {c} END AS {c}" for c, v in _DONE[b.name].items())
+    hurt = "SELECT k FROM chosen" + (" UNION SELECT max(k) FROM clean" if b.copied else "")
+    return f"""{_REQUESTS}, whole AS (SELECT * REPLACE ('all' AS _partition) FROM requests){_judge_ctes('whole', '0')},
+  clean AS (SELECT k, row_number() OVER (ORDER BY k) - 1 AS place, count(*) OVER () AS n FROM judged0 WHERE len(f) = 0),
+  chosen AS (SELECT k FROM clean WHERE place > 0 AND place % (n // {count + 1}) = 0 AND place // (n // {count + 1}) <= {count}), hurt AS ({hurt}),
+  broken AS (SELECT * REPLACE ({changes}) FROM whole){_judge_ctes('broken', '1')},
+  met AS (SELECT b.f AS new, b.less AS new_less, a.f AS old, a.less AS old_less, b.k IN (SELECT k FROM hurt) AS hit FROM (SELECT k, f, {less} AS less FROM judged1) b JOIN (SELECT k, f, {less} AS less FROM judged0) a ON a.k = b.k),
+  fresh AS (SELECT * FROM met WHERE len(new) > 0 AND len(old) = 0)
+  SELECT '{b.name}' AS name, CAST({count} AS BIGINT) AS targets, (SELECT count(*) FROM hurt) AS damaged, count(*) AS new_holds, count(*) FILTER (WHERE hit) AS caught, count(*) FILTER (WHERE hit AND list_contains(new, '{named}')) AS named,
+  count(*) FILTER (WHERE NOT hit) AS collateral, (SELECT count(*) FROM met WHERE hit AND len(new_less) > 0 AND len(old_less) = 0) AS control_holds, count(*) / {float(count)} AS amplification FROM fresh"""
+
+
+for _break in rejudge.CATALOGUE:
+    query(f"break_{_break.name}", _break_sql(_break, 8))(lambda s, d, b=_break: rejudge.outcome(requests(s, d).withColumn("_partition", F.lit("all")), table_contract(), "k", b, 8))
 
 query("replay_twice", f"{_DAMAGED} SELECT count(*) AS held FROM (SELECT * FROM damaged WHERE NOT {_null('unique_key')}) t, (VALUES (1), (2)) v(i)")(
     lambda s, d: judge.judged(rejudge.repeated(damaged(s, d), 2), table_contract()).where(F.exists(judge.FAILURES, lambda f: f["rule"] == "unique")).agg(F.count("*").alias("held"))
@@ -293,7 +337,7 @@ query(
     "fit_floor",
     f"""{_MANIFEST}, p AS (SELECT rows, row_number() OVER (ORDER BY partition DESC) AS i FROM manifest), m AS (SELECT median(rows) AS med FROM p WHERE i > 5),
   f AS (SELECT any_value(med) AS median, median(abs(rows - med)) AS mad, count(*) AS train FROM p, m WHERE i > 5)
-  SELECT median, mad, median - 3.0 * mad AS floor, train, count(*) AS test, count(*) FILTER (WHERE rows < median - 3.0 * mad) AS fires, CAST(count(*) FILTER (WHERE rows < median - 3.0 * mad) AS DOUBLE) / count(*) AS rate, mad = 0 AS degenerate
+  SELECT median, mad, median - 3.0 * mad AS floor, train, count(*) AS test, count(*) FILTER (WHERE rows < median - 3.0 * mad) AS fires, CAST(count(*) FILTER (WHERE rows < median - 3.0 * mad) AS DOUBLE) / count(*) AS rate, CAST(1 AS DOUBLE) / count(*) AS resolution, mad = 0 AS degenerate
   FROM p, f WHERE i <= 5 GROUP BY median, mad, train""",
 )(lambda s, d: feed.fit_floor(manifest(s, d)))
 query("window_half_open", "SELECT event_id, event_type FROM events WHERE ts >= TIMESTAMP '2024-01-03' AND ts < TIMESTAMP '2024-01-04'")(
@@ -316,10 +360,9 @@ _SLV = (
   CASE WHEN closed_at IS NULL OR closed_at < created_at THEN NULL ELSE date_diff('minute', created_at, closed_at) / 60.0 END AS resolution_hours,
   latitude IS NOT NULL AND longitude IS NOT NULL AS has_location FROM stg)"""
 )
-query("stg_requests", f"{_STG} SELECT unique_key, created_at, closed_at, agency, complaint_type, incident_zip, borough, status, longitude, partition_day FROM stg")(
-    lambda s, d: models.build(raw(s, d))["stg_requests"].drop("_source_sha256", "_loaded_at", "descriptor", "latitude")
-)
-query("slv_requests", f"{_SLV} SELECT unique_key, created_date, is_closed, CAST(resolution_hours AS DOUBLE) AS resolution_hours FROM slv")(lambda s, d: models.build(raw(s, d))["slv_requests"].select("unique_key", "created_date", "is_closed", "resolution_hours"))
+_TYPED = "unique_key, created_at, closed_at, agency, complaint_type, descriptor, incident_zip, borough, status, latitude, longitude, partition_day"
+query("stg_requests", f"{_STG} SELECT {_TYPED} FROM stg")(lambda s, d: models.build(raw(s, d))["stg_requests"].drop("_source_sha256", "_loaded_at"))
+query("slv_requests", f"{_SLV} SELECT {_TYPED}, created_date, is_closed, CAST(resolution_hours AS DOUBLE) AS resolution_hours, has_location FROM slv")(lambda s, d: models.build(raw(s, d))["slv_requests"].drop("_source_sha256", "_loaded_at"))
 _DIM = ", dim AS (SELECT complaint_type, list_sort(list(DISTINCT agency)) AS agencies, count(DISTINCT agency) AS agency_count, count(*) AS request_count FROM slv GROUP BY complaint_type)"
 query("dim_complaint_type", f"{_SLV}{_DIM} SELECT complaint_type, array_to_string(agencies, '|') AS agencies, agency_count, request_count FROM dim")(lambda s, d: models.build(raw(s, d))["dim_complaint_type"].withColumn("agencies", F.array_join("agencies", "|")))
 query(
@@ -336,10 +379,13 @@ query(
 )(lambda s, d: models.build(raw(s, d))["gold_complaint_resolution"].withColumn("agencies", F.array_join("agencies", "|")))
 
 
-@query("cast_lossless", f"{_DAMAGED} SELECT unique_key, 'created_date' AS \"column\" FROM damaged WHERE created_date IS NOT NULL AND try_strptime(created_date, '%Y-%m-%dT%H:%M:%S.%f') IS NULL AND unique_key NOT LIKE 'dup%' AND trim(unique_key) <> ''")
+_LOST = " UNION ALL ".join(f"SELECT unique_key, '{c}' AS \"column\", count({c}) - count({typed}) AS lost FROM damaged GROUP BY unique_key HAVING count({c}) > count({typed})" for c, typed in (("created_date", "try_strptime(created_date, '%Y-%m-%dT%H:%M:%S.%f')"), ("closed_date", "try_strptime(closed_date, '%Y-%m-%dT%H:%M:%S.%f')"), ("latitude", "TRY_CAST(latitude AS DOUBLE)"), ("longitude", "TRY_CAST(longitude AS DOUBLE)")))
+
+
+@query("cast_lossless", f"{_DAMAGED} {_LOST}")
 def cast_lossless(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = raw(spark, sf_dir).where("unique_key not like 'dup%' and trim(unique_key) <> ''")  # keys that a join can rely on
-    return checks.lossless_cast(rows, models.staging(rows), {"created_date": "created_at", "closed_date": "closed_at"})
+    rows = raw(spark, sf_dir)
+    return checks.lossless_cast(rows, models.staging(rows), {"created_date": "created_at", "closed_date": "closed_at", "latitude": "latitude", "longitude": "longitude"})
 
 
 @query("totals_agree", f"{_SLV} SELECT 'complaint_resolution' AS mart, (SELECT count(*) FROM slv) AS expected, (SELECT count(*) FROM slv WHERE complaint_type <> 'NULL') AS found WHERE (SELECT count(*) FROM slv) <> (SELECT count(*) FROM slv WHERE complaint_type <> 'NULL')")
@@ -351,7 +397,37 @@ def totals_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
 query("not_null", f"{_STG} SELECT unique_key FROM stg WHERE created_at IS NULL")(lambda s, d: checks.not_null(models.staging(raw(s, d)), "created_at").select("unique_key"))
 query("unique_test", f"{_DAMAGED} SELECT unique_key AS value, count(*) AS times FROM damaged WHERE unique_key IS NOT NULL GROUP BY unique_key HAVING count(*) > 1")(lambda s, d: checks.unique(raw(s, d), "unique_key"))
 query("accepted_values", f"{_DAMAGED} SELECT status AS value, count(*) AS times FROM damaged WHERE status NOT IN ('Open', 'Closed', 'Pending') GROUP BY status")(lambda s, d: checks.accepted_values(raw(s, d), "status", ["Open", "Closed", "Pending"]))
-query("tests_on_held")(lambda s, d: checks.run_on_held(split.held(judged(s, d)), table_contract(), "unique_key"))
+
+
+def _held_tests_sql() -> str:
+    out = []
+    for t in checks.from_contract(table_contract()):
+        c = t.column
+        if t.kind == "not_null":
+            n = f"SELECT count(*) FROM held WHERE {c} IS NULL"
+        elif t.kind == "unique":
+            n = f"SELECT count(*) FROM (SELECT {c} FROM held WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1) t"
+        else:
+            n = f"SELECT count(DISTINCT {c}) FROM held WHERE {c} NOT IN ({', '.join(repr(v) for v in t.values)})"
+        out.append(f"SELECT '{c}' AS \"column\", '{t.kind}' AS kind, ({n}) AS violations, true AS control")
+    return f"{_JUDGED}, held AS (SELECT * FROM judged WHERE len(f) > 0) {' UNION ALL '.join(out)}"
+
+
+query("tests_on_held", _held_tests_sql())(lambda s, d: checks.run_on_held(split.held(judged(s, d)), table_contract(), "unique_key"))
+_PROVENANCE = ", ".join(f"('{c.name}', '{c.provenance}')" for c in table_contract().columns)
+_HITS = f"{_FLAT}, known(subject, provenance) AS (VALUES {_PROVENANCE}), hits AS (SELECT flat.subject, rule, provenance, count(*) AS failed FROM flat JOIN known ON known.subject = flat.subject GROUP BY flat.subject, rule, provenance)"
+query("profile_provenance", f"{_HITS} SELECT provenance, count(*) AS rules, CAST(sum(failed) AS BIGINT) AS failed FROM hits GROUP BY provenance")(lambda s, d: profile.by_provenance(judged(s, d), table_contract()))
+query(
+    "profile_corpus",
+    f"""{_HITS}, vals AS (SELECT split_part(x, ':', 1) AS subject, split_part(x, ':', 2) AS rule, CASE split_part(x, ':', 1) {_VALUE} END AS value, min(k) AS place_k FROM (SELECT *, unnest(f) AS x FROM judged) t GROUP BY 1, 2, 3),
+  firsts AS (SELECT *, row_number() OVER (PARTITION BY subject, rule ORDER BY place_k) AS place FROM vals),
+  few AS (SELECT subject, rule, string_agg(coalesce(value, '(null)'), '|' ORDER BY place) AS examples FROM firsts WHERE place <= 3 GROUP BY subject, rule)
+  SELECT h.subject, h.rule, provenance, failed, failed / (SELECT CAST(count(*) AS DOUBLE) FROM judged) AS rate, examples FROM hits h JOIN few ON few.subject = h.subject AND few.rule = h.rule""",
+)(lambda s, d: profile.corpus(judged(s, d), table_contract(), "k").withColumn("examples", F.array_join("examples", "|", "(null)")))
+query(
+    "profile_checks",
+    f"""{_JUDGED} {' UNION ALL '.join(f"SELECT '{name}' AS \"check\", '{kind}' AS kind, count({c}) AS considered, count(*) FILTER (WHERE NOT {c}) AS failed, CAST(count(*) FILTER (WHERE NOT {c}) AS DOUBLE) / count({c}) AS rate FROM judged" for (c, name), kind in zip(_CHECKS.items(), ("ordering", "requires_when", "forbids_when")))}""",
+)(lambda s, d: profile.checks(judged(s, d), table_contract()))
 
 
 @query("reconcile", "WITH t AS (SELECT strftime(ts, '%Y-%m-%d') AS _partition, count(*) AS n FROM events GROUP BY 1), l AS (SELECT _partition, CASE WHEN substr(_partition, 9) = '05' THEN n - 1 ELSE n END AS m FROM t WHERE substr(_partition, 9) <> '09') SELECT coalesce(t._partition, l._partition) AS _partition, coalesce(n, 0) AS in_table, coalesce(m, 0) AS in_ledger FROM t FULL JOIN l ON t._partition = l._partition WHERE coalesce(n, 0) <> coalesce(m, 0)")
@@ -390,7 +466,10 @@ query("verify_multiset", f"{_TWO} SELECT 'first' AS side, * FROM (SELECT segment
 query("null_safe_compare", f"{_TWO}, a AS (SELECT nation, count(*) AS n FROM before GROUP BY nation), b AS (SELECT nation, count(*) AS n FROM after GROUP BY nation) SELECT CAST(coalesce(sum(abs(coalesce(a.n, 0) - coalesce(b.n, 0))), 0) // 2 AS BIGINT) AS differing FROM a FULL JOIN b ON a.nation IS NOT DISTINCT FROM b.nation")(
     lambda s, d: diff.null_safe_counts(*_two(s, d), "nation")
 )
-query("fingerprint", r"""SELECT count(*) AS rows, CAST(sum(CAST('0x' || substr(md5(CAST(r_regionkey AS VARCHAR) || chr(31) || r_name), 1, 15) AS BIGINT)) AS VARCHAR) AS digest FROM region""")(lambda s, d: store.additive_fingerprint(table(s, d, "region")))
+query(
+    "fingerprint",
+    r"""SELECT count(*) AS rows, substr(sha256(CAST(coalesce(sum(CAST('0x' || substr(sha256(concat_ws(chr(31), CAST(l_orderkey AS VARCHAR), CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), l_returnflag, l_linestatus, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S'))), 1, 15) AS BIGINT)), 0) AS VARCHAR)), 1, 12) AS digest FROM lineitem""",
+)(lambda s, d: store.fingerprint(table(s, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("l_shipdate"))))
 query("orphans", "SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS _partition FROM events WHERE day(ts) % 7 = 0")(
     lambda s, d: store.orphans(table(s, d, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("_partition")), manifest(s, d).where("dayofmonth(to_date(partition)) % 7 <> 0"))
 )

@@ -1,16 +1,18 @@
 """The raw layer: all text, a partition replaced as a whole, verified before it is seen, and a ledger.
 
-Parquet has no transaction over two tables.  A partition is written aside, counted and
-compared as a multiset there, and only then put in place by a dynamic partition overwrite;
-its ledger row comes last.  A crash in between leaves a drift that ``reconcile`` shows, and
-loading the partition again mends it.
+Parquet has no transaction over two tables.  A partition is written aside as a table of its
+own, counted and compared as a multiset there, and only then put in place by a dynamic
+partition overwrite; its ledger row comes last, and the table aside is dropped.  A crash in
+between leaves a drift that ``reconcile`` shows, and loading the partition again mends it.
 """
 
 from __future__ import annotations
 
+import re
+import uuid
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,22 +69,35 @@ class RawStore:
     def _replace(self, rows: DataFrame, name: str) -> None:
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_partition").parquet(f"{self.path}/{name}")
 
+    def _clear(self, partition: str) -> None:
+        """Nothing in the partition's folder: a dynamic overwrite without rows would leave what is there."""
+        # Spark writes these characters of a folder's name as their codes, a fixed value of the format
+        folder = re.sub(r"[\x01-\x1f\"#%'*/:=?\\\x7f{\[\]^]", lambda m: f"%{ord(m[0]):02X}", partition)
+        empty = self.spark.createDataFrame([], T.StructType([f for f in self.schema if f.name != "_partition"]))
+        empty.write.mode("overwrite").parquet(f"{self.path}/raw/_partition={folder}")
+
     def load(self, rows: DataFrame, partition: str, verdict: dict, sha256: str, now: datetime) -> int:
         """Put a partition's accepted rows (text columns in the contract's order) in place of what is there; the number of rows."""
         files.check_header(rows.columns, self.contract)
         filled = rows.select(*[F.when(F.col(f"`{c}`") != "", F.col(f"`{c}`")).alias(c) for c in rows.columns])
-        staged_path = f"{self.path}/_staging/{partition}"
-        filled.write.mode("overwrite").parquet(staged_path)
-        staged = self.spark.read.schema(files.text_schema(self.contract.names)).parquet(staged_path)
-        count = staged.count()
-        if count != verdict["accepted"]:
-            raise LoadCountMismatch(f"{partition}: {count} rows of {verdict['accepted']}")
-        wrong = multiset_difference(filled, staged).limit(5).collect()  # examples for the message
-        if wrong:
-            raise ContentMismatch(f"{partition}: {wrong}")
-        stamp = F.lit(now).cast("timestamp_ntz")
-        meta = {"_source_sha256": F.lit(sha256), "_loaded_at": stamp, "_partition": F.lit(partition)}
-        self._replace(staged.withColumns(meta), "raw")
+        name = f"staging_{uuid.uuid4().hex}"
+        try:
+            filled.write.saveAsTable(name)
+            staged = self.spark.table(name)
+            count = staged.count()
+            if count != verdict["accepted"]:
+                raise LoadCountMismatch(f"{partition}: {count} rows of {verdict['accepted']}")
+            wrong, total = mismatches(filled, staged)
+            if total:
+                raise ContentMismatch(f"{partition}: {total} rows differ, among them {wrong}")
+            stamp = F.lit(now).cast("timestamp_ntz")
+            meta = {"_source_sha256": F.lit(sha256), "_loaded_at": stamp, "_partition": F.lit(partition)}
+            if count:
+                self._replace(staged.withColumns(meta), "raw")
+            else:
+                self._clear(partition)
+        finally:
+            self.spark.sql(f"drop table if exists {name}")
         entry = self.spark.createDataFrame([(self.contract.dataset, count, int(verdict["held"]))], "dataset string, rows_loaded long, rows_held long")
         self._replace(entry.withColumns(meta).select("dataset", "rows_loaded", "rows_held", "_source_sha256", "_loaded_at", "_partition").coalesce(1), "ledger")
         return count
@@ -131,22 +146,29 @@ def backfill(store: RawStore, start: str, end: str, judged: DataFrame, load) ->
     return done
 
 
-def fingerprint(rows: DataFrame, leave_out: tuple[str, ...] = ("_loaded_at",)) -> str:
-    """``rows:first 12 hex digits``: a digest of all rows in order of all columns; for tables that one sorted pass can take."""
-    import hashlib
+def mismatches(source: DataFrame, stored: DataFrame, limit: int = 5) -> tuple[list, int]:
+    """At most ``limit`` rows that one side has more often, the stored side's first, and how many there are."""
+    wrong = multiset_difference(source, stored)
+    total = wrong.count()
+    return [tuple(r) for r in wrong.orderBy(F.desc("side")).limit(limit).collect()] if total else [], total
+
+
+def lines(rows: DataFrame, leave_out: tuple[str, ...] = ("_loaded_at",)) -> Column:
+    """A row's cells as one text; null cells are empty."""
+    return F.concat_ws("\x1f", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in rows.columns if c not in leave_out])
+
+
+def fingerprint(rows: DataFrame, leave_out: tuple[str, ...] = ("_loaded_at",)) -> DataFrame:
+    """rows, digest (12 hex digits): of the multiset of rows, in any order, for tables of any size.
 
-    columns = [c for c in rows.columns if c not in leave_out]
-    line = F.concat_ws("\x1f", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in columns])
-    digest, count = hashlib.sha256(), 0
-    for r in rows.orderBy(*[F.col(f"`{c}`") for c in columns]).select(line.alias("line")).toLocalIterator(prefetchPartitions=True):
-        digest.update(r["line"].encode() + b"\x1e")
-        count += 1
-    return f"{count}:{digest.hexdigest()[:12]}"
+    Every row's digest is made where the row is and sums are added up, so nothing is sorted or
+    gathered; equal tables have equal digests however they are stored.
+    """
+    part = F.conv(F.substring(F.sha2(lines(rows, leave_out), 256), 1, 15), 16, 10).cast("decimal(38,0)")
+    return rows.agg(F.count("*").alias("rows"), F.substring(F.sha2(F.coalesce(F.sum(part), F.lit(0)).cast("string"), 256), 1, 12).alias("digest"))
 
 
-def additive_fingerprint(rows: DataFrame, leave_out: tuple[str, ...] = ("_loaded_at",)) -> DataFrame:
-    """rows, digest: an order-free sum of row digests, for tables of any size."""
-    columns = [c for c in rows.columns if c not in leave_out]
-    line = F.concat_ws("\x1f", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in columns])
-    part = F.conv(F.substring(F.md5(line), 1, 15), 16, 10).cast("decimal(38,0)")
-    return rows.agg(F.count("*").alias("rows"), F.coalesce(F.sum(part), F.lit(0)).cast("string").alias("digest"))
+def stamp(rows: DataFrame) -> str:
+    """``rows:digest`` of a table."""
+    r = fingerprint(rows).first()
+    return f"{r['rows']}:{r['digest']}"

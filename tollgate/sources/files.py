@@ -20,9 +20,13 @@ def text_schema(names: list[str]) -> T.StructType:
 
 
 def header(spark: SparkSession, path: str) -> list[str]:
-    """The column names of the first line of the first file."""
-    first = spark.read.option("recursiveFileLookup", "true").text(path).first()
-    return [x.strip('"') for x in first["value"].rstrip("\r").split(",")] if first else []
+    """The column names in the first line of the first file by name, read as CSV, so that a quoted comma is part of a name."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).where(~F.element_at(F.split("path", "/"), -1).rlike("^[_.]"))
+    first = files.agg(F.min("path").alias("path")).first()["path"]
+    if first is None:
+        return []
+    line = spark.read.options(header="false", quote='"', escape='"').csv(first).first()
+    return list(line) if line else []
 
 
 def check_header(found: list[str], contract: Contract) -> None:
@@ -30,10 +34,13 @@ def check_header(found: list[str], contract: Contract) -> None:
         raise HeaderMismatch(f"{found} isn't {contract.names}")
 
 
-def read_csv(spark: SparkSession, paths: str | list[str], names: list[str], strict: bool = True) -> DataFrame:
-    """All columns as text and never from folder names; strict: a row with too many or too few fields fails the read."""
+def read_csv(spark: SparkSession, paths: str | list[str], names: list[str], strict: bool = True, one_line: bool = False) -> DataFrame:
+    """All columns as text and never from folder names; strict: a row with too many or too few fields fails the read.
+
+    one_line: no field holds a line end, so that a large file is split among tasks; else a file is one task.
+    """
     read = spark.read.schema(text_schema(names) if strict else text_schema([*names, "_corrupt_record"]))
-    options = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "enforceSchema": "false", "recursiveFileLookup": "true", "mode": "FAILFAST" if strict else "PERMISSIVE"}
+    options = {"header": "true", "multiLine": str(not one_line).lower(), "quote": '"', "escape": '"', "enforceSchema": "false", "recursiveFileLookup": "true", "mode": "FAILFAST" if strict else "PERMISSIVE"}
     if not strict:
         options |= {"columnNameOfCorruptRecord": "_corrupt_record", "enforceSchema": "true"}
     return read.options(**options).csv(paths)
@@ -43,12 +50,27 @@ def read_partition(spark: SparkSession, path: str, names: list[str], partition:
     return read_csv(spark, path, names).withColumn("_partition", F.lit(partition))
 
 
+def read_days(spark: SparkSession, paths: str | list[str], names: list[str]) -> DataFrame:
+    """Partitions of many days in one read; _partition is the last day named in a file's path."""
+    rows = read_csv(spark, paths, names)
+    return rows.withColumn("_partition", F.element_at(F.regexp_extract_all(F.col("_metadata.file_path"), F.lit(r"(\d{4}-\d{2}-\d{2})"), F.lit(1)), -1))
+
+
+def read_held(spark: SparkSession, root: str, contract: Contract) -> DataFrame:
+    """All quarantined rows under root (``<root>/<partition>/quarantined``), with the partition taken from the path."""
+    return read_days(spark, f"{root}/*/quarantined", [*contract.names, REASONS])
+
+
 def refuse_long_rows(rows: DataFrame) -> DataFrame:
-    """rows of a read that isn't strict, without the corrupt column; refuses rows with too many fields."""
-    cached = rows.cache()  # the corrupt column alone can't be asked for
-    if not cached.where("_corrupt_record is not null").isEmpty():
-        raise ContentMismatch("a row has more fields than columns")
-    return cached.drop("_corrupt_record")
+    """rows of a read that isn't strict, without the corrupt column; refuses rows with more fields than columns (a short row's missing fields are null)."""
+    names = [c for c in rows.columns if c != "_corrupt_record"]
+    bare = F.regexp_replace("_corrupt_record", '"(?:[^"]|"")*"', "")  # without quoted fields, whose commas and line ends don't count
+    commas = F.length(F.regexp_replace(bare, "[^,]", ""))
+    # the corrupt column alone can't be asked for
+    found = rows.agg(F.count_if(commas >= len(names)).alias("long"), *[F.count(f"`{c}`") for c in names]).first()
+    if found["long"]:
+        raise ContentMismatch(f"{found['long']} rows have more fields than columns")
+    return rows.drop("_corrupt_record")
 
 
 def read_verdict(spark: SparkSession, directory: str, partition: str) -> dict:
@@ -89,16 +111,27 @@ def type_disagreements(spark: SparkSession, paths: list[str]) -> dict[str, list[
     return {c: sorted(t) for c, t in sorted(found.items()) if len(t) > 1}
 
 
-def inference_damage(spark: SparkSession, paths: list[str], column: str) -> DataFrame:
-    """differing: values of a column that change if all files are read with the first one's inferred types."""
-    from tollgate.operators.diff import null_safe_counts
+def refuse_mixed(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """The types that all files agree on; refuses a set of files of which one would be read otherwise."""
+    unlike = type_disagreements(spark, paths)
+    if unlike:
+        raise ContentMismatch("; ".join(f"{c}: {', '.join(t)}" for c, t in unlike.items()))
+    return inferred_types(spark, paths[0])
+
 
+def inference_damage(spark: SparkSession, paths: list[str], names: list[str] | None = None) -> DataFrame:
+    """column, type, changed: for every column, how many cells change if all files are read with the first one's inferred types."""
     if len(paths) < 2:
         raise NoQuarantine("two files at least")
     types = inferred_types(spark, paths[0])
-    plain = read_csv(spark, paths, list(types), strict=True)
-    cast = plain.withColumn(column, F.col(column).try_cast(types[column]).cast("string"))
-    return null_safe_counts(plain, cast, column)
+    plain = read_csv(spark, paths, names or list(types))
+    cast = plain.select(*[F.col(f"`{c}`").try_cast(types.get(c, "string")).cast("string").alias(c) for c in plain.columns])
+    # one aggregation for all columns: how often each column has each value, before and after
+    long = lambda df, n: df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("value")) for c in df.columns])).alias("v")).select("v.column", "v.value", F.lit(n).alias("n"))
+    cells = long(plain, 1).union(long(cast, -1)).groupBy("column", "value").agg(F.sum("n").alias("n"))
+    changed = cells.groupBy("column").agg((F.sum(F.abs("n")) / 2).cast("long").alias("changed"))
+    known = spark.createDataFrame([(c, types.get(c)) for c in plain.columns], "column string, type string")
+    return known.join(changed, "column", "left").select("column", "type", F.coalesce("changed", F.lit(0)).alias("changed"))
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -126,3 +159,23 @@ def write_partition(rows: DataFrame, names: list[str], path: str) -> None:
     """Fixed columns, absent ones empty, line feeds."""
     there = set(rows.columns)
     rows.select(*[F.coalesce(F.col(n).cast("string"), F.lit("")).alias(n) if n in there else F.lit("").alias(n) for n in names]).write.mode("overwrite").options(header="true", lineSep="\n", emptyValue="", quote='"', escape='"').csv(path)
+
+
+def entry(spark: SparkSession, path: str, partition: str, rows: int, expected: int, fetched_at: str | None) -> DataFrame:
+    """A manifest's row for what is stored under path: sizes are added up, and the digest is of the files' digests in order of their names."""
+    found = digests(spark, path).where(~F.element_at(F.split("path", "/"), -1).rlike("^[_.]"))
+    # a file's name and digest, not its content, for each file of one partition
+    whole = found.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("path", "sha256"))), lambda x: x["sha256"]), ""), 256).alias("sha256"))
+    return whole.select(F.lit(partition).alias("partition"), F.lit(rows).cast("long").alias("rows"), F.lit(expected).cast("long").alias("expected_rows"), "bytes", "sha256", F.lit(fetched_at).cast("string").alias("fetched_at"), F.lit(path).alias("path"))
+
+
+def save_manifest(entries: DataFrame, path: str) -> None:
+    """One JSON document with the partitions in order: a row a day of a feed."""
+    names = [c.split(" ")[0] for c in MANIFEST.split(", ")]
+    whole = entries.agg(F.array_sort(F.collect_list(F.struct(*names))).alias("partitions"))
+    whole.coalesce(1).write.mode("overwrite").json(path)
+
+
+def digest_of(manifest_: DataFrame, partitions: DataFrame) -> DataFrame:
+    """partition, sha256 (null where the manifest doesn't know it) of the partitions asked for."""
+    return partitions.select("partition").join(manifest_.select("partition", "sha256"), "partition", "left")
