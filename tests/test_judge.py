@@ -187,3 +187,10 @@ def test_contracts_that_load():
     assert "memo" not in contracts.drop_column(contracts.parse(BASE), "memo").names
     with pytest.raises(CannotRelax):
         contracts.relax_check(contracts.parse(BASE), "nobody")
+
+
+def test_counts_of_the_shipped_contract():
+    from tollgate.queries import shipped_contract
+
+    c = shipped_contract()
+    assert (len(c.columns), c.constraint_count, c.asserted_count, len(c.checks)) == (11, 20, 13, 3)

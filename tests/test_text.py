@@ -65,3 +65,15 @@ def test_hours_count_minute_boundaries(spark):
 def test_rounding_is_of_the_binary_value(spark):
     df = spark.createDataFrame([(0.575,), (2.5,), (None,)], "v double")
     assert [r.r for r in df.select(text.rounded(F.col("v")).alias("r")).collect()] == [math.floor(0.575 * 100 + 0.5) / 100, 2.5, None]
+
+
+def test_nothing_depends_on_the_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("2025-03-09T01:59:59.000", "2025-03-09T02:30:00.000")], "a string, b string")
+        a, b = (text.timestamp(F.col(c)) for c in "ab")
+        r = df.select(b.cast("string").alias("b"), text.hours_between(a, b).alias("h"), text.exact_hours(a, b).alias("x")).first()
+        assert (r.b, r.h) == ("2025-03-09 02:30:00", pytest.approx(31 / 60)) and r.x == pytest.approx(1801 / 3600)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
