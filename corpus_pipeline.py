@@ -2,6 +2,12 @@
 
 Every stage takes all that the one before it kept.  A document that loses all its words to a
 stage goes; one that had none stays as it is.
+
+Cases, for every stage: a null text is empty, and an empty one stays and packs to its end id
+alone; texts of any length are taken whole; a row with a null doc_id is judged for toxicity
+and packed like any other, loses no line or passage and takes none from others, and is nobody's
+duplicate; repeated rows of a doc_id stay or go together; without labels nothing is toxic; an
+empty table gives an empty one; a missing lang or source is null; other columns are dropped.
 """
 
 from __future__ import annotations
@@ -19,7 +25,8 @@ ORACLE_SQL = None
 
 
 def _whole(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *OTHERS)
+    others = [c if c in docs.columns else F.lit(None).cast("string").alias(c) for c in OTHERS]
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *others)
 
 
 def _documents(docs: DataFrame) -> DataFrame:
