@@ -38,3 +38,19 @@ def test_stages(spark, tmp_path):
     assert cut[1004] == clean[3] + " " + passage and passage not in cut[1005] and cut[1005] == clean[4]
     assert {r.doc_id for r in seen[4].collect()} == set(cut)
     assert cp.run(spark, str(tmp_path)).count() == seen[4].count()
+
+
+def test_odd_tables(spark, tmp_path):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(None, text), (None, text), (5, None), (6, ""), (7, text), (7, text), (8, "\n".join([text, "one more line"]))]
+    for name, some in (("odd", rows), ("none", [])):
+        at = tmp_path / name
+        spark.createDataFrame(some, "doc_id long, text string").write.parquet(str(at / "documents.parquet"))
+        spark.createDataFrame([(None, None), (5, None)], "doc_id long, toxic int").write.parquet(str(at / "labels.parquet"))
+        out = cp.run(spark, str(at)).collect()
+        assert sum(r.piece == 0 for r in out) == len(some)
+        if some:
+            assert {r.length for r in out if r.doc_id in (5, 6)} == {1}
+            assert len({(r.length, r.ids_crc32) for r in out if r.doc_id in (None, 7)}) == 1
+            whole = next(r.length for r in out if r.doc_id == 7)
+            assert 1 < next(r.length for r in out if r.doc_id == 8) < whole
