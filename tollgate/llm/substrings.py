@@ -27,6 +27,7 @@ ascending order of doc_id.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.llm import parts
-from tollgate.llm.tables import arrow_map, kept, rows, scratch, steady
+from tollgate.llm.tables import arrow_map, kept, rows, steady
 from tollgate.llm.words import Words, blocks, grams, inside, mix, words
 
 WINDOW, GRAM = 13, 4
@@ -102,7 +103,7 @@ def _windows(block: pa.RecordBatch, row: np.ndarray, copies: str | None) -> tupl
 
 
 def prints(docs: DataFrame, copies: str | None, bounds: list[int] = ()) -> DataFrame:
-    """fp, part, batch, least, most: the fingerprints of the windows of documents that aren't copies, with the smallest and largest doc_id of a block that have each; bounds: the last doc_ids of all batches but the last."""
+    """fp, part, batch, least, most: the fingerprints of the windows of documents that aren't copies, with the smallest and largest doc_id of a block that have each (most is null where that is one document); bounds: the last doc_ids of all batches but the last."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, row in numbered(batches):
@@ -116,13 +117,13 @@ def prints(docs: DataFrame, copies: str | None, bounds: list[int] = ()) -> DataF
             head = np.ones(len(fp), bool)
             head[1:] = (fp[1:] != fp[:-1]) | (b[1:] != b[:-1])
             last = np.append(head[1:], True) if len(fp) else head
-            yield rows(fp=pa.array(fp[head]), part=pa.array(np.full(int(head.sum()), parts.here()), pa.int32()), batch=pa.array(b[head], pa.int32()), least=pa.array(of[head]), most=pa.array(of[last]))
+            yield rows(fp=pa.array(fp[head]), part=pa.array(np.full(int(head.sum()), parts.here()), pa.int32()), batch=pa.array(b[head], pa.int32()), least=pa.array(of[head]), most=pa.array(of[last], mask=of[head] == of[last]))
 
     return arrow_map(docs.select("doc_id", "text"), each, "fp long, part int, batch int, least long, most long", whole=True)
 
 
 class FingerprintIndex:
-    """Runs of (fp, part, least, most), each a table bucketed and sorted by fp, in the shared folder."""
+    """Runs of (fp, part, least, most), each a table of the warehouse, bucketed and sorted by fp; its files go when it is dropped."""
 
     def __init__(self, spark: SparkSession, buckets: int, fanout: int = FANOUT):
         self.spark, self.buckets, self.fanout = spark, buckets, fanout
@@ -131,21 +132,20 @@ class FingerprintIndex:
         self.compactions = 0
 
     def _write(self, df: DataFrame) -> str:
-        path = scratch(self.spark, "run")
-        name = "run_" + path.rsplit("-", 1)[1]
+        name = f"run_{uuid.uuid4().hex}"
         sorted_ = df.select("fp", "part", "least", "most").repartition(self.buckets, "fp").sortWithinPartitions("fp")
-        sorted_.write.option("path", path).bucketBy(self.buckets, "fp").sortBy("fp").saveAsTable(name)
+        sorted_.write.bucketBy(self.buckets, "fp").sortBy("fp").saveAsTable(name)
         return name
 
     def add(self, batch: DataFrame) -> DataFrame:
         """Append the ``prints`` of a batch as a run; part, fp of all documents so far whose windows with that fingerprint are candidates now."""
-        lo, hi = batch.agg(F.min("least"), F.max("most")).first()
+        lo, hi = batch.agg(F.min("least"), F.max(F.coalesce("most", "least"))).first()
         if lo is not None and self.last is not None and lo <= self.last:
             raise ValueError(f"a batch begins at {lo}, the index ends at {self.last}")
         self.last = hi if hi is not None else self.last
         name = self._write(batch)
         run = self.spark.table(name)
-        new = run.groupBy("fp").agg(F.min("least").alias("least"), F.max("most").alias("most"))
+        new = run.groupBy("fp").agg(F.min("least").alias("least"), F.max(F.coalesce("most", "least")).alias("most"))
         asked = new.where("least < most").select("fp")
         out = None
         for r in self.runs:
