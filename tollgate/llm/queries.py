@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tollgate.llm import bpe, fingerprints, jaccard, kneser_ney, lines, packing, quality, quotes, substrings, toxicity
+from tollgate.llm import bpe, fim, fingerprints, jaccard, kneser_ney, language, lines, packing, quality, quotes, resampling, substrings, toxicity
 from tollgate.llm.tables import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,5 +53,17 @@ def op10_ngram_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_kneser_ney, op2_fingerprint_runs, op3_deletion_neighbourhood, op4_ftrl_toxicity, op5_vertical_jaccard, op6_quotation_linking, op7_best_fit_packing, op8_bpe_segment_tree, op9_scaled_sketch, op10_ngram_perplexity)}
-ORACLES: dict[str, str] = {"op6_quotation_linking": quotes.ORACLE}
+def op11_trie_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.digest(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op12_automaton_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digest(documents(spark, sf_dir))
+
+
+def op13_output_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_kneser_ney, op2_fingerprint_runs, op3_deletion_neighbourhood, op4_ftrl_toxicity, op5_vertical_jaccard, op6_quotation_linking, op7_best_fit_packing, op8_bpe_segment_tree, op9_scaled_sketch, op10_ngram_perplexity, op11_trie_resampling, op12_automaton_fim, op13_output_codes)}
+ORACLES: dict[str, str] = {"op6_quotation_linking": quotes.ORACLE, "op12_automaton_fim": fim.ORACLE}

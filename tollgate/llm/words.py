@@ -119,14 +119,15 @@ class Words:
         return self.data[self.starts[i] : self.ends[i]].tobytes()
 
 
-def words(texts: pa.Array, lower: bool = False) -> Words:
+def words(texts: pa.Array, lower: bool = False, marks: np.ndarray = SPACES) -> Words:
+    """marks: of 256 bytes, those that no word has."""
     data, offsets = buffers(texts)
     if lower and len(data):
         data = LOWER[data]
     if not len(data):
         none = np.zeros(0, np.int64)
         return Words(data, offsets, none, none, np.zeros(len(offsets), np.int64))
-    word = ~SPACES[data]
+    word = ~marks[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[1:-1] = word[1:] != word[:-1]
     edge[offsets] = True
