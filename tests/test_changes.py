@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.test_judge import BASE
 from tollgate import contract as contracts
-from tollgate.operators import diff, feed, history
+from tollgate.operators import diff, feed, history, quantiles
 from tollgate.plans import models
 from tollgate.refusals import ContentMismatch, LoadCountMismatch, NoHistory, NothingChecked, Refusal
 from tollgate.streaming.judged import judge_stream
@@ -65,6 +65,82 @@ def test_multisets(spark):
     assert diff.null_safe_counts(a, b, "v").first().differing == 2
 
 
+def test_multisets_are_read_and_shuffled_once(spark):
+    a, b = (spark.range(1000).selectExpr("cast(id % 7 as string) as v", f"id % {m} as w") for m in (5, 6))
+    out = diff.multiset_difference(a, b)
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    want = a.exceptAll(b).selectExpr("'first' as side", "*").union(b.exceptAll(a).selectExpr("'second' as side", "*"))
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, want.collect())) and diff.uneven_rows(a, b) == want.count()
+    assert plan.count("Range") == 2
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 2  # the plan and its first form
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_quantiles_are_exact(spark, seed):
+    import random
+
+    rnd = random.Random(seed)
+    value = lambda: rnd.choice([None, 0.0, 5e-324, rnd.random(), -rnd.random() * 1e6, 1e300, float(rnd.randrange(9)), rnd.gauss(0, 1)])
+    rows = spark.createDataFrame([(rnd.choice(["a", "b", None]), rnd.randrange(40) // 39, value()) for _ in range(1500)] + [("none", 1, None), ("one", 1, 3.5)], "g string, h int, v double").repartition(5)
+    wanted = {"low": 0.0, "q": 0.25, "mid": 0.5, "p90": 0.9, "top": 1.0}
+    got = {(r.g, r.h): [r[n] for n in wanted] for r in quantiles.quantiles(rows, ["g", "h"], "v", wanted).collect()}
+    plain = rows.where("v is not null").groupBy("g", "h").agg(*[F.percentile("v", p).alias(n) for n, p in wanted.items()]).collect()
+    assert got == {(r.g, r.h): [r[n] for n in wanted] for r in plain} and ("one", 1) in got and ("none", 1) not in got
+    groups = rows.groupBy("g", "h").agg(F.count("*").alias("n"))
+    both = {(r.g, r.h): (r.n, r.mid) for r in quantiles.with_quantiles(groups, rows, ["g", "h"], "v", {"mid": 0.5}).collect()}
+    assert len(both) == groups.count() and both["none", 1] == (1, None)
+
+
+def test_bins_never_fall(spark):
+    values = sorted([0.0, -0.0, 5e-324, 1e-300, 1e-5, 0.5, 1 - 2**-53, 1.0, 1.0000001, 2.0, 1e18, 1.7e308, float("inf")] + [x / 7 for x in range(50)])
+    df = spark.createDataFrame([(x,) for x in [*(-v for v in reversed(values)), *values]], "v double")
+    found = [r.b for r in df.select("v", quantiles.bin_of(F.col("v")).alias("b")).collect()]
+    assert found == sorted(found)
+    assert spark.createDataFrame([(float("nan"),)], "v double").select(quantiles.bin_of(F.col("v")).alias("b")).first().b > found[-1]
+
+
+def test_marts_have_no_buffer_of_values():
+    from pathlib import Path
+
+    text = (Path(models.__file__)).read_text() + Path(quantiles.__file__).read_text()
+    assert not any(f"F.{x}(" in text for x in ("median", "percentile", "collect_list"))
+
+
+def test_every_data_test_of_a_relation_is_one_pass(spark):
+    from tollgate import queries
+    from tollgate.operators import checks
+    from tollgate.plans import data_tests
+
+    rows = spark.createDataFrame([("a", "x", 1), ("a", "y", None), (None, "z", 2), (None, "z", 2), ("b", None, 2)], "k string, s string, n int")
+    tests = [checks.Test("k", "not_null"), checks.Test("k", "unique"), checks.Test("s", "accepted_values", ("x",)), checks.Test("n", "unique"), checks.Test("n", "not_null"), checks.Test("s", "accepted_values", ("x", "y", "z"))]
+    out = {(r.column, r.kind, r.violations) for r in checks.run_all("t", rows, tests).collect()}
+    assert out == {("k", "not_null", 2), ("k", "unique", 1), ("s", "accepted_values", 2), ("n", "unique", 1), ("n", "not_null", 1), ("s", "accepted_values", 0)}
+    assert out == {(t.column, t.kind, t.run(rows).count()) for t in tests}
+    assert sum(len(t) for t in data_tests.tests(queries.shipped_contract()).values()) + 2 == 30
+    assert {r.violations for r in checks.run_all("t", rows.limit(0), tests).collect()} == {0}
+
+
+def test_stored_history_grows_by_parts(spark, two, tmp_path):
+    before, after = two
+    stored = history.StoredHistory(spark, str(tmp_path), "key", ["status", "closed"], fanout=2)
+    with pytest.raises(NoHistory):
+        stored.table()
+    want = None
+    extracts = [before, after, before, after, after.limit(0), before]
+    for i, extract in enumerate(extracts, 1):
+        stored.run(extract, datetime(2025, 1, i))
+        want = history.snapshot(want, extract, "key", ["status", "closed"], at(i))
+        assert sorted(map(str, stored.table().collect())) == sorted(map(str, want.collect()))
+        assert len(stored.commits.latest()[1]["closed"]) <= 2
+    gone = stored.vacuum()
+    assert sorted(map(str, stored.table().collect())) == sorted(map(str, want.collect())) and isinstance(gone, list)
+
+
+def test_day_counts(spark):
+    rows = spark.createDataFrame([("2025-01-01T10:00:00.000",), ("2025-01-01 23:59:59",), ("2025-01-02T00:00:00",), ("soon",), (None,)], "ts string")
+    assert sorted(map(tuple, feed.day_counts(rows, "ts").collect())) == [("2025-01-01", 2, datetime(2025, 1, 1, 23, 59, 59)), ("2025-01-02", 1, datetime(2025, 1, 2))]
+
+
 def test_history(spark, two):
     before, after = two
     first = history.snapshot(None, before, "key", ["status", "closed"], at(1))

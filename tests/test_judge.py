@@ -118,6 +118,26 @@ def test_marginal_is_what_dropping_each_rule_frees(spark, contract):
         assert held - again.where(F.size(judge.FAILURES) > 0).count() == r.recovered, (r.subject, r.rule)
 
 
+def test_a_contract_of_more_rules_than_a_word_has_bits(spark):
+    wide = contracts.parse(BASE | {"columns": [BASE["columns"][0], *[{"name": f"c'{i}", "type": "integer", "min": i, "provenance": "asserted"} for i in range(70)]], "checks": []})
+    rows = spark.createDataFrame([("p", "1", *["35"] * 70), ("p", "2", *["x"] * 70), ("p", "2", *["99"] * 70)], ", ".join(["_partition string", "k string", *[f"`c'{i}` string" for i in range(70)]]))
+    judged = judge.judged(rows, wide)
+    assert sum(c.startswith(judge.BITS) for c in judged.columns) == 3
+    found = {r.k + str(len(r._failures)): [f.rule for f in r._failures] for r in judged.collect()}
+    assert found["134"] == ["min"] * 34 and found["271"] == ["unique"] + ["type"] * 70 and found["21"] == ["unique"]
+    assert judge.rule_counts(judged).agg(F.sum("failed")).first()[0] == 34 + 71 + 1
+    assert {(r.subject, r.rule): r.recovered for r in rejudge.marginal(judged, wide).collect() if r.recovered} == {("k", "unique"): 1}
+    assert judge.summary(judged, wide).first().held_only_by_unique == 1
+
+
+def test_rows_without_a_key_are_dealt_out(spark, contract):
+    rows = spark.createDataFrame([("p", None, str(i), "open", None) for i in range(400)], "_partition string, k string, n string, state string, memo string")
+    before = judge._with_times(rows, "k")
+    text = before._jdf.queryExecution().optimizedPlan().toString()
+    assert "__salt" in text.split("Join")[1].split("\n")[0]  # the last key of the join, so that nulls have many keys
+    assert before.count() == 400 and before.where("__times_k is not null").count() == 0
+
+
 def test_uniqueness_is_within_a_partition(spark, contract):
     rows = [("a", "1", "1", "open", None), ("b", "1", "1", "open", None), ("b", "2", "1", "open", None), ("b", "2", "1", "open", None)]
     judged = judge.judged(frame(spark, rows), contract)
@@ -140,8 +160,11 @@ def test_drift_and_clashes(spark, contract):
     clash = judge.judged(rows.withColumn(split.REASONS, F.lit("x")), contract)
     with pytest.raises(ReasonColumnClash):
         split.held(clash)
+    judged = judge.judged(rows, contract)
+    nothing_held = rejudge.rejudge_summary(rejudge.rejudge(split.accepted(judged), split.held(judged), contract)).first()
+    assert tuple(nothing_held) == (0, 0, 0, 0)
     with pytest.raises(NoQuarantine):
-        rejudge.rejudge_summary(rejudge.rejudge(split.accepted(judge.judged(rows, contract)), split.held(judge.judged(rows, contract)), contract))
+        rejudge.rejudge(split.accepted(judged).limit(0), split.held(judged), contract)
 
 
 def test_empty_table(spark, contract):

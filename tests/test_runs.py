@@ -13,9 +13,10 @@ from tests.test_judge import BASE
 from tollgate import __main__ as cli
 from tollgate import contract as contracts
 from tollgate import refusals, runs
-from tollgate.operators import checks, diff
+from tollgate.operators import checks, diff, judge
 from tollgate.plans import models
 from tollgate.refusals import ContentMismatch, LoadCountMismatch
+from tollgate.sinks import store
 from tollgate.sources import api, files
 
 NOW = datetime(2025, 1, 15, 12)
@@ -50,9 +51,13 @@ def test_from_raw_to_the_store(spark, here, capsys):
     capsys.readouterr()
     assert run(spark, here, "load", "--twice") == 0
     assert "2025-01-01: 1 rows" in capsys.readouterr().out
-    raw = spark.read.parquet(f"{here}/store/raw")
+    raw = store.RawStore(spark, f"{here}/store", contracts.parse(BASE)).table()
     assert {(r.k, r._source_sha256) for r in raw.collect()} == {("a", "2025-01-01" * 2), ("d", "2025-01-02" * 2), ("f", "2025-01-03" * 2)}
-    assert run(spark, here, "backfill", "--start=2025-01-01", "--end=2025-01-03") == 0
+    assert run(spark, here, "backfill", "--start=2025-01-01", "--end=2025-01-03", "--twice") == 0
+    assert "identical" in capsys.readouterr().out
+    assert run(spark, here, "probe") == 0
+    out = capsys.readouterr().out
+    assert out.count(": ok, ") == 4 and "refused for 2025-01-02" in out and "stopped at 2025-01-02 after 1, LoadCountMismatch" in out and "orphans ['2025-01-03']" in out
     assert run(spark, here, "backfill", "--start=2025-01-01", "--end=2025-01-04") == 1
     assert files.read_held(spark, f"{here}/held", contracts.parse(BASE)).groupBy("_partition").count().orderBy("_partition").collect() == [("2025-01-01", 2), ("2025-01-02", 1)]
 
@@ -156,14 +161,19 @@ def test_one_partition_through_everything_and_the_catalog(spark, here):
     assert day.marts["gold_agency_daily"].first().request_count == 20
     whole = runs.run_range(spark, contract, f"{here}/raw311", f"{here}/q", f"{here}/w", "2025-01-01", "2025-01-02", known, NOW)
     assert whole.code == 0 and "2 partitions" in whole.lines
-    raw = spark.read.parquet(f"{here}/w/raw").withColumn("_partition", F.col("_partition").cast("string"))
+    assert "0 data tests fail" in whole.lines
+    raw = store.RawStore(spark, f"{here}/w", contract).table()
     try:
+        spark.sql("create database gold_dev")
+        raw.limit(3).selectExpr("unique_key", "1L as request_count").write.saveAsTable("gold_dev.gold_agency_daily")
+        assert sorted(models.published_gold(spark)) == ["gold_dev.gold_agency_daily"]
+        spark.sql("drop database gold_dev cascade")
         built = models.publish(raw)
         assert models.table_name("dim_complaint_type") == "silver.dim_complaint_type"
         digest = {r.table: (r.rows, r.requests) for r in models.gold_digest(models.published_gold(spark)).collect()}
-        assert digest == {"gold_agency_daily": (2, 40), "gold_complaint_resolution": (1, 40)} and built["slv_requests"].count() == 40
+        assert digest == {"gold.gold_agency_daily": (2, 40), "gold.gold_complaint_resolution": (1, 40)} and built["slv_requests"].count() == 40
     finally:
-        for name in ("gold", "silver"):
+        for name in ("gold", "gold_dev", "silver"):
             spark.sql(f"drop database if exists {name} cascade")
     with pytest.raises(refusals.Refusal):
         models.published_gold(spark)
@@ -171,9 +181,15 @@ def test_one_partition_through_everything_and_the_catalog(spark, here):
 
 def test_breaks_run(spark, here):
     contract = requests(here)
-    rows = files.read_partition(spark, f"{here}/raw311/2025-01-01.csv", contract.names, "2025-01-01").withColumn("_i", F.monotonically_increasing_id())
-    done = runs.breaks(spark, contract, rows, "_i", 2)
-    assert done.code == 0 and len(done.lines) == 11
+    read = files.numbered(files.read_csv(spark, f"{here}/raw311/2025-01-01.csv", contract.names), "_i")
+    rows = read.withColumn("_partition", F.lit("2025-01-01"))
+    meta = {"_source_sha256": F.lit("0"), "_loaded_at": F.lit(NOW).cast("timestamp_ntz")}
+    raw = rows.drop("_i").withColumns(meta).unionByName(rows.drop("_i").withColumns(meta).withColumns({"_partition": F.lit("2025-01-02"), "unique_key": F.concat(F.lit("x"), "unique_key")}))
+    done = runs.breaks(spark, contract, rows, "_i", 2, raw, NOW)
+    assert done.code == 0 and len(done.lines) == 11 + 1 + 2
+    assert done.lines[11] == "replayed: 40 rows, 40 held, 40 only by a key"
+    assert done.lines[12] == "unknown_borough: gold changed in gold_agency_daily, gold_complaint_resolution; gold_agency_daily 40 requests, then 38; gold_complaint_resolution 40 requests, then 38"
+    assert "gold_agency_daily 40 requests, then 40" in done.lines[13] and "gold changed in gold_agency_daily" in done.lines[13]
 
 
 def test_every_refusal_is_raised_somewhere():
@@ -185,4 +201,83 @@ def test_every_refusal_is_raised_somewhere():
                 raised.add(node.exc.func.id)
             if isinstance(node, ast.Call) and isinstance(node.func, ast.Name) and node.func.id == "_must":
                 raised.add("ContractError")
-    assert len(names) == 16 and names <= raised
+    assert len(names) == 17 and names <= raised
+
+
+def test_days_are_judged_in_one_evaluation(spark, here):
+    """However many days, the judgement is in one job's plan: everything else reads what that job wrote."""
+    contract, seen = contracts.parse(BASE), []
+
+    class Listener:
+        class Java:
+            implements = ["org.apache.spark.sql.util.QueryExecutionListener"]
+
+        def onSuccess(self, name, execution, nanos):
+            seen.append(execution.optimizedPlan().toString())
+
+        def onFailure(self, name, execution, error):
+            pass
+
+    gateway = spark.sparkContext._gateway
+    from pyspark.java_gateway import ensure_callback_server_started
+
+    ensure_callback_server_started(gateway)
+    listener = Listener()
+    spark._jsparkSession.listenerManager().register(listener)
+    try:
+        assert runs.quarantine(spark, contract, f"{here}/raw", f"{here}/out").code == 0
+        spark._jsparkSession.sparkContext().listenerBus().waitUntilEmpty(30_000)
+    finally:
+        spark._jsparkSession.listenerManager().unregister(listener)
+    # plans that judge name the columns that a judgement reads texts into; the reports and both sides are of what is stored
+    assert sum("__text_" in p for p in seen) == 1 and len(seen) > 3
+    for day, text in DAYS.items():
+        report = json.loads((next((here / f"out/{day}/report.json").glob("part-*"))).read_text())
+        accepted, held = files.read_split(spark, f"{here}/out/{day}", contract, day)
+        assert (report["rows"], report["accepted"], report["held"]) == (len(text.splitlines()), accepted.count(), held.count())
+    assert not list((here / "out").glob("_aside*"))
+
+
+def test_days_with_other_columns_are_judged_apart(spark, here):
+    (here / "raw" / "created_date=2025-01-04.csv").write_text("k,n,extra\ng,1,z\ng,99,z\n")
+    done = runs.quarantine(spark, contracts.parse(BASE), f"{here}/raw", f"{here}/out")
+    assert done.lines[-1] == "2025-01-04: 2 rows, 2 held, share 1.0" and len(done.lines) == 4
+    report = json.loads((next((here / "out/2025-01-04/report.json").glob("part-*"))).read_text())
+    assert report["contracted_columns_absent"] == ["state", "memo"] and report["columns_with_no_contract"] == ["extra"] and report["largest_key_collision"] == 2
+    assert runs.rejudged(spark, contracts.parse(BASE), f"{here}/out", "2025-01-03").lines == ["2025-01-03: 0 held, 0 recovered"]
+
+
+def test_two_extracts_through_runs_are_kept_as_history(spark, here, monkeypatch):
+    from tollgate.operators import history
+    from tollgate.sinks.commits import Commits
+
+    contract = requests(here)
+    known = spark.createDataFrame([("2025-01-01", "f" * 64)], "partition string, sha256 string")
+    go = lambda day, at: runs.run_partition(spark, contract, f"{here}/raw311", f"{here}/q", f"{here}/w", day, known, datetime(2025, 2, at))
+    go("2025-01-01", 1)
+    stored = runs.history_of(spark, f"{here}/w")
+    first = sorted(map(tuple, stored.table().collect()))
+    text = (here / "raw311/2025-01-01.csv").read_text().splitlines()
+    (here / "raw311/2025-01-01.csv").write_text("\n".join([text[0], text[1].replace("T09:00", "T10:30"), text[2].replace(",Closed,", ",Open,").replace("2025-01-01T09:00:00.000", ""), *text[3:]]) + "\n")
+    commit, calls = Commits.commit, []
+
+    def dies(self, seen, state):
+        calls.append(self.path)
+        if self.path.endswith("history/commits"):
+            raise KeyboardInterrupt
+        return commit(self, seen, state)
+
+    monkeypatch.setattr(Commits, "commit", dies)
+    with pytest.raises(KeyboardInterrupt):
+        go("2025-01-01", 2)
+    monkeypatch.setattr(Commits, "commit", commit)
+    assert sorted(map(tuple, stored.table().collect())) == first
+    go("2025-01-01", 3)
+    stg = lambda raw: models.history_source(models.staging(raw))
+    at = lambda d: F.lit(f"2025-02-0{d} 00:00:00").cast("timestamp_ntz")
+    raw = store.RawStore(spark, f"{here}/w", contract)
+    old = history.snapshot(None, stg(raw.table(version=1)), "unique_key", ["status", "closed_at"], at(1))
+    want = history.snapshot(old, stg(raw.table()), "unique_key", ["status", "closed_at"], at(3))
+    assert sorted(map(str, stored.table().collect())) == sorted(map(str, want.collect()))
+    assert history.version_summary(stored.table(), "unique_key").first().asDict() == {"versions": 22, "keys": 20, "current": 20, "superseded": 2}
+    assert len(stored.vacuum()) == 1 and stored.table().count() == 22

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from tests.test_judge import BASE, frame, sample
 from tollgate import contract as contracts
 from tollgate.operators import judge, split
-from tollgate.refusals import BackfillStopped, HeaderMismatch, IncompletePartition, LoadCountMismatch, MetadataColumnClash, MissingPartitions, NoQuarantine, UnjudgedPartition, UnknownDialect, WrongPartition
-from tollgate.sinks import store
-from tollgate.sources import api, files
+from tollgate.refusals import BackfillStopped, CommitConflict, HeaderMismatch, IncompletePartition, LoadCountMismatch, MetadataColumnClash, MissingPartitions, NoQuarantine, NothingChecked, UnjudgedPartition, UnknownDialect, WrongPartition
+from tollgate.sinks import commits, store
+from tollgate.sources import api, files, paged
 
 CONTRACT = contracts.parse(BASE)
 NOW = datetime(2025, 1, 15, 12)
@@ -68,6 +68,55 @@ def test_an_empty_reload_leaves_no_old_rows(raw):
     assert not [t for t in raw.spark.catalog.listTables() if t.name.startswith("staging_")]
 
 
+@pytest.mark.parametrize("where", ["written", "counted", "drafted", "moved", "cleared"])
+def test_a_load_that_dies_leaves_old_or_new(raw, monkeypatch, where):
+    """Killed between any two writes, table and ledger together are what they were, or what the load makes them."""
+    put(raw, "2025-01-01", "a", "b", held=1)
+    put(raw, "2025-01-02", "c")
+    state = lambda: (sorted((r._partition, r.k) for r in raw.table().collect()), {r._partition: (r.rows_loaded, r.rows_held) for r in raw.ledger().collect()})
+    old = state()
+
+    def dies(*args, **kwargs):
+        raise KeyboardInterrupt
+
+    target = {"written": (store, "mismatches"), "counted": (store, "_sum_of_digests"), "drafted": (commits.folders, "create_text"), "moved": (commits.Commits, "commit"), "cleared": (commits.folders, "remove")}[where]
+    if where == "cleared":
+        monkeypatch.setattr(commits, "KEEP", 1)
+    with monkeypatch.context() as m, pytest.raises(KeyboardInterrupt):
+        m.setattr(*target, dies)
+        put(raw, "2025-01-01", "x", "y", "z", held=0)
+    new = ([("2025-01-01", k) for k in "xyz"] + [("2025-01-02", "c")], {"2025-01-01": (3, 0), "2025-01-02": (1, 0)})
+    assert state() == (new if where == "cleared" else old)
+    assert raw.reconcile().count() == 0
+    put(raw, "2025-01-01", "x", "y", "z", held=0)
+    assert state() == new
+    raw.vacuum()
+    assert state() == new
+
+
+def test_a_second_writer_is_refused(raw, monkeypatch):
+    put(raw, "2025-01-01", "a")
+    latest = commits.Commits.latest
+
+    def late(self):
+        seen = latest(self)
+        with monkeypatch.context() as m:
+            m.setattr(commits.Commits, "latest", latest)
+            put(raw, "2025-01-02", "b")
+        return seen
+
+    with monkeypatch.context() as m, pytest.raises(CommitConflict):
+        m.setattr(commits.Commits, "latest", late)
+        put(raw, "2025-01-03", "c")
+    assert sorted(r.k for r in raw.table().collect()) == ["a", "b"]
+    assert sorted(r.k for r in raw.table(["2025-01-02", "2025-01-09"]).collect()) == ["b"]
+
+
+def test_null_cells_and_empty_ones_are_unlike(spark):
+    a, b = (spark.createDataFrame([(x, "y")], "k string, v string") for x in (None, ""))
+    assert store.mismatches(a, b)[1] == 2
+
+
 def test_mismatches_are_counted_beyond_the_examples(spark):
     a, b = (spark.createDataFrame([(x,) for x in v], "k string") for v in ("aaabcdefgh", "aabx"))
     wrong, total = store.mismatches(a, b)
@@ -204,6 +253,50 @@ def test_pages_and_counts(spark):
     assert api.window("ts", days[0]) == "ts >= '2025-01-01T00:00:00' AND ts < '2025-01-02T00:00:00'"
 
 
+def test_paged_days_as_a_data_source(spark):
+    base, failed = getter(10), []
+
+    def flaky(url):
+        if "offset=5" in url and not failed:
+            failed.append(url)
+            raise OSError("once")
+        return base(url)
+
+    options = {"base": "http://source", "columns": "k,ts", "timestamp": "ts", "key": "k", "start": "2025-01-01", "end": "2025-01-03", "pageSize": "5"}
+    paged.register(spark, flaky)
+    read = spark.read.format("paged_days").options(**options).load()
+    assert read.columns == ["_partition", "_fetched_at", "k", "ts"] and read.rdd.getNumPartitions() == 3
+    assert sorted((r._partition, int(r.k)) for r in read.collect()) == [(f"2025-01-0{d}", i) for d in (1, 2, 3) for i in range(10)]
+    assert [d.day.isoformat() for d in paged.DaysReader(base, {k.lower(): v for k, v in options.items()}).partitions()] == ["2025-01-01", "2025-01-02", "2025-01-03"]
+    for total, claimed in ((10, 11), (10, 9), (7, 10)):  # a full last page, too many, a short day
+        paged.register(spark, getter(total, claimed), "short_days")
+        with pytest.raises(Exception, match=IncompletePartition.__name__):
+            spark.read.format("short_days").options(**options).load().collect()
+    reader = paged.DaysReader(lambda url: (_ for _ in ()).throw(OSError("down")), {k.lower(): v for k, v in options.items()})
+    with pytest.raises(OSError, match="down"):
+        list(reader.read(reader.partitions()[0]))
+    with pytest.raises(NothingChecked):
+        paged.DaysReader(base, {"base": "x"})
+
+
+@pytest.mark.parametrize("splits", [1, 4, 16])
+def test_places_follow_the_files_however_they_are_split(spark, tmp_path, splits):
+    for name, n in (("b", 300), ("a", 500), ("c", 1)):
+        (tmp_path / f"{name}.csv").write_text("k,n\n" + "".join(f"{name}{i},{i}\n" for i in range(n)))
+    size = sum(f.stat().st_size for f in tmp_path.iterdir())
+    old = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size // splits + 1))
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        got = files.numbered(files.read_csv(spark, str(tmp_path), ["k", "n"], one_line=True))
+        assert got.rdd.getNumPartitions() >= splits
+        assert [r.k for r in got.orderBy("_ordinal").collect()] == [f"{name}{i}" for name, n in (("a", 500), ("b", 300), ("c", 1)) for i in range(n)]
+        assert [r._ordinal for r in got.select("_ordinal").orderBy("_ordinal").collect()] == list(range(801))
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+
+
 def test_fingerprint_ignores_order(spark):
     df = spark.createDataFrame([(i, str(i % 7)) for i in range(50)], "a int, b string")
     one, two = (store.fingerprint(x).first() for x in (df, df.orderBy(F.desc("a")).repartition(3)))

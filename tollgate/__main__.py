@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 import sys
 from datetime import datetime
 
@@ -13,12 +14,13 @@ from tollgate import contract as contracts
 from tollgate import runs
 from tollgate.operators import checks, feed
 from tollgate.plans import models
-from tollgate.sources import files
+from tollgate.sinks import store
+from tollgate.sources import api, files
 
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tollgate")
-    p.add_argument("run", choices=["quarantine", "rejudge", "marginal", "load", "backfill", "feed", "breaks", "profile", "generate", "lineage", "damage"])
+    p.add_argument("run", choices=["quarantine", "rejudge", "marginal", "load", "backfill", "feed", "breaks", "profile", "generate", "lineage", "damage", "probe", "pull", "run"])
     p.add_argument("--contract", help="the contract's YAML file")
     p.add_argument("--raw", help="folder of raw CSV partitions")
     p.add_argument("--quarantine", help="folder of judged partitions")
@@ -33,6 +35,11 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--applies-to", choices=contracts.SCOPES)
     p.add_argument("--holdout", type=int, default=5)
     p.add_argument("--count", type=int, default=1, help="rows to damage")
+    p.add_argument("--mart", action="store_true", help="what two of the breaks do to the marts over the store")
+    p.add_argument("--base", help="address of the paged source")
+    p.add_argument("--getter", help="module:function that gets a page of the source by its address")
+    p.add_argument("--days", type=int, default=1, help="days to pull from --start on")
+    p.add_argument("--page", type=int, default=api.PAGE, help="rows of a page")
     p.add_argument("--relation", default="raw", help="the relation that generated tests are of")
     p.add_argument("--check", help="a stored document that must be what is generated now")
     return p
@@ -64,7 +71,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None, now:
     elif a.run == "load":
         run = runs.load(spark, contract, a.quarantine, a.store, known, now, a.partition, a.twice)
     elif a.run == "backfill":
-        run = runs.backfill(spark, contract, a.quarantine, a.store, known, a.start, a.end, now)
+        run = runs.backfill(spark, contract, a.quarantine, a.store, known, a.start, a.end, now, a.twice)
+    elif a.run == "probe":
+        run = runs.probe(spark, contract, a.quarantine, a.store, known, now)
+    elif a.run == "pull":
+        module, _, name = a.getter.partition(":")
+        run = runs.pull(spark, getattr(importlib.import_module(module), name), contract, a.base, a.raw, a.manifest, a.start, a.days, a.page, now)
+    elif a.run == "run":
+        run = runs.run_range(spark, contract, a.raw, a.quarantine, a.store, a.start, a.end, known, now)
     elif a.run == "profile":
         run = runs.profiled(spark, contract, a.raw, a.partition)
     elif a.run == "damage":
@@ -78,8 +92,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None, now:
             return 2
         if a.run == "breaks":
             day, path = next(iter(found.items()))
-            rows = files.read_partition(spark, path, contract.names, day).withColumn("_ordinal", F.monotonically_increasing_id())
-            run = runs.breaks(spark, contract, rows, "_ordinal", a.count)
+            rows = files.numbered(files.read_csv(spark, path, contract.names)).withColumn("_partition", F.lit(day))
+            raw = store.RawStore(spark, a.store, contract).table() if a.mart else None
+            run = runs.breaks(spark, contract, rows, "_ordinal", a.count, raw, now)
         else:
             column = contract.source["partition_column"]
             events = files.read_days(spark, list(found.values()), contract.names)

@@ -59,6 +59,26 @@ class Test:
         return {"not_null": not_null, "unique": unique}[self.kind](rows, self.column) if self.kind != "accepted_values" else accepted_values(rows, self.column, list(self.values))
 
 
+def run_all(relation: str, rows: DataFrame, tests: list[Test]) -> DataFrame:
+    """relation, column, kind, violations: all tests of a relation in one pass over its rows.
+
+    A row gives an entry for every test that it may violate; entries are counted by test and
+    value, in each task first.  Violations are rows for not_null, repeated values for unique,
+    and different values for accepted_values.
+    """
+    entries = []
+    for i, t in enumerate(tests):
+        value, c = F.col(f"`{t.column}`").cast("string"), F.col(f"`{t.column}`")
+        wrong = {"not_null": c.isNull(), "unique": c.isNotNull(), "accepted_values": c.isNotNull() & ~c.isin(*t.values)}[t.kind]
+        entries.append(F.when(wrong, F.struct(F.lit(i).alias("test"), value.alias("value"))))
+    each = rows.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
+    counted = each.groupBy("test", "value").agg(F.count("*").alias("n"))
+    found = counted.groupBy("test").agg(F.sum("n").alias("not_null"), F.count_if(F.col("n") > 1).alias("unique"), F.count("*").alias("accepted_values"))
+    listed = rows.sparkSession.createDataFrame([(i, relation, t.column, t.kind) for i, t in enumerate(tests)], "test int, relation string, `column` string, kind string")
+    count = F.when(F.col("kind") == "not_null", F.col("not_null")).when(F.col("kind") == "unique", F.col("unique")).otherwise(F.col("accepted_values"))
+    return listed.join(found, "test", "left").select("relation", "column", "kind", F.coalesce(count, F.lit(0)).cast("long").alias("violations"))
+
+
 def from_contract(contract: Contract) -> list[Test]:
     """The tests that a contract's rules have an equivalent for."""
     out = []

@@ -65,8 +65,21 @@ def applied(before: DataFrame, moved: DataFrame, removed: DataFrame, key: str, r
 
 
 def multiset_difference(a: DataFrame, b: DataFrame) -> DataFrame:
-    """side, and the rows that one has more often than the other."""
-    return a.exceptAll(b).select(F.lit("first").alias("side"), "*").union(b.exceptAll(a).select(F.lit("second").alias("side"), "*"))
+    """side, and the rows that one has more often than the other, as often as it does.
+
+    Rows of one side count up and of the other down, so that both are read and shuffled once, after equal rows of a task are one.
+    """
+    columns = [f"`{c}`" for c in a.columns]
+    both = a.withColumn("__n", F.lit(1)).union(b.withColumn("__n", F.lit(-1)))
+    uneven = both.groupBy(*columns).agg(F.sum("__n").alias("__n")).where("__n <> 0")
+    side = F.when(F.col("__n") > 0, "first").otherwise("second")
+    return uneven.select(side.alias("side"), *columns, F.explode(F.sequence(F.lit(1).cast("long"), F.abs("__n"))).alias("__i")).drop("__i")
+
+
+def uneven_rows(a: DataFrame, b: DataFrame) -> int:
+    """How many rows ``multiset_difference`` would give, without giving them."""
+    both = a.withColumn("__n", F.lit(1)).union(b.withColumn("__n", F.lit(-1)))
+    return both.groupBy(*[f"`{c}`" for c in a.columns]).agg(F.sum("__n").alias("__n")).agg(F.coalesce(F.sum(F.abs("__n")), F.lit(0)).alias("n")).first()["n"]
 
 
 def null_safe_counts(a: DataFrame, b: DataFrame, column: str) -> DataFrame:

@@ -22,6 +22,17 @@ def newest_events(rows: DataFrame, column: str) -> DataFrame:
     return rows.groupBy("_partition").agg(F.max(text.timestamp(F.col(column))).alias("newest"))
 
 
+def day_counts(rows: DataFrame, column: str) -> DataFrame:
+    """partition (the day), rows, newest: what a source has for each day of a timestamp column, texts or timestamps; rows without a time aside.
+
+    A settled day ends just before midnight; one that is still being published stops earlier, which a count alone can't tell.
+    """
+    kind = dict(rows.dtypes)[column]
+    at = text.timestamp(F.col(column)) if kind == "string" else F.col(column).cast("timestamp_ntz")
+    timed = rows.select(at.alias("at")).where("at is not null")
+    return timed.groupBy(F.date_format("at", "yyyy-MM-dd").alias("partition")).agg(F.count("*").alias("rows"), F.max("at").alias("newest"))
+
+
 def freshness(contract: Contract, manifest: DataFrame, newest: DataFrame, now: datetime, reference: str | None = None, applies_to: str | None = None) -> DataFrame:
     """partition, clause, verdict, limit, lag_hours, reference for each entry (partition, rows, fetched_at) of a manifest."""
     clock = reference or contract.freshness["reference"]

@@ -14,14 +14,11 @@ EXAMPLES = 3
 def columns(judged: DataFrame, contract: Contract) -> DataFrame:
     """subject, rule, provenance, failed: a row for each rule of the contract that was run, zeros too."""
     present = set(judged.columns)
-    spark = judged.sparkSession
     rules = [(r.subject, r.label, contract.column(r.subject).provenance) for r in judge.value_rules(contract, present)]
     rules += [("check", c.name, c.provenance) for c in judge.checks_of(contract, present)]
-    known = spark.createDataFrame(rules, "subject string, rule string, provenance string")
-    counted = judge.rule_counts(judged)
-    # a union and a sum, not a join, whose inferred filters the optimizer would carry through all of the judgement
-    both = known.withColumn("failed", F.lit(0).cast("long")).unionByName(counted.withColumn("provenance", F.lit(None).cast("string")))
-    return both.groupBy("subject", "rule").agg(F.max("provenance").alias("provenance"), F.sum("failed").alias("failed"))
+    whose = F.create_map(*[F.lit(x) for subject, rule, provenance in rules for x in (f"{subject}:{rule}", provenance)])
+    counted = judged.agg(judge.counts(judged).alias("c")).select(F.explode("c").alias("c"))  # one row, with a sum for every rule
+    return counted.select("c.subject", "c.rule", F.element_at(whose, F.concat("c.subject", F.lit(":"), "c.rule")).alias("provenance"), "c.failed")
 
 
 def examples(judged: DataFrame, ordinal: str, n: int = EXAMPLES) -> DataFrame:

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tollgate.contract import Contract
 from tollgate.operators import judge
-from tollgate.refusals import ReasonColumnClash
+from tollgate.refusals import NothingChecked, ReasonColumnClash
+from tollgate.sinks import folders
 
 REASONS = "_contract_failures"
 
@@ -20,12 +22,11 @@ def reason() -> Column:
 
 
 def _data(judged: DataFrame) -> list[str]:
-    own = {judge.FAILURES, judge.EVALUATIONS, judge.PARTITION}
-    return [c for c in judged.columns if c not in own and not c.startswith("_check_")]
+    return [c for c in judged.columns if not judge.own(c)]
 
 
 def accepted(judged: DataFrame) -> DataFrame:
-    return judged.where(F.size(judge.FAILURES) == 0).select(judge.PARTITION, *_data(judged))
+    return judged.where(judge.clean(judged)).select(judge.PARTITION, *[f"`{c}`" for c in _data(judged)])
 
 
 def held(judged: DataFrame) -> DataFrame:
@@ -33,7 +34,7 @@ def held(judged: DataFrame) -> DataFrame:
     columns = _data(judged)
     if REASONS in columns:
         raise ReasonColumnClash(REASONS)
-    return judged.where(F.size(judge.FAILURES) > 0).select(judge.PARTITION, *columns, reason().alias(REASONS))
+    return judged.where(~judge.clean(judged)).select(judge.PARTITION, *[f"`{c}`" for c in columns], reason().alias(REASONS))
 
 
 #: The names of a report's fields, fixed values of the format.
@@ -47,52 +48,87 @@ FIELDS = {
 def reports(judged: DataFrame, contract: Contract) -> DataFrame:
     """A row for each partition: the counts, held_share, largest_collision, by_rule (subject, rule, rows by descending rows, then name) and considered_<check>.
 
-    Every part is aggregated by partition first, so a row for each rule is all that is gathered.
+    One aggregation of one judgement: a sum a rule, a list of rules for each partition.
     """
-    total = judge.summary(judged, contract)
-    by = judged.select(judge.PARTITION, F.explode(judge.FAILURES).alias("f")).groupBy(judge.PARTITION, "f").agg(F.count("*").alias("n"))
-    listed = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), F.col("f.subject").alias("subject"), F.col("f.rule").alias("rule"))))
-    rules = by.groupBy(judge.PARTITION).agg(F.sum("n").alias("sum_of_rule_counts"), F.max("n").alias("largest_rule_count"), F.transform(listed, lambda x: F.struct(x["subject"].alias("subject"), x["rule"].alias("rule"), (-x["n"]).alias("rows"))).alias("by_rule"))
-    largest = None
-    for c in contract.columns:
-        if c.rules.get("unique") and c.name in judged.columns:
-            one = judge.collisions(judged, c.name).groupBy(judge.PARTITION).agg(F.max("times").alias("times"))
-            largest = one if largest is None else largest.union(one)
-    out = total.join(rules, judge.PARTITION, "left")
-    out = out.join(largest.groupBy(judge.PARTITION).agg(F.max("times").alias("times")), judge.PARTITION, "left") if largest is not None else out.withColumn("times", F.lit(None).cast("long"))
-    checks = [c for c in total.columns if c.startswith("considered_")]
-    return out.select(
-        judge.PARTITION, "rows", "accepted", "held", F.round(F.col("held") / F.col("rows"), 6).alias("held_share"), "multi_rule", "held_only_by_unique",
-        F.greatest(F.lit(1), F.coalesce("times", F.lit(1))).cast("long").alias("largest_collision"), F.coalesce("sum_of_rule_counts", F.lit(0)).alias("sum_of_rule_counts"),
-        F.coalesce("largest_rule_count", F.lit(0)).alias("largest_rule_count"), "evaluations", F.coalesce("by_rule", F.array().cast("array<struct<subject:string,rule:string,rows:long>>")).alias("by_rule"), *checks,
+    total = judge.totals(judged, contract)
+    one = judged.groupBy(judge.PARTITION).agg(*[c.alias(n) for n, c in total.items()], F.max(judge.TIMES).alias("largest_collision"), judge.counts(judged).alias("counts"))
+    fired = F.filter("counts", lambda x: x["failed"] > 0)
+    listed = F.array_sort(F.transform(fired, lambda x: F.struct((-x["failed"]).alias("n"), x["subject"].alias("subject"), x["rule"].alias("rule"))))
+    return one.select(
+        judge.PARTITION, "rows", "accepted", "held", F.round(F.col("held") / F.col("rows"), 6).alias("held_share"), "multi_rule", "held_only_by_unique", "largest_collision",
+        F.aggregate(fired, F.lit(0).cast("long"), lambda a, x: a + x["failed"]).alias("sum_of_rule_counts"), F.coalesce(F.array_max(F.transform(fired, lambda x: x["failed"])), F.lit(0)).alias("largest_rule_count"), "evaluations",
+        F.transform(listed, lambda x: F.struct(x["subject"].alias("subject"), x["rule"].alias("rule"), (-x["n"]).alias("rows"))).alias("by_rule"), *[n for n in total if n.startswith("considered_")],
     )
 
 
-def report(judged: DataFrame, contract: Contract, partition: str, path: str | None = None) -> dict:
-    """The report of one partition; of one without rows too, whose held share is 0.0."""
-    one = reports(judged.where(F.col(judge.PARTITION) == partition), contract)
-    row = one.first()  # one row, a list with an entry for each rule in it
-    got = row.asDict() if row else {c: 0 for c in one.columns} | {"largest_collision": 1, "by_rule": []}
+def _told(got: dict, judged: DataFrame, contract: Contract, partition: str, path: str | None) -> dict:
+    """A row of ``reports`` as the report that is stored."""
     missing, more = judge.drift(judged, contract)
     return {name: got[c] for c, name in FIELDS.items()} | {
         "partition": partition,
         "path": path,
         "held_share": round(got["held"] / got["rows"], 6) if got["rows"] else 0.0,
-        "by_rule": [{"subject": r.subject, "rule": r.rule, "rows": r.rows} for r in got["by_rule"]],
+        "by_rule": [{"subject": r["subject"], "rule": r["rule"], "rows": r["rows"]} for r in got["by_rule"]],
         "rows_each_check_could_judge": {c.removeprefix("considered_"): n for c, n in sorted(got.items()) if c.startswith("considered_")},
         "contracted_columns_absent": missing,
         "columns_with_no_contract": more,
     }
 
 
+def told(judged: DataFrame, contract: Contract, partitions: dict[str, str | None]) -> dict[str, dict]:
+    """The reports of the partitions (name: path) from one aggregation; of one without rows too, whose held share is 0.0.  Refuses one with rows on which no rule was evaluated."""
+    whole = reports(judged, contract)
+    none = {c: 0 for c in whole.columns} | {"largest_collision": 1, "by_rule": []}
+    found = {r[judge.PARTITION]: r.asDict() for r in whole.collect()}  # a row a partition, with an entry for each rule
+    for name in partitions:
+        if name in found and not found[name]["evaluations"]:
+            raise NothingChecked(f"{name}: {found[name]['rows']} rows, and no rule was evaluated on any")
+    return {name: _told(found.get(name, none), judged, contract, name, path) for name, path in partitions.items()}
+
+
+def report(judged: DataFrame, contract: Contract, partition: str, path: str | None = None) -> dict:
+    """The report of one partition."""
+    return told(judged.where(F.col(judge.PARTITION) == partition), contract, {partition: path})[partition]
+
+
+CSV = {"header": "true", "emptyValue": "", "quote": '"', "escape": '"'}
+
+
+def write_days(judged: DataFrame, contract: Contract, partitions: dict[str, str | None], root: str) -> dict[str, dict]:
+    """For each partition (name: path) accepted/ and quarantined/ as CSV with headers, and report.json, under ``root/<name>``; the reports.
+
+    The judgement runs once for any number of partitions: it is written aside under root, and
+    the reports, one CSV write a side and one of the reports come from there.  Nothing appears
+    under a partition's name before all of it is written; folders are then moved.
+    """
+    spark = judged.sparkSession
+    aside = f"{root.rstrip('/')}/_aside-{uuid.uuid4().hex}"
+    try:
+        judged.write.partitionBy(judge.PARTITION).parquet(f"{aside}/judged")
+        order = [f"`{c}`" for c in judged.columns]
+        once = spark.read.schema(judged.schema).parquet(f"{aside}/judged").select(*order)
+        found = told(once, contract, partitions)
+        for name, side in (("accepted", accepted(once)), ("quarantined", held(once))):
+            side.write.partitionBy(judge.PARTITION).options(**CSV).csv(f"{aside}/{name}")
+        texts = spark.createDataFrame([(p, json.dumps(r, sort_keys=True, indent=2)) for p, r in found.items()], "_partition string, value string")
+        texts.repartition(judge.PARTITION).write.partitionBy(judge.PARTITION).option("lineSep", "\n").text(f"{aside}/report.json")
+        for partition in partitions:
+            for name in ("accepted", "quarantined", "report.json"):
+                folders.put_in_place(spark, f"{aside}/{name}/{judge.PARTITION}={folders.escaped(partition)}", f"{root.rstrip('/')}/{partition}/{name}")
+    finally:
+        folders.remove(spark, aside)
+    return found
+
+
 def write(judged: DataFrame, contract: Contract, partition: str, directory: str, path: str | None = None) -> dict:
-    """accepted/ and quarantined/ as CSV with headers, and report.json, of one partition; the report."""
+    """As ``write_days``, of one partition into a folder of its own."""
+    root, name = directory.rstrip("/").rsplit("/", 1)
     one = judged.where(F.col(judge.PARTITION) == partition)
-    judge.refuse_if_idle(one)
-    for name, side in (("accepted", accepted(one)), ("quarantined", held(one))):
-        side.drop(judge.PARTITION).write.mode("overwrite").option("header", True).option("emptyValue", "").option("quote", '"').option("escape", '"').csv(f"{directory}/{name}")
-    found = report(one, contract, partition, path)
+    if name == partition:
+        return write_days(one, contract, {partition: path}, root)[partition]
+    found = write_days(one, contract, {partition: path}, f"{directory}/_days")[partition]
     spark = judged.sparkSession
-    text = json.dumps(found, sort_keys=True, indent=2)
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").option("lineSep", "\n").text(f"{directory}/report.json")
+    for side in ("accepted", "quarantined", "report.json"):
+        folders.put_in_place(spark, f"{directory}/_days/{partition}/{side}", f"{directory}/{side}")
+    folders.remove(spark, f"{directory}/_days")
     return found

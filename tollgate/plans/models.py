@@ -8,7 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollgate.functions import text
+from tollgate.operators.quantiles import with_quantiles
 from tollgate.refusals import Refusal
+from tollgate.sinks import folders
+
+
+QUANTILES = {"median_resolution_hours": 0.5, "p90_resolution_hours": 0.9}
 
 
 def staging(raw: DataFrame) -> DataFrame:
@@ -37,15 +42,15 @@ def dim_complaint_type(slv: DataFrame) -> DataFrame:
 
 def gold_agency_daily(slv: DataFrame) -> DataFrame:
     """A row for each created_date and agency."""
-    return slv.groupBy("created_date", "agency").agg(
+    counts = slv.groupBy("created_date", "agency").agg(
         F.count("*").alias("request_count"),
         F.count_if("is_closed").alias("closed_count"),
         F.count_if(F.col("status") == "Open").alias("open_count"),
         F.count_if(~F.col("is_closed") & (F.col("status") != "Open")).alias("in_flight_count"),
-        text.rounded(F.median("resolution_hours")).alias("median_resolution_hours"),
-        text.rounded(F.percentile("resolution_hours", 0.9)).alias("p90_resolution_hours"),
         F.count_if("has_location").alias("located_count"),
     )
+    out = with_quantiles(counts, slv, ["created_date", "agency"], "resolution_hours", QUANTILES)
+    return out.select("created_date", "agency", "request_count", "closed_count", "open_count", "in_flight_count", *[text.rounded(F.col(q)).alias(q) for q in QUANTILES], "located_count")
 
 
 def gold_complaint_resolution(slv: DataFrame, dim: DataFrame) -> DataFrame:
@@ -53,15 +58,21 @@ def gold_complaint_resolution(slv: DataFrame, dim: DataFrame) -> DataFrame:
 
     Requests are aggregated before the join, so the dimension meets a row a type, not a row a request.
     """
-    by_type = slv.where(F.col("complaint_type").isNotNull()).groupBy("complaint_type").agg(
+    typed = slv.where(F.col("complaint_type").isNotNull())
+    counts = typed.groupBy("complaint_type").agg(
         F.count("*").alias("request_count"),
         F.count_if("is_closed").alias("closed_count"),
         F.count_if(F.col("resolution_hours").isNull()).alias("unresolved_count"),
-        text.rounded(F.median("resolution_hours")).alias("median_resolution_hours"),
-        text.rounded(F.percentile("resolution_hours", 0.9)).alias("p90_resolution_hours"),
         text.rounded(F.max("resolution_hours")).alias("slowest_resolution_hours"),
-    )
-    return by_type.join(dim.select("complaint_type", "agencies", "agency_count"), "complaint_type")
+    )
+    by_type = with_quantiles(counts, typed, ["complaint_type"], "resolution_hours", QUANTILES)
+    columns = ["complaint_type", "request_count", "closed_count", "unresolved_count", *[text.rounded(F.col(q)).alias(q) for q in QUANTILES], "slowest_resolution_hours"]
+    return by_type.select(*columns).join(dim.select("complaint_type", "agencies", "agency_count"), "complaint_type")
+
+
+def history_source(stg: DataFrame) -> DataFrame:
+    """What the history keeps of a request."""
+    return stg.select("unique_key", "created_at", "closed_at", "status", "agency", "complaint_type", "partition_day", "_source_sha256")
 
 
 #: name: (parents, function of the parents)
@@ -90,13 +101,15 @@ def layers(models: dict[str, tuple[tuple[str, ...], Callable]] = MODELS, sources
     return out
 
 
-def build(raw: DataFrame, upto: str | None = None) -> dict[str, DataFrame]:
-    """All models over a raw table, lazily; staging and silver stay views, so that only the columns a mart needs are read."""
+def build(raw: DataFrame, once: bool = False) -> dict[str, DataFrame]:
+    """All models over a raw table, lazily; staging and silver stay views, or with ``once`` silver is written to the shared folder, for marts that read it several times."""
     built = {"raw": raw}
     for layer in layers()[1:]:
         for name in layer:
             parents, f = MODELS[name]
             built[name] = f(*[built[p] for p in parents])
+            if once and name == "slv_requests":
+                built[name] = folders.kept(built[name], name)
     return built
 
 
@@ -136,11 +149,11 @@ def publish(raw: DataFrame) -> dict[str, DataFrame]:
 
 
 def published_gold(spark) -> dict[str, DataFrame]:
-    """The gold tables that the catalog lists; refuses none."""
-    names = [t.name for d in spark.catalog.listDatabases() if d.name.startswith("gold") for t in spark.catalog.listTables(d.name) if not t.isTemporary]
+    """The tables of every database whose name begins with gold, by database and table; refuses none."""
+    names = [(d.name, t.name) for d in spark.catalog.listDatabases() if d.name.startswith("gold") for t in spark.catalog.listTables(d.name) if not t.isTemporary]
     if not names:
         raise Refusal("the catalog has no gold table")
-    return {n: spark.table(f"gold.{n}") for n in sorted(names)}
+    return {f"{d}.{t}": spark.table(f"`{d}`.`{t}`") for d, t in sorted(names)}
 
 
 def gold_digest(built: dict[str, DataFrame]) -> DataFrame:

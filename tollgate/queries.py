@@ -8,6 +8,7 @@ something.  Both views are written once in Spark and once in SQL.
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
@@ -18,8 +19,8 @@ from pyspark.sql import functions as F
 from tollgate import contract as contracts
 from tollgate.contract import Contract
 from tollgate.operators import checks, diff, feed, history, judge, profile, rejudge, split
-from tollgate.plans import models
-from tollgate.sinks import store
+from tollgate.plans import data_tests, models
+from tollgate.sinks import folders, store
 
 Query = Callable[[SparkSession, str], DataFrame]
 NOW = datetime(2024, 2, 1, 12, 0, 0)
@@ -302,6 +303,8 @@ def _break_sql(b: rejudge.Break, count: int) -> str:
   count(*) FILTER (WHERE NOT hit) AS collateral, (SELECT count(*) FROM met WHERE hit AND len(new_less) > 0 AND len(old_less) = 0) AS control_holds, count(*) / {float(count)} AS amplification FROM fresh"""
 
 
+_ALL_BREAKS = " UNION ALL ".join(f"SELECT * FROM ({_break_sql(b, 8)}) x" for b in rejudge.CATALOGUE)
+query("breaks", _ALL_BREAKS)(lambda s, d: rejudge.outcomes(requests(s, d).withColumn("_partition", F.lit("all")), table_contract(), "k", rejudge.CATALOGUE, 8))
 for _break in rejudge.CATALOGUE:
     query(f"break_{_break.name}", _break_sql(_break, 8))(lambda s, d, b=_break: rejudge.outcome(requests(s, d).withColumn("_partition", F.lit("all")), table_contract(), "k", b, 8))
 
@@ -329,6 +332,7 @@ for _name, _clock, _scope, _sql in (
     ("freshness_tail", "extract", "tail", "fetched"),
 ):
     query(_name, _fresh_sql(_sql, _scope, _clock))(lambda s, d, c=_clock, t=_scope: feed.freshness(table_contract(), manifest(s, d), newest(s, d), NOW, c, t))
+query("day_counts", "SELECT strftime(ts, '%Y-%m-%d') AS partition, count(*) AS rows, max(ts) AS newest FROM events GROUP BY 1")(lambda s, d: feed.day_counts(table(s, d, "events"), "ts"))
 query("volume_floor", f"{_MANIFEST} SELECT partition, 'volume' AS clause, CASE WHEN rows < 330 THEN 'below_floor' ELSE 'ok' END AS verdict, CAST(330 AS DOUBLE) AS \"limit\", rows FROM manifest")(lambda s, d: feed.volume(table_contract(), manifest(s, d), 330))
 query("verdict_tally", f"{_MANIFEST} SELECT CASE WHEN rows < 330 THEN 'below_floor' ELSE 'ok' END AS verdict, count(*) AS partitions FROM manifest GROUP BY 1")(lambda s, d: feed.tally(feed.volume(table_contract(), manifest(s, d), 330)))
 query("headroom", f"{_MANIFEST} SELECT count(*) AS partitions, min(rows) AS smallest, max(rows) AS largest, CAST(250 AS BIGINT) AS floor, min(rows) - 250 AS gap, min(rows) / CAST(250 AS DOUBLE) AS ratio, 250 > min(rows) AS can_bind FROM manifest")(lambda s, d: feed.headroom(manifest(s, d), 250))
@@ -370,18 +374,41 @@ query(
     f"""{_SLV} SELECT created_date, agency, count(*) AS request_count, count(*) FILTER (WHERE is_closed) AS closed_count, count(*) FILTER (WHERE status = 'Open') AS open_count,
   count(*) FILTER (WHERE NOT is_closed AND status <> 'Open') AS in_flight_count, floor(median(resolution_hours) * 100 + 0.5) / 100 AS median_resolution_hours,
   floor(quantile_cont(resolution_hours, 0.9) * 100 + 0.5) / 100 AS p90_resolution_hours, count(*) FILTER (WHERE has_location) AS located_count FROM slv GROUP BY created_date, agency""",
-)(lambda s, d: models.build(raw(s, d))["gold_agency_daily"])
+)(lambda s, d: models.build(raw(s, d), once=True)["gold_agency_daily"])
 query(
     "gold_complaint_resolution",
     f"""{_SLV}{_DIM} SELECT slv.complaint_type, array_to_string(agencies, '|') AS agencies, agency_count, count(*) AS request_count, count(*) FILTER (WHERE is_closed) AS closed_count, count(*) FILTER (WHERE resolution_hours IS NULL) AS unresolved_count,
   floor(median(resolution_hours) * 100 + 0.5) / 100 AS median_resolution_hours, floor(quantile_cont(resolution_hours, 0.9) * 100 + 0.5) / 100 AS p90_resolution_hours,
   floor(max(resolution_hours) * 100 + 0.5) / 100 AS slowest_resolution_hours FROM slv JOIN dim ON slv.complaint_type = dim.complaint_type GROUP BY slv.complaint_type, agencies, agency_count""",
-)(lambda s, d: models.build(raw(s, d))["gold_complaint_resolution"].withColumn("agencies", F.array_join("agencies", "|")))
+)(lambda s, d: models.build(raw(s, d), once=True)["gold_complaint_resolution"].withColumn("agencies", F.array_join("agencies", "|")))
 
 
 _LOST = " UNION ALL ".join(f"SELECT unique_key, '{c}' AS \"column\", count({c}) - count({typed}) AS lost FROM damaged GROUP BY unique_key HAVING count({c}) > count({typed})" for c, typed in (("created_date", "try_strptime(created_date, '%Y-%m-%dT%H:%M:%S.%f')"), ("closed_date", "try_strptime(closed_date, '%Y-%m-%dT%H:%M:%S.%f')"), ("latitude", "TRY_CAST(latitude AS DOUBLE)"), ("longitude", "TRY_CAST(longitude AS DOUBLE)")))
 
 
+def _data_tests_sql() -> str:
+    out = []
+    for relation, tests in data_tests.tests(table_contract()).items():
+        view = {"raw": "damaged", "ledger": "(SELECT _partition FROM damaged GROUP BY _partition)", "stg_requests": "stg", "slv_requests": "slv", "dim_complaint_type": "dim", "gold_agency_daily": "(SELECT created_date, agency, count(*) AS request_count FROM slv GROUP BY ALL)"}.get(relation, "(SELECT complaint_type, count(*) AS request_count FROM slv WHERE complaint_type IS NOT NULL GROUP BY ALL)")
+        for t in tests:
+            if t.kind == "not_null":
+                n = f"SELECT count(*) FROM {view} x WHERE {t.column} IS NULL"
+            elif t.kind == "unique":
+                n = f"SELECT count(*) FROM (SELECT {t.column} FROM {view} x WHERE {t.column} IS NOT NULL GROUP BY {t.column} HAVING count(*) > 1) y"
+            else:
+                n = f"SELECT count(DISTINCT {t.column}) FROM {view} x WHERE {t.column} NOT IN ({', '.join(repr(v) for v in t.values)})"
+            out.append(f"SELECT '{relation}' AS relation, '{t.column}' AS \"column\", '{t.kind}' AS kind, ({n}) AS violations")
+    out.append(f"SELECT 'stg_requests', '*', 'lossless_cast', (SELECT count(*) FROM ({_LOST}) x)")
+    out.append("SELECT 'gold', '*', 'totals_agree', CAST((SELECT count(*) FROM slv) <> (SELECT count(complaint_type) FROM slv) AS BIGINT)")
+    return f"{_SLV}{_DIM} {' UNION ALL '.join(out)}"
+
+
+@query("data_tests", _data_tests_sql())
+def all_data_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = raw(spark, sf_dir)
+    return data_tests.run(models.build(rows, once=True) | {"ledger": rows.select("_partition").distinct()}, table_contract())
+
+
 @query("cast_lossless", f"{_DAMAGED} {_LOST}")
 def cast_lossless(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = raw(spark, sf_dir)
@@ -390,7 +417,7 @@ def cast_lossless(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("totals_agree", f"{_SLV} SELECT 'complaint_resolution' AS mart, (SELECT count(*) FROM slv) AS expected, (SELECT count(*) FROM slv WHERE complaint_type <> 'NULL') AS found WHERE (SELECT count(*) FROM slv) <> (SELECT count(*) FROM slv WHERE complaint_type <> 'NULL')")
 def totals_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    built = models.build(raw(spark, sf_dir))
+    built = models.build(raw(spark, sf_dir), once=True)
     return checks.totals_agree(built["slv_requests"], built["gold_agency_daily"], built["gold_complaint_resolution"].where("complaint_type <> 'NULL'"))
 
 
@@ -490,6 +517,16 @@ _HISTORY = _TWO + """, j AS (SELECT b.key AS bk, b.segment AS bs, b.nation AS bn
 h AS (SELECT bk AS key, bs AS segment, bn AS nation, TIMESTAMP '2024-01-01' AS valid_from, CASE WHEN moved THEN TIMESTAMP '2024-01-02' END AS valid_to FROM j WHERE bk IS NOT NULL
   UNION ALL SELECT ak, s, n, TIMESTAMP '2024-01-02', NULL FROM j WHERE bk IS NULL OR moved)"""
 query("scd2_snapshot", f"{_HISTORY} SELECT * FROM h")(_history)
+@query("stored_history", f"{_HISTORY} SELECT * FROM h")
+def stored_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs of a stored history, the last over an extract that is in already."""
+    stored = history.StoredHistory(spark, f"{folders.shared(spark)}/history-{uuid.uuid4().hex}", "key", ["segment", "nation"])
+    before, after = _two(spark, sf_dir)
+    for extract, at in ((before, datetime(2024, 1, 1)), (after, datetime(2024, 1, 2)), (after, datetime(2024, 1, 3))):
+        stored.run(extract, at)
+    return stored.table()
+
+
 query("version_summary", f"{_HISTORY} SELECT count(*) AS versions, count(DISTINCT key) AS keys, count(*) FILTER (WHERE valid_to IS NULL) AS current, count(valid_to) AS superseded FROM h")(lambda s, d: history.version_summary(_history(s, d), "key"))
 query("keys_with_history", f"{_HISTORY} SELECT * FROM h WHERE key IN (SELECT key FROM h GROUP BY key HAVING count(*) > 1)")(lambda s, d: history.keys_with_history(_history(s, d), "key"))
 query("current_version_audit", f"{_HISTORY}, x AS (SELECT * FROM h UNION ALL SELECT key, segment, nation, valid_from, NULL FROM h WHERE CAST(key AS BIGINT) % 97 = 0 AND valid_to IS NULL) SELECT key, count(*) FILTER (WHERE valid_to IS NULL) AS current FROM x GROUP BY key HAVING count(*) FILTER (WHERE valid_to IS NULL) <> 1")(

@@ -71,3 +71,7 @@ class NoHistory(Refusal):
 
 class IncompletePartition(Refusal):
     """Fewer or more rows came than the source counts."""
+
+
+class CommitConflict(Refusal):
+    """Another run wrote the version that this one was to be."""

@@ -1,14 +1,13 @@
 """The raw layer: all text, a partition replaced as a whole, verified before it is seen, and a ledger.
 
-Parquet has no transaction over two tables.  A partition is written aside as a table of its
-own, counted and compared as a multiset there, and only then put in place by a dynamic
-partition overwrite; its ledger row comes last, and the table aside is dropped.  A crash in
-between leaves a drift that ``reconcile`` shows, and loading the partition again mends it.
+A load writes a partition's rows to a folder of its own, counts them there and compares them
+with their source as a multiset.  One commit then names the folder as the partition's and
+holds its ledger row, so table and ledger change together: a load that dies anywhere leaves
+both as they were, and what it wrote is in nobody's way until ``vacuum``.
 """
 
 from __future__ import annotations
 
-import re
 import uuid
 from datetime import datetime
 
@@ -17,8 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tollgate.contract import Contract
-from tollgate.operators.diff import multiset_difference
+from tollgate.operators.diff import multiset_difference, uneven_rows
 from tollgate.refusals import BackfillStopped, ContentMismatch, LoadCountMismatch, MetadataColumnClash, MissingPartitions, UnknownDialect
+from tollgate.sinks import folders
+from tollgate.sinks.commits import Commits
 from tollgate.sources import files
 
 META = ("_partition", "_source_sha256", "_loaded_at")
@@ -46,62 +47,60 @@ def statements(contract: Contract, dialect: str) -> list[str]:
 
 
 class RawStore:
-    """raw/ and ledger/ under one path, both partitioned by _partition."""
+    """raw/, the rows by load and _partition, and commits/, which say what counts, under one path."""
 
     def __init__(self, spark: SparkSession, path: str, contract: Contract):
         self.spark, self.path, self.contract = spark, path.rstrip("/"), contract
         self.schema = raw_schema(contract)
+        self.commits = Commits(spark, f"{self.path}/commits")
 
-    def _read(self, name: str, schema) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            return self.spark.createDataFrame([], schema)
+    def _folder(self, load: str) -> str:
+        return f"{self.path}/raw/_load={load}"
 
-    def table(self) -> DataFrame:
-        return self._read("raw", self.schema)
-
-    def ledger(self) -> DataFrame:
-        return self._read("ledger", LEDGER).orderBy("_partition")
+    def _rows(self, loads: list[str]) -> DataFrame:
+        if not loads:
+            return self.spark.createDataFrame([], self.schema)
+        stored = T.StructType([*self.schema.fields, T.StructField("_load", T.StringType())])
+        read = self.spark.read.schema(stored).option("basePath", f"{self.path}/raw")
+        return read.parquet(*[self._folder(x) for x in loads]).select(*[f"`{c}`" for c in self.schema.names])
 
-    def _replace(self, rows: DataFrame, name: str) -> None:
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_partition").parquet(f"{self.path}/{name}")
+    def table(self, partitions: list[str] | None = None, version: int | None = None) -> DataFrame:
+        """All rows, or those of some partitions, whose folders alone are read; of an earlier version, while it is kept."""
+        state = self.commits.latest()[1] if version is None else self.commits.read(version)
+        return self._rows([e["load"] for p, e in sorted(state.items()) if e["load"] and (partitions is None or p in partitions)])
 
-    def _clear(self, partition: str) -> None:
-        """Nothing in the partition's folder: a dynamic overwrite without rows would leave what is there."""
-        # Spark writes these characters of a folder's name as their codes, a fixed value of the format
-        folder = re.sub(r"[\x01-\x1f\"#%'*/:=?\\\x7f{\[\]^]", lambda m: f"%{ord(m[0]):02X}", partition)
-        empty = self.spark.createDataFrame([], T.StructType([f for f in self.schema if f.name != "_partition"]))
-        empty.write.mode("overwrite").parquet(f"{self.path}/raw/_partition={folder}")
+    def ledger(self) -> DataFrame:
+        state = self.commits.latest()[1]
+        entries = [(p, e["dataset"], e["rows_loaded"], e["rows_held"], e["_source_sha256"], datetime.fromisoformat(e["_loaded_at"])) for p, e in sorted(state.items())]  # a row a partition
+        return self.spark.createDataFrame(entries, LEDGER).orderBy("_partition")
 
     def load(self, rows: DataFrame, partition: str, verdict: dict, sha256: str, now: datetime) -> int:
         """Put a partition's accepted rows (text columns in the contract's order) in place of what is there; the number of rows."""
         files.check_header(rows.columns, self.contract)
         filled = rows.select(*[F.when(F.col(f"`{c}`") != "", F.col(f"`{c}`")).alias(c) for c in rows.columns])
-        name = f"staging_{uuid.uuid4().hex}"
+        seen, state = self.commits.latest()
+        load = uuid.uuid4().hex
         try:
-            filled.write.saveAsTable(name)
-            staged = self.spark.table(name)
+            meta = {"_source_sha256": F.lit(sha256), "_loaded_at": F.lit(now).cast("timestamp_ntz"), "_partition": F.lit(partition)}
+            filled.withColumns(meta).write.partitionBy("_partition").parquet(self._folder(load))
+            staged = self._rows([load]).select(*[f"`{c}`" for c in rows.columns])
             count = staged.count()
             if count != verdict["accepted"]:
                 raise LoadCountMismatch(f"{partition}: {count} rows of {verdict['accepted']}")
             wrong, total = mismatches(filled, staged)
             if total:
                 raise ContentMismatch(f"{partition}: {total} rows differ, among them {wrong}")
-            stamp = F.lit(now).cast("timestamp_ntz")
-            meta = {"_source_sha256": F.lit(sha256), "_loaded_at": stamp, "_partition": F.lit(partition)}
-            if count:
-                self._replace(staged.withColumns(meta), "raw")
-            else:
-                self._clear(partition)
-        finally:
-            self.spark.sql(f"drop table if exists {name}")
-        entry = self.spark.createDataFrame([(self.contract.dataset, count, int(verdict["held"]))], "dataset string, rows_loaded long, rows_held long")
-        self._replace(entry.withColumns(meta).select("dataset", "rows_loaded", "rows_held", "_source_sha256", "_loaded_at", "_partition").coalesce(1), "ledger")
+            entry = {"load": load if count else None, "dataset": self.contract.dataset, "rows_loaded": count, "rows_held": int(verdict["held"]), "_source_sha256": sha256, "_loaded_at": now.isoformat()}
+            self.commits.commit(seen, state | {partition: entry})
+        except Exception:
+            folders.remove(self.spark, self._folder(load))
+            raise
         return count
 
+    def vacuum(self) -> list[str]:
+        """Removes the folders of loads that no kept version names, such as those of loads that died; for when nothing is being loaded."""
+        return self.commits.forget(lambda state: {f"_load={e['load']}" for e in state.values()}, f"{self.path}/raw")
+
     def reconcile(self) -> DataFrame:
         return reconcile(self.table(), self.ledger())
 
@@ -148,13 +147,21 @@ def backfill(store: RawStore, start: str, end: str, judged: DataFrame, load) ->
 
 def mismatches(source: DataFrame, stored: DataFrame, limit: int = 5) -> tuple[list, int]:
     """At most ``limit`` rows that one side has more often, the stored side's first, and how many there are."""
+    if _sum_of_digests(source) == _sum_of_digests(stored):  # equal multisets, without a shuffle of rows
+        return [], 0
+    total = uneven_rows(source, stored)
     wrong = multiset_difference(source, stored)
-    total = wrong.count()
     return [tuple(r) for r in wrong.orderBy(F.desc("side")).limit(limit).collect()] if total else [], total
 
 
+def _sum_of_digests(rows: DataFrame) -> tuple:
+    """A number of rows and a sum that tell multisets apart, null cells from empty ones too."""
+    part = F.conv(F.substring(F.sha2(F.to_json(F.struct(*[f"`{c}`" for c in rows.columns])), 256), 1, 15), 16, 10).cast("decimal(38,0)")
+    return tuple(rows.agg(F.count("*"), F.sum(part)).first())
+
+
 def lines(rows: DataFrame, leave_out: tuple[str, ...] = ("_loaded_at",)) -> Column:
-    """A row's cells as one text; null cells are empty."""
+    """A row's cells as one text; null cells are empty, as they are in a file."""
     return F.concat_ws("\x1f", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in rows.columns if c not in leave_out])
 
 

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import csv
 import json
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tollgate.contract import Contract
 from tollgate.operators.split import REASONS
 from tollgate.refusals import ContentMismatch, HeaderMismatch, NoQuarantine, UnjudgedPartition, WrongPartition
+from tollgate.sinks import folders
 
 MANIFEST = "partition string, rows long, expected_rows long, bytes long, sha256 string, fetched_at string, path string"
 
@@ -25,8 +28,7 @@ def header(spark: SparkSession, path: str) -> list[str]:
     first = files.agg(F.min("path").alias("path")).first()["path"]
     if first is None:
         return []
-    line = spark.read.options(header="false", quote='"', escape='"').csv(first).first()
-    return list(line) if line else []
+    return next(csv.reader([folders.first_line(spark, unquote(first)).removeprefix("\ufeff")]), [])
 
 
 def check_header(found: list[str], contract: Contract) -> None:
@@ -50,12 +52,27 @@ def read_partition(spark: SparkSession, path: str, names: list[str], partition:
     return read_csv(spark, path, names).withColumn("_partition", F.lit(partition))
 
 
-def read_days(spark: SparkSession, paths: str | list[str], names: list[str]) -> DataFrame:
+def read_days(spark: SparkSession, paths: str | list[str], names: list[str], strict: bool = True, one_line: bool = False) -> DataFrame:
     """Partitions of many days in one read; _partition is the last day named in a file's path."""
-    rows = read_csv(spark, paths, names)
+    rows = read_csv(spark, paths, names, strict, one_line)
     return rows.withColumn("_partition", F.element_at(F.regexp_extract_all(F.col("_metadata.file_path"), F.lit(r"(\d{4}-\d{2}-\d{2})"), F.lit(1)), -1))
 
 
+def numbered(rows: DataFrame, name: str = "_ordinal") -> DataFrame:
+    """rows of a read with their places, from 0, in the order of files' names and of lines in a file, however the read is split into tasks.
+
+    Rows are counted by the pieces of files that tasks read, and a row's place is what lies in
+    the pieces before it and its place in its own; a row a piece is all that is put in order.
+    """
+    at, start, i = "__file", "__start", "__i"
+    placed = rows.select("*", F.col("_metadata.file_path").alias(at), F.col("_metadata.file_block_start").alias(start), F.monotonically_increasing_id().alias(i))
+    pieces = placed.groupBy(at, start).agg(F.count("*").alias("__n"), F.min(i).alias("__first"))
+    before = F.coalesce(F.sum("__n").over(Window.orderBy(at, start).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = pieces.select(F.col(at).alias("__at"), F.col(start).alias("__from"), "__first", before.alias("__before"))
+    met = (F.col(at) == F.col("__at")) & (F.col(start) == F.col("__from"))
+    return placed.join(starts, met).select(*[f"`{c}`" for c in rows.columns], (F.col("__before") + F.col(i) - F.col("__first")).cast("long").alias(name))
+
+
 def read_held(spark: SparkSession, root: str, contract: Contract) -> DataFrame:
     """All quarantined rows under root (``<root>/<partition>/quarantined``), with the partition taken from the path."""
     return read_days(spark, f"{root}/*/quarantined", [*contract.names, REASONS])
@@ -63,7 +80,7 @@ def read_held(spark: SparkSession, root: str, contract: Contract) -> DataFrame:
 
 def refuse_long_rows(rows: DataFrame) -> DataFrame:
     """rows of a read that isn't strict, without the corrupt column; refuses rows with more fields than columns (a short row's missing fields are null)."""
-    names = [c for c in rows.columns if c != "_corrupt_record"]
+    names = [c for c in rows.columns if c not in ("_corrupt_record", "_partition")]
     bare = F.regexp_replace("_corrupt_record", '"(?:[^"]|"")*"', "")  # without quoted fields, whose commas and line ends don't count
     commas = F.length(F.regexp_replace(bare, "[^,]", ""))
     # the corrupt column alone can't be asked for
