@@ -79,20 +79,22 @@ def _merged(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
     return key[head], np.add.reduceat(count, head) if len(head) else count
 
 
-def cuts(buckets: int) -> np.ndarray:
-    """The first key of every bucket but the first."""
-    return np.array([(i << 64) // buckets for i in range(1, buckets)], np.uint64)
+def pieces(keys: np.ndarray, buckets: int) -> tuple[list[int], list[int]]:
+    """The ranges that ascending keys fall into, and where each range's begin, and the end: ranges without a key cost nothing."""
+    of = (keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+    head = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1]))) if len(of) else np.zeros(0, np.int64)
+    return of[head].tolist(), [*head.tolist(), len(keys)]
 
 
-def packs(docs: DataFrame, keys_of: Callable[[pa.RecordBatch], np.ndarray], buckets: int) -> DataFrame:
-    """bucket, part, block, keys, counts: what each block has of each key range, dealt by range."""
+def packs(docs: DataFrame, keys_of: Callable[[pa.RecordBatch], np.ndarray], buckets: int, seen: str | None = None) -> DataFrame:
+    """bucket, part, block, keys, counts: what each block has of each key range, dealt by range; seen: of ``parts.witnessed``, where parts matter."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bounds, part = cuts(buckets), parts.here()
+        part = parts.here()
         for n, block in enumerate(block for batch in batches for block in blocks(batch, size=BLOCK)):
             keys, counts = distinct(keys_of(block))
-            at = [0, *np.searchsorted(keys, bounds).tolist(), len(keys)]
-            found = [(i, *pack(keys[a:b], counts[a:b])) for i, (a, b) in enumerate(zip(at, at[1:])) if b > a]
+            own, at = pieces(keys, buckets)
+            found = [(i, *pack(keys[a:b], counts[a:b])) for i, a, b in zip(own, at, at[1:])]
             yield rows(
                 bucket=pa.array([x[0] for x in found], pa.int32()),
                 part=pa.array([part] * len(found), pa.int32()),
@@ -101,7 +103,7 @@ def packs(docs: DataFrame, keys_of: Callable[[pa.RecordBatch], np.ndarray], buck
                 counts=pa.array([x[2] for x in found], pa.binary()),
             )
 
-    dealt = arrow_map(docs, each, "bucket int, part int, block int, keys binary, counts binary", whole=True)
+    dealt = arrow_map(docs, parts.guarded(each, seen, whole=True) if seen else each, "bucket int, part int, block int, keys binary, counts binary", whole=True)
     return dealt.repartition(min(buckets, TASKS), "bucket").sortWithinPartitions("bucket", "part", "block")
 
 
@@ -123,7 +125,7 @@ def counts(docs: DataFrame, keys_of: Callable[[pa.RecordBatch], np.ndarray], buc
     return packs(docs, keys_of, buckets).mapInArrow(each, "key long, count long")
 
 
-def answered(docs: DataFrame, keys_of: Callable[[pa.RecordBatch], np.ndarray], buckets: int, name: str) -> str:
+def answered(docs: DataFrame, keys_of: Callable[[pa.RecordBatch], np.ndarray], buckets: int, name: str, seen: str) -> str:
     """Counts all keys; a path of ``parts`` files that tell every block which of its distinct keys occur twice or more, and how often."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,7 +153,7 @@ def answered(docs: DataFrame, keys_of: Callable[[pa.RecordBatch], np.ndarray], b
                 counts=pa.array([pack_counts(t[t > 1]) for t in of], pa.binary()),
             )
 
-    back = packs(docs, keys_of, buckets).mapInArrow(each, "part int, block int, bucket int, n int, shared binary, counts binary")
+    back = packs(docs, keys_of, buckets, seen).mapInArrow(each, "part int, block int, bucket int, n int, shared binary, counts binary")
     return parts.write(back, name, ("block", "bucket"))
 
 
@@ -159,7 +161,7 @@ class Answers:
     """What ``answered`` found for the blocks of this task's part."""
 
     def __init__(self, path: str, buckets: int):
-        self.bounds = cuts(buckets)
+        self.buckets = buckets
         table = parts.opened(path, parts.here())
         none = pa.table({c: pa.array([], t) for c, t in (("block", pa.int32()), ("bucket", pa.int32()), ("n", pa.int32()), ("shared", pa.binary()), ("counts", pa.binary()))})
         self.table = none if table is None else table
@@ -168,8 +170,8 @@ class Answers:
     def counts(self, block: int, keys: np.ndarray) -> np.ndarray:
         """How often each of a block's keys occurs in all texts; keys: what ``keys_of`` gives for the block, in any order and with repeats."""
         own, _ = distinct(keys)
-        at = [0, *np.searchsorted(own, self.bounds).tolist(), len(own)]
-        asked = [(i, b - a) for i, (a, b) in enumerate(zip(at, at[1:])) if b > a]
+        of, at = pieces(own, self.buckets)
+        asked = [(i, b - a) for i, a, b in zip(of, at, at[1:])]
         lo, hi = np.searchsorted(self.block, [block, block + 1]).tolist()
         found = self.table.slice(lo, hi - lo)
         if list(zip(found.column("bucket").to_pylist(), found.column("n").to_pylist())) != asked:

@@ -64,7 +64,7 @@ def _set_hashes(block: pa.RecordBatch, n: int) -> tuple[pa.Array, pa.Array, pa.A
     return pa.array(np.diff(first)), *(pa.array(sums(mix(value, seed).view(np.int64), first)) for seed in (51, 53))
 
 
-def classes(docs: DataFrame, n: int) -> DataFrame:
+def classes(docs: DataFrame, n: int, seen: str) -> DataFrame:
     """doc_id, n_shingles, a, b (of the set's hash), part (of docs), class_id: the smallest doc_id with an equal set; null for a document without shingles."""
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -72,7 +72,7 @@ def classes(docs: DataFrame, n: int) -> DataFrame:
             count, a, b = _set_hashes(block, n)
             yield rows(doc_id=block.column("doc_id"), n_shingles=count, a=a, b=b, part=pa.array(np.full(block.num_rows, parts.here()), pa.int32()))
 
-    sets = kept(arrow_map(docs, each, "doc_id long, n_shingles long, a long, b long, part int"), "sets")
+    sets = kept(arrow_map(docs, parts.guarded(each, seen), "doc_id long, n_shingles long, a long, b long, part int", whole=True), "sets")
     same = sets.where("n_shingles > 0").groupBy("a", "b", "n_shingles").agg(F.min("doc_id").alias("class_id"))
     same = kept(same, "same")  # both sides of the join are plain exchanges, so that a large class is split
     return sets.join(same, ["a", "b", "n_shingles"], "left").select("doc_id", "n_shingles", "a", "b", "part", "class_id")
@@ -85,15 +85,15 @@ def _firsts_of(block: pa.RecordBatch, ids: np.ndarray) -> pa.RecordBatch:
     return block.filter(pa.array((parts.among(own, ids) & there) | block.column("once").to_numpy(zero_copy_only=False)))
 
 
-def _once(docs: DataFrame, classed: DataFrame, n: int) -> tuple[DataFrame, str]:
-    """doc_id, text, once; and a path of doc_ids by part: their rows, and those with ``once``, are a row for each first of a class over the whole table."""
+def _once(docs: DataFrame, classed: DataFrame, n: int, seen: str) -> tuple[DataFrame, str, str]:
+    """doc_id, text, once; what ``parts.witnessed`` of them; and a path of doc_ids by part: their rows, and those with ``once``, are a row for each first of a class over the whole table."""
     known = classed.where("doc_id is not null")
     ids = known.groupBy("doc_id").agg(F.count("*").alias("times"), F.max(F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False))).alias("first"), F.min("part").alias("part"))
     ids = kept(ids.where("first").select("doc_id", "times", "part"), "ids")
     single = parts.write(ids.where("times = 1").select("part", "doc_id"), "firsts")
     docs = docs.select("doc_id", "text", F.lit(False).alias("once"))
     if ids.where("times > 1").isEmpty():
-        return docs, single
+        return docs, seen, single
     again = parts.write(known.join(ids.where("times > 1").select("doc_id"), "doc_id", "left_semi").select("part", "doc_id").distinct(), "again")
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -103,13 +103,14 @@ def _once(docs: DataFrame, classed: DataFrame, n: int) -> tuple[DataFrame, str]:
             yield rows(doc_id=block.column("doc_id"), text=block.column("text"), a=a, b=b)
 
     # only texts of repeated ids are shuffled, one for each set and task
-    one = arrow_map(docs, each, "doc_id long, text string, a long, b long").groupBy("doc_id", "a", "b").agg(F.min("text").alias("text"))
+    one = arrow_map(docs, parts.guarded(each, seen), "doc_id long, text string, a long, b long", whole=True).groupBy("doc_id", "a", "b").agg(F.min("text").alias("text"))
     chosen = known.where("doc_id = class_id").groupBy("doc_id").agg(F.min(F.struct("a", "b")).alias("set")).select("doc_id", "set.a", "set.b")
     one = kept(one.join(chosen, ["doc_id", "a", "b"], "left_semi").select("doc_id", "text", F.lit(True).alias("once")), "once")
-    return docs.union(one), single  # a union's first partitions are those of docs
+    both = docs.union(one)
+    return both, parts.witnessed(both), single  # a union's first partitions are those of docs
 
 
-def _shared(docs: DataFrame, n: int, percent: int, firsts: str) -> DataFrame:
+def _shared(docs: DataFrame, n: int, percent: int, firsts: str, seen: str) -> DataFrame:
     """doc_id, n, u (shingles that no other class has), order (hashes of the others by count and hash), cut (what the order is cut by) of classes that can link."""
     ranges = counting.ranges(docs)
 
@@ -117,7 +118,7 @@ def _shared(docs: DataFrame, n: int, percent: int, firsts: str) -> DataFrame:
         block = _firsts_of(block, parts.longs(firsts, "doc_id"))
         return block, *shingles(block.column("text"), n)
 
-    answers = counting.answered(docs, lambda block: read(block)[1], ranges, "shingles")
+    answers = counting.answered(docs, lambda block: read(block)[1], ranges, "shingles", seen)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked = counting.Answers(answers, ranges)
@@ -138,7 +139,7 @@ def _shared(docs: DataFrame, n: int, percent: int, firsts: str) -> DataFrame:
                 cut.append(np.where(count[some] < most, (count[some] << 40) | (value[some] >> np.uint64(24)).astype(np.int64), most << 40))
             yield rows(doc_id=block.column("doc_id").take(pa.array(can)), n=pa.array(total[can], pa.int64()), u=pa.array(alone[can], pa.int64()), order=pa.array(order, pa.list_(pa.int64())), cut=pa.array(cut, pa.list_(pa.int64())))
 
-    return kept(arrow_map(docs, each, "doc_id long, n long, u long, `order` array<long>, cut array<long>", whole=True), "shared")
+    return kept(arrow_map(docs, parts.guarded(each, seen, whole=True), "doc_id long, n long, u long, `order` array<long>, cut array<long>", whole=True), "shared")
 
 
 def _to(edge: int):
@@ -153,10 +154,10 @@ def overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     return partial.groupBy("a", "b").agg(F.sum(F.size(F.array_intersect("x", "y"))).alias("overlap"))
 
 
-def links(docs: DataFrame, classed: DataFrame, n: int, percent: int, fragments: int = FRAGMENTS) -> DataFrame:
+def links(docs: DataFrame, classed: DataFrame, n: int, percent: int, seen: str, fragments: int = FRAGMENTS) -> DataFrame:
     """id, component of class ids that are linked with another."""
-    once, firsts = _once(docs, classed, n)
-    shared = _shared(once, n, percent, firsts)
+    once, seen, firsts = _once(docs, classed, n, seen)
+    shared = _shared(once, n, percent, firsts, seen)
     # cut the global order at its quantiles
     cuts = shared.select(F.explode("cut").alias("o"))
     bounds = sorted({int(x) for x in cuts.approxQuantile("o", [i / fragments for i in range(1, fragments)], 0.02)}) if fragments > 1 else []
@@ -201,8 +202,9 @@ def links(docs: DataFrame, classed: DataFrame, n: int, percent: int, fragments:
 def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id of every document; ``percent`` is the least Jaccard similarity of a link, times 100."""
     docs = steady(docs.select("doc_id", "text"))
-    classed = kept(classes(docs, n), "classes")
-    grouped = links(docs, classed, n, percent).select(F.col("id").alias("class_id"), "component")
+    seen = parts.witnessed(docs)
+    classed = kept(classes(docs, n, seen), "classes")
+    grouped = links(docs, classed, n, percent, seen).select(F.col("id").alias("class_id"), "component")
     out = classed.join(grouped, "class_id", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "class_id", "doc_id")).alias("component_id"))
 

@@ -119,8 +119,8 @@ def verified(pairs: DataFrame) -> DataFrame:
     return arrow_map(pairs.select("doc_id", "line", "row", "part", "words", "earlier_words"), each, "doc_id long, line long, row long, part int")
 
 
-def removed(docs: DataFrame, near: int = NEAR) -> DataFrame:
-    """doc_id, line, row (digest of the text), part (of docs): the lines that go."""
+def removed(docs: DataFrame, seen: str, near: int = NEAR) -> DataFrame:
+    """doc_id, line, row (digest of the text), part (of docs): the lines that go; seen: of ``parts.witnessed``."""
     docs = docs.select("doc_id", "text")
     there = lambda block: block.filter(block.column("doc_id").is_valid())
 
@@ -131,7 +131,7 @@ def removed(docs: DataFrame, near: int = NEAR) -> DataFrame:
             yield rows(key=pa.array(key.view(np.int64)), check=pa.array(check.view(np.int64)), doc_id=pa.array(ids, pa.int64()), line=pa.array(number, pa.int64()), row=pa.array(row, pa.int64()), part=pa.array(np.full(len(ids), parts.here()), pa.int32()))
 
     place = F.struct("doc_id", "line", "row")
-    every = kept(arrow_map(docs, whole, "key long, check long, doc_id long, line long, row long, part int"), "lines")
+    every = kept(arrow_map(docs, parts.guarded(whole, seen), "key long, check long, doc_id long, line long, row long, part int", whole=True), "lines")
     repeated = every.groupBy("key", "check").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last")
     # written, so that both sides of the join are plain exchanges, of which a line that very many documents have is split
     repeated = kept(repeated.select("key", "check", "first"), "repeated")
@@ -152,7 +152,7 @@ def removed(docs: DataFrame, near: int = NEAR) -> DataFrame:
         return (w, first, ids, number, row, some), out[new], (out, np.concatenate((some, line)), np.concatenate((np.full(len(some), -1), at)), np.cumsum(new) - 1)
 
     ranges = counting.ranges(docs)
-    answers = counting.answered(docs, lambda block: around(block)[1], ranges, "variants")
+    answers = counting.answered(docs, lambda block: around(block)[1], ranges, "variants", seen)
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked, part = counting.Answers(answers, ranges), parts.here()
@@ -178,7 +178,7 @@ def removed(docs: DataFrame, near: int = NEAR) -> DataFrame:
             )
 
     # place -1: the whole line; -2: not a key, but the line's words
-    found = kept(arrow_map(docs, joined, "key long, check long, place int, doc_id long, line long, row long, part int, words string", whole=True), "near")
+    found = kept(arrow_map(docs, parts.guarded(joined, seen, whole=True), "key long, check long, place int, doc_id long, line long, row long, part int, words string", whole=True), "near")
     variants = found.where("place >= -1").drop("words")
     same = variants.groupBy("key", "check", "place").agg(F.min(place).alias("same"))
     sides = variants.groupBy("key", "check").agg(F.min(F.when(F.col("place") < 0, place)).alias("complete"), F.min(F.when(F.col("place") >= 0, place)).alias("cut"))
@@ -203,7 +203,8 @@ def dedup(docs: DataFrame, columns: tuple[str, ...] = (), near: int = NEAR) -> D
     """doc_id, n_lines (with words), n_removed, text of the lines that stay, other columns."""
     kinds = dict(docs.dtypes)
     docs = steady(docs.select("doc_id", "text", *columns))
-    path = parts.write(_uids(removed(docs, near)), "removed")
+    seen = parts.witnessed(docs)
+    path = parts.write(_uids(removed(docs, seen, near)), "removed")
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         gone = parts.longs(path, "uid")
@@ -224,7 +225,7 @@ def dedup(docs: DataFrame, columns: tuple[str, ...] = (), near: int = NEAR) -> D
             yield rows(doc_id=block.column("doc_id"), n_lines=pa.array(n.astype(np.int64)), n_removed=pa.array(np.bincount(doc[out], minlength=block.num_rows).astype(np.int64)), text=pa.array([t or "" for t in texts], pa.string()), **{c: block.column(c) for c in columns})
 
     also = "".join(f", `{c}` {kinds[c]}" for c in columns)
-    return arrow_map(docs, each, "doc_id long, n_lines long, n_removed long, text string" + also)
+    return arrow_map(docs, parts.guarded(each, seen), "doc_id long, n_lines long, n_removed long, text string" + also, whole=True)
 
 
 def digest(docs: DataFrame) -> DataFrame:

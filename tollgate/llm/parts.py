@@ -4,14 +4,16 @@ A table is read in several passes.  A pass notes the number of the partition tha
 (``part``) with what it finds; once found things are joined or counted, the answers are
 shuffled by ``part`` and written as one file for each.  The next pass opens the file of its
 own partition only, so what a worker holds is bounded by its share of the input, and nothing
-is broadcast.  All passes must read one table through the same partitions, as reads of the
-same files do (``tables.steady``); counts that don't fit their partition are refused.
+is broadcast.  All passes must read one table through the same partitions (``tables.steady``).
+None takes that on trust: ``witnessed`` notes which documents each partition has, in which
+order, and every pass that notes or uses a partition's number is ``guarded`` by it, so that a
+partition which isn't what it was fails the job and never gives a wrong result.
 """
 
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +21,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from tollgate.llm import arrays
-from tollgate.llm.tables import rows, scratch
+from tollgate.llm.tables import arrow_map, rows, scratch
+from tollgate.llm.words import mix
 
 
 def here() -> int:
@@ -85,3 +88,54 @@ def among(values: np.ndarray, ascending: np.ndarray) -> np.ndarray:
     at = np.searchsorted(ascending, values)
     at[at == len(ascending)] = 0
     return ascending[at] == values
+
+
+class Witness:
+    """A number of rows and a digest of their doc_ids in order."""
+
+    def __init__(self):
+        self.n, self.digest = 0, 0
+
+    def see(self, batch: pa.RecordBatch) -> None:
+        ids = batch.column("doc_id")
+        place = np.arange(self.n, self.n + batch.num_rows, dtype=np.uint64)
+        of = mix(ids.fill_null(0).to_numpy().view(np.uint64) ^ mix(place, 91), 93)
+        of[ids.is_null().to_numpy(zero_copy_only=False)] ^= np.uint64(0x9FB21C651E98DF25)
+        self.n, self.digest = self.n + batch.num_rows, (self.digest + int(of.sum(dtype=np.uint64))) % (1 << 64)
+
+
+def witnessed(docs: DataFrame) -> str:
+    """A path of what each partition of docs (doc_id long) holds."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = Witness()
+        for batch in batches:
+            seen.see(batch)
+        yield rows(part=pa.array([here()] if seen.n else [], pa.int32()), n=pa.array([seen.n] if seen.n else [], pa.int64()), digest=pa.array([seen.digest] if seen.n else [], pa.uint64()).view(pa.int64()))
+
+    return write(arrow_map(docs.select("doc_id"), each, "part int, n long, digest long", whole=True), "witness")
+
+
+def checked(batches: Iterator[pa.RecordBatch], seen: str) -> Iterator[pa.RecordBatch]:
+    """The batches, and at their end a refusal if they aren't what this partition held when it was witnessed."""
+    now = Witness()
+    for batch in batches:
+        now.see(batch)
+        yield batch
+    then = opened(seen, here())
+    was = (0, 0) if then is None else (then.column("n")[0].as_py(), then.column("digest")[0].as_py() % (1 << 64))
+    if was != (now.n, now.digest):
+        raise RuntimeError(f"partition {here()} isn't what it was in the pass before: {now.n} rows, {was[0]} then")
+
+
+def guarded(f: Callable, seen: str, whole: bool = False) -> Callable:
+    """A function for ``arrow_map`` with ``whole`` that gives f all checked batches of a partition, or one after another."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if whole:
+            yield from f(checked(batches, seen))
+        else:
+            for batch in checked(batches, seen):
+                yield from f(batch)
+
+    return run

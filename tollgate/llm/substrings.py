@@ -73,7 +73,7 @@ def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch
             n += block.num_rows
 
 
-def whole_copies(docs: DataFrame) -> DataFrame:
+def whole_copies(docs: DataFrame, seen: str) -> DataFrame:
     """part, row of the rows whose words are all those of a document with a smaller doc_id."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,7 +82,7 @@ def whole_copies(docs: DataFrame) -> DataFrame:
             a, b = digests(w, w.hashes())
             yield rows(doc_id=block.column("doc_id"), a=pa.array(a), b=pa.array(b), part=pa.array(np.full(len(row), parts.here()), pa.int32()), row=pa.array(row))
 
-    found = kept(arrow_map(docs.select("doc_id", "text"), each, "doc_id long, a long, b long, part int, row int", whole=True), "digests").where("doc_id is not null")
+    found = kept(arrow_map(docs.select("doc_id", "text"), parts.guarded(each, seen, whole=True), "doc_id long, a long, b long, part int, row int", whole=True), "digests").where("doc_id is not null")
     first = found.groupBy("a", "b").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
     first = kept(first.select("a", "b", "first"), "first")
     return found.join(first, ["a", "b"]).where("doc_id > first").select("part", "row")
@@ -102,7 +102,7 @@ def _windows(block: pa.RecordBatch, row: np.ndarray, copies: str | None) -> tupl
     return block.column("doc_id").to_numpy(), row, w, h, at, w.texts()[at], fp
 
 
-def prints(docs: DataFrame, copies: str | None, bounds: list[int] = ()) -> DataFrame:
+def prints(docs: DataFrame, copies: str | None, bounds: list[int] = (), seen: str | None = None) -> DataFrame:
     """fp, part, batch, least, most: the fingerprints of the windows of documents that aren't copies, with the smallest and largest doc_id of a block that have each (most is null where that is one document); bounds: the last doc_ids of all batches but the last."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,7 +119,7 @@ def prints(docs: DataFrame, copies: str | None, bounds: list[int] = ()) -> DataF
             last = np.append(head[1:], True) if len(fp) else head
             yield rows(fp=pa.array(fp[head]), part=pa.array(np.full(int(head.sum()), parts.here()), pa.int32()), batch=pa.array(b[head], pa.int32()), least=pa.array(of[head]), most=pa.array(of[last], mask=of[head] == of[last]))
 
-    return arrow_map(docs.select("doc_id", "text"), each, "fp long, part int, batch int, least long, most long", whole=True)
+    return arrow_map(docs.select("doc_id", "text"), parts.guarded(each, seen, whole=True) if seen else each, "fp long, part int, batch int, least long, most long", whole=True)
 
 
 class FingerprintIndex:
@@ -177,12 +177,14 @@ class FingerprintIndex:
         self.runs = []
 
 
-def candidates(docs: DataFrame, asked: str, copies: str | None) -> DataFrame:
+def candidates(docs: DataFrame, asked: str, copies: str | None, seen: str) -> DataFrame:
     """h1, h2, doc_id, part, row, pos: hashes of the windows whose fingerprint their part is asked for."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = parts.longs(asked, "fp")
-        for block, row in numbered(batches) if len(wanted) else ():
+        for block, row in numbered(batches):
+            if not len(wanted):
+                continue
             ids, row, w, h, at, doc, fp = _windows(block, row, copies)
             hit = np.flatnonzero(parts.among(fp, wanted))
             at, doc = at[hit], doc[hit]
@@ -190,7 +192,7 @@ def candidates(docs: DataFrame, asked: str, copies: str | None) -> DataFrame:
             h2 = (grams(mix(h, 77), WINDOW, 5)[at] >> np.uint64(33)).astype(np.int32) if len(at) else np.zeros(0, np.int32)
             yield rows(h1=pa.array(h1), h2=pa.array(h2), doc_id=pa.array(ids[doc]), part=pa.array(np.full(len(at), parts.here()), pa.int32()), row=pa.array(row[doc]), pos=pa.array((at - w.first[doc]).astype(np.int32)))
 
-    return arrow_map(docs.select("doc_id", "text"), each, "h1 long, h2 int, doc_id long, part int, row int, pos int", whole=True)
+    return arrow_map(docs.select("doc_id", "text"), parts.guarded(each, seen, whole=True), "h1 long, h2 int, doc_id long, part int, row int, pos int", whole=True)
 
 
 def repeats(found: DataFrame) -> DataFrame:
@@ -205,21 +207,23 @@ def repeats(found: DataFrame) -> DataFrame:
     return found.join(least, ["h1", "h2"]).where("doc_id > first").select("part", "row", "pos")
 
 
-def removals(docs: DataFrame, batches: int = BATCHES, fanout: int = FANOUT) -> tuple[DataFrame, str]:
+def removals(docs: DataFrame, seen: str, batches: int = BATCHES, fanout: int = FANOUT) -> tuple[DataFrame, str]:
     """(part, row, pos of the windows to remove), and a path of the rows that are whole copies; documents go into the index by batches of ascending doc_id."""
     spark = docs.sparkSession
-    copies = parts.write(whole_copies(docs), "copies")
+    copies = parts.write(whole_copies(docs, seen), "copies")
     cuts = [] if batches < 2 else docs.where("doc_id is not null").approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.01)
     bounds = sorted({int(c) for c in cuts})
-    all_prints = kept(prints(docs, copies, bounds), "prints")
+    all_prints = kept(prints(docs, copies, bounds, seen), "prints")
     index = FingerprintIndex(spark, int(spark.conf.get("spark.sql.shuffle.partitions")), fanout)
     out = None
-    for i in range(len(bounds) + 1):
-        asked = index.add(all_prints.where(F.col("batch") == i))
-        out = asked if out is None else out.union(asked)
-    index.close()
+    try:
+        for i in range(len(bounds) + 1):
+            asked = index.add(all_prints.where(F.col("batch") == i))
+            out = asked if out is None else out.union(asked)
+    finally:
+        index.close()
     asked = parts.write(out.distinct(), "asked")
-    return repeats(candidates(docs, asked, copies)), copies
+    return repeats(candidates(docs, asked, copies, seen)), copies
 
 
 def _spaced(raw: bytes, cover: np.ndarray) -> bytes:
@@ -239,7 +243,8 @@ def dedup(docs: DataFrame, batches: int = BATCHES, columns: tuple[str, ...] = ()
     """doc_id, n_words, n_removed, text, other columns; text is the kept words joined by one space, or with ``spacing`` by the white space that followed them."""
     kinds = dict(docs.dtypes)
     docs = steady(docs.select("doc_id", "text", *columns))
-    found, copies = removals(docs, batches)
+    seen = parts.witnessed(docs)
+    found, copies = removals(docs, seen, batches)
     marks = parts.write(found, "repeats", ("row",))
 
     def finish(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,7 +266,7 @@ def dedup(docs: DataFrame, batches: int = BATCHES, columns: tuple[str, ...] = ()
             yield rows(doc_id=block.column("doc_id"), n_words=pa.array(n, pa.int64()), n_removed=pa.array(gone, pa.int64()), text=pa.array(text, pa.string()), **{c: block.column(c) for c in columns})
 
     also = "".join(f", `{c}` {kinds[c]}" for c in columns)
-    return arrow_map(docs, finish, "doc_id long, n_words long, n_removed long, text string" + also, whole=True)
+    return arrow_map(docs, parts.guarded(finish, seen, whole=True), "doc_id long, n_words long, n_removed long, text string" + also, whole=True)
 
 
 def digest(docs: DataFrame, batches: int = BATCHES) -> DataFrame:

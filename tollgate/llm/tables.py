@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 
 BATCH = 16 << 20
+CUT = "spark.sql.files.minPartitionNum"
 SPARKS = f"{64 << 20}b"  # what the bound is if nobody has set it
 
 
@@ -55,10 +56,18 @@ def kept(df: DataFrame, name: str) -> DataFrame:
 def steady(docs: DataFrame) -> DataFrame:
     """docs as a table that all passes read through the same partitions.
 
-    A table read from files is one, with whatever columns and filters; what isn't read from files
-    is written first.  Frames that come out of a shuffle or a join should be written by the caller.
+    A table read from files, with whatever columns and filters, is one as long as files are cut
+    alike: Spark cuts them by the cores that it has when it plans a read, so that number is
+    fixed here for the session (``spark.sql.files.minPartitionNum``, unless it is set).  What
+    comes out of anything else, a shuffle or a join among them, is written first.
     """
-    return docs if docs.inputFiles() else kept(docs, "steady")
+    spark = docs.sparkSession
+    if spark.conf.get(CUT, None) is None:
+        spark.conf.set(CUT, str(max(1, spark.sparkContext.defaultParallelism)))
+    plan = docs._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() in ("Project", "Filter") and plan.deterministic():
+        plan = plan.children().head()
+    return docs if plan.nodeName() == "LogicalRelation" and docs.inputFiles() else kept(docs, "steady")
 
 
 def give_back() -> None:
