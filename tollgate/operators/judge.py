@@ -11,6 +11,7 @@ value of the join's last key, so that they are dealt over all tasks and never ga
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -119,8 +120,18 @@ def _compiled(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.codegen.hugeMethodLimit", COMPILED)
 
 
-def judged(rows: DataFrame, contract: Contract) -> DataFrame:
-    """rows with _failures, _evaluations, a nullable verdict _check_<name> for each check, and the columns ``BITS`` and ``TIMES``; rows need _partition."""
+def _level(parts: list[Column], join: Callable[[Column, Column], Column]) -> Column:
+    """All parts joined, two by two, so that an expression of many rules isn't deep."""
+    while len(parts) > 1:
+        parts = [join(*parts[i : i + 2]) if i + 1 < len(parts) else parts[i] for i in range(0, len(parts), 2)]
+    return parts[0]
+
+
+def judged(rows: DataFrame, contract: Contract, only: Column | None = None) -> DataFrame:
+    """rows with _failures, _evaluations, a nullable verdict _check_<name> for each check, and the columns ``BITS`` and ``TIMES``; rows need _partition.
+
+    only: which rows are judged; values are unique among all of them still.
+    """
     present = set(rows.columns)
     if not present & set(contract.names):
         raise NothingChecked("none of the contract's columns are there")
@@ -129,21 +140,21 @@ def judged(rows: DataFrame, contract: Contract) -> DataFrame:
     out = rows
     for name in unique:
         out = _with_times(out, name)
+    out = out if only is None else out.where(only)
     rules, checks = value_rules(contract, present), checks_of(contract, present)
     out = _seen(out, contract, checks).withColumns({f"_check_{c.name}": _check_passes(c) for c in checks})
     verdict = lambda c: F.col(f"`_check_{c.name}`")
     found = [(r.subject, r.label, r.fails) for r in rules] + [("check", c.name, F.coalesce(~verdict(c), F.lit(False))) for c in checks]
-    words = []
+    # always 0, and not deterministic: a condition on what failed is asked of these layers' result, not written out below them
+    barrier = F.call_function("shiftright", F.spark_partition_id(), F.lit(31)).cast("long")
+    words, none = [], F.lit(0).cast("long")
     for k in range(0, len(found), WORD):
-        word = F.lit(0).cast("long")
-        for i, (_, _, fails) in enumerate(found[k : k + WORD]):
-            word = word.bitwiseOR(F.when(fails, F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")))
-        words.append(word.alias(f"{BITS}{k // WORD}", metadata={"subjects": [s for s, _, _ in found[k : k + WORD]], "rules": [r for _, r, _ in found[k : k + WORD]]}))
-    done = F.lit(sum(r.label == "required" for r in rules)).cast("long")
-    for name in dict.fromkeys(r.subject for r in rules):
-        done = done + F.when(F.col(f"`{_read('there', name)}`"), F.lit(sum(r.subject == name and r.label != "required" for r in rules))).otherwise(F.lit(0))
-    for c in checks:
-        done = done + verdict(c).isNotNull().cast("long")
+        some = found[k : k + WORD]
+        word = _level([barrier, *[F.when(fails, F.lit(1 << i).cast("long")).otherwise(none) for i, (_, _, fails) in enumerate(some)]], lambda a, b: a.bitwiseOR(b))
+        words.append(word.alias(f"{BITS}{k // WORD}", metadata={"subjects": [s for s, _, _ in some], "rules": [r for _, r, _ in some]}))
+    work = [F.lit(sum(r.label == "required" for r in rules)).cast("long")]
+    work += [F.when(F.col(f"`{_read('there', name)}`"), F.lit(sum(r.subject == name and r.label != "required" for r in rules)).cast("long")).otherwise(none) for name in dict.fromkeys(r.subject for r in rules)]
+    done = _level([*work, *[verdict(c).isNotNull().cast("long") for c in checks]], lambda a, b: a + b)
     times = F.greatest(F.lit(1).cast("long"), *[F.coalesce(F.col(f"`{_read('times', n)}`"), F.lit(1)).cast("long") for n in [*unique, *unique]]) if unique else F.lit(1).cast("long")
     out = out.select(*[f"`{c}`" for c in rows.columns], *[verdict(c) for c in checks], done.alias(EVALUATIONS), times.alias(TIMES), *words)
     return out.select(*[f"`{c}`" for c in rows.columns], *[verdict(c) for c in checks], _listed(out).alias(FAILURES), EVALUATIONS, TIMES, *[w for w in out.columns if w.startswith(BITS)])

@@ -22,7 +22,7 @@ def rejudge(accepted: DataFrame, held: DataFrame, contract: Contract) -> DataFra
         raise NoQuarantine("no rows, accepted or held")
     known = accepted.withColumns({HELD: F.lit(False), split.REASONS: F.lit(None).cast("string")})
     both = known.unionByName(held.withColumn(HELD, F.lit(True)))
-    return judge.judged(both, contract).where(HELD)
+    return judge.judged(both, contract, only=F.col(HELD))
 
 
 def rejudge_summary(again: DataFrame) -> DataFrame:
