@@ -14,8 +14,8 @@ deviations times the square root of the number of words, and ``least`` times the
 the least; a text outside either band is rejected.  Medians and quartiles come from exact
 histograms on a fine grid, so they don't depend on how the table is partitioned.
 
-Cases: a null text has no words and fails the base rules; a null language is a language of
-its own; a table with over ``LANGUAGES`` languages is refused; texts of any length are taken whole; repeated rows give repeated results; an empty
+Cases: a null text has no words and fails the base rules; a null language and an empty one are
+one language of their own; a table with over ``LANGUAGES`` languages is refused; texts of any length are taken whole; repeated rows give repeated results; an empty
 table gives no rows; other columns are ignored.
 """
 
