@@ -177,7 +177,8 @@ def noise(doc_id: Column, seed: int) -> Column:
 
 def drawn(scored: DataFrame, percent: int, least: int) -> DataFrame:
     """scored (doc_id, n_words, n_features, weight, score) with rank: 1, 2, 3... of the highest scores, as many as are drawn; else null."""
-    sized = scored.withColumn("open", F.col("n_words") >= least)
+    # numbers only, written so that ranges are found and filled without reading texts again
+    sized = kept(scored.withColumn("open", F.col("n_words") >= least), "scored")
     order = [F.desc("open"), F.desc("score"), F.asc_nulls_last("doc_id")]
     ranged = kept(sized.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), "ranged")
     by_range = ranged.groupBy("range").agg(F.count("*").alias("n"), F.count_if("open").alias("open")).orderBy("range").collect()  # a row a range
@@ -186,7 +187,7 @@ def drawn(scored: DataFrame, percent: int, least: int) -> DataFrame:
         starts.append((r["range"], before))
         before += r["n"]
     if not take:
-        return scored.withColumn("rank", F.lit(None).cast("long"))
+        return sized.select(*scored.columns, F.lit(None).cast("long").alias("rank"))
     starts = ranged.sparkSession.createDataFrame(starts, "range int, before long")
     placed = ranged.withColumn("place", F.row_number().over(Window.partitionBy("range").orderBy(*order)).cast("long"))
     place = F.col("place") + F.col("before")
