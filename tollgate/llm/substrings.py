@@ -88,7 +88,7 @@ def whole_copies(docs: DataFrame, seen: str) -> DataFrame:
     return found.join(first, ["a", "b"]).where("doc_id > first").select("part", "row")
 
 
-def _windows(block: pa.RecordBatch, row: np.ndarray, copies: str | None) -> tuple[np.ndarray, np.ndarray, Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def windows_of(block: pa.RecordBatch, row: np.ndarray, copies: str | None) -> tuple[np.ndarray, np.ndarray, Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of a block's rows that have a doc_id and aren't copies: doc_ids, rows, words and their hashes; each window's first word, text and fingerprint."""
     there = block.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
     if copies:
@@ -102,12 +102,19 @@ def _windows(block: pa.RecordBatch, row: np.ndarray, copies: str | None) -> tupl
     return block.column("doc_id").to_numpy(), row, w, h, at, w.texts()[at], fp
 
 
+def window_keys(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """96 bits of the windows whose first words are at these places, as a long and an int."""
+    if not len(at):
+        return np.zeros(0, np.int64), np.zeros(0, np.int32)
+    return grams(h, WINDOW, 3)[at].view(np.int64), (grams(mix(h, 77), WINDOW, 5)[at] >> np.uint64(33)).astype(np.int32)
+
+
 def prints(docs: DataFrame, copies: str | None, bounds: list[int] = (), seen: str | None = None) -> DataFrame:
     """fp, part, batch, least, most: the fingerprints of the windows of documents that aren't copies, with the smallest and largest doc_id of a block that have each (most is null where that is one document); bounds: the last doc_ids of all batches but the last."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, row in numbered(batches):
-            ids, _, _, _, _, doc, fp = _windows(block, row, copies)
+            ids, _, _, _, _, doc, fp = windows_of(block, row, copies)
             batch = np.searchsorted(np.array(bounds, np.int64), ids, "left")
             new = np.ones(len(fp), bool)  # neighbours mostly share theirs
             new[1:] = (fp[1:] != fp[:-1]) | (doc[1:] != doc[:-1])
@@ -185,11 +192,10 @@ def candidates(docs: DataFrame, asked: str, copies: str | None, seen: str) -> Da
         for block, row in numbered(batches):
             if not len(wanted):
                 continue
-            ids, row, w, h, at, doc, fp = _windows(block, row, copies)
+            ids, row, w, h, at, doc, fp = windows_of(block, row, copies)
             hit = np.flatnonzero(parts.among(fp, wanted))
             at, doc = at[hit], doc[hit]
-            h1 = grams(h, WINDOW, 3)[at].view(np.int64) if len(at) else np.zeros(0, np.int64)
-            h2 = (grams(mix(h, 77), WINDOW, 5)[at] >> np.uint64(33)).astype(np.int32) if len(at) else np.zeros(0, np.int32)
+            h1, h2 = window_keys(h, at)
             yield rows(h1=pa.array(h1), h2=pa.array(h2), doc_id=pa.array(ids[doc]), part=pa.array(np.full(len(at), parts.here()), pa.int32()), row=pa.array(row[doc]), pos=pa.array((at - w.first[doc]).astype(np.int32)))
 
     return arrow_map(docs.select("doc_id", "text"), parts.guarded(each, seen, whole=True), "h1 long, h2 int, doc_id long, part int, row int, pos int", whole=True)
@@ -239,13 +245,9 @@ def _cover(pos: np.ndarray, n: int) -> np.ndarray:
     return np.cumsum(step)[:n] > 0
 
 
-def dedup(docs: DataFrame, batches: int = BATCHES, columns: tuple[str, ...] = (), spacing: bool = False) -> DataFrame:
-    """doc_id, n_words, n_removed, text, other columns; text is the kept words joined by one space, or with ``spacing`` by the white space that followed them."""
+def without(docs: DataFrame, marks: str, copies: str, seen: str, columns: tuple[str, ...] = (), spacing: bool = False) -> DataFrame:
+    """What ``dedup`` returns, of steady docs; paths of ``parts``: marks of the windows to remove by row, and copies of the rows that are whole copies."""
     kinds = dict(docs.dtypes)
-    docs = steady(docs.select("doc_id", "text", *columns))
-    seen = parts.witnessed(docs)
-    found, copies = removals(docs, seen, batches)
-    marks = parts.write(found, "repeats", ("row",))
 
     def finish(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = parts.opened(marks, parts.here())
@@ -269,6 +271,14 @@ def dedup(docs: DataFrame, batches: int = BATCHES, columns: tuple[str, ...] = ()
     return arrow_map(docs, parts.guarded(finish, seen, whole=True), "doc_id long, n_words long, n_removed long, text string" + also, whole=True)
 
 
+def dedup(docs: DataFrame, batches: int = BATCHES, columns: tuple[str, ...] = (), spacing: bool = False) -> DataFrame:
+    """doc_id, n_words, n_removed, text, other columns; text is the kept words joined by one space, or with ``spacing`` by the white space that followed them."""
+    docs = steady(docs.select("doc_id", "text", *columns))
+    seen = parts.witnessed(docs)
+    found, copies = removals(docs, seen, batches)
+    return without(docs, parts.write(found, "repeats", ("row",)), copies, seen, columns, spacing)
+
+
 def digest(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256."""
     out = dedup(docs, batches)
