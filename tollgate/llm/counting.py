@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tollgate.llm import parts
 from tollgate.llm.tables import arrow_map, rows
-from tollgate.llm.words import blocks, distinct
+from tollgate.llm.words import blocks, distinct, group_order
 
 BLOCK = 6 << 20
 RANGE = 12 << 20  # bytes of text for each range
@@ -169,7 +169,8 @@ class Answers:
 
     def counts(self, block: int, keys: np.ndarray) -> np.ndarray:
         """How often each of a block's keys occurs in all texts; keys: what ``keys_of`` gives for the block, in any order and with repeats."""
-        own, _ = distinct(keys)
+        order, head = group_order(keys)
+        own = keys[order[head]]
         of, at = pieces(own, self.buckets)
         asked = [(i, b - a) for i, a, b in zip(of, at, at[1:])]
         lo, hi = np.searchsorted(self.block, [block, block + 1]).tolist()
@@ -182,4 +183,6 @@ class Answers:
             some = np.flatnonzero(np.unpackbits(np.frombuffer(shared, np.uint8), count=n))
             total[a + some] = unpack_counts(counts, len(some))
             a += n
-        return total[np.searchsorted(own, keys)]
+        out = np.empty(len(keys), np.int64)
+        out[order] = total[np.cumsum(head) - 1]
+        return out

@@ -34,7 +34,9 @@ from tollgate.llm.words import Words, blocks, mix, span_hashes, words
 
 #: Lines of fewer words go if equal; a changed word of very few is another sentence, not a near copy.
 NEAR = 10
+STEP = 1 << 16
 _F = 0x9E6C63D0876A9A35
+_LENGTH = np.uint64(0xD6E8FEB86659FD93)
 
 
 def lines(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -65,14 +67,23 @@ def neighbourhoods(h: np.ndarray, first: np.ndarray, some: np.ndarray) -> tuple[
     v = mix(h, 71)
     np.cumsum(v * power[: len(h)], out=total[1:])
     n = np.diff(first)
-    whole = mix((total[first[1:]] - total[first[:-1]]) * inverse[first[:-1]] + n.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93), 73)
-    size = n[some]
-    line = np.repeat(some, size)
-    at = np.arange(len(line)) - np.repeat(np.cumsum(size) - size, size)
-    a, i, b = first[line], first[line] + at, first[line + 1]
-    left = (total[i] - total[a]) * inverse[a]
-    right = (total[b] - total[i + 1]) * inverse[np.minimum(a + 1, len(h) + 1)]
-    out = mix(left + right + (n[line] - 1).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93), 73)
+    whole = mix((total[first[1:]] - total[first[:-1]]) * inverse[first[:-1]] + n.astype(np.uint64) * _LENGTH, 73)
+    ends = np.cumsum(n[some])
+    size = int(ends[-1]) if len(some) else 0
+    line, at, out = np.empty(size, np.int32), np.empty(size, np.int32), np.empty(size, np.uint64)
+    begin = 0
+    while begin < len(some):  # some lines at a time, so that all steps of them stay small
+        done = int(ends[begin - 1]) if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, done + STEP, "right")))
+        own = np.repeat(some[begin:end], n[some[begin:end]])
+        place = np.arange(done, done + len(own)) - np.repeat(ends[begin:end] - n[some[begin:end]], n[some[begin:end]])
+        a, b = first[own], first[own + 1]
+        i = a + place
+        left = (total[i] - total[a]) * inverse[a]
+        right = (total[b] - total[i + 1]) * inverse[np.minimum(a + 1, len(h) + 1)]
+        to = slice(done, done + len(own))
+        line[to], at[to], out[to] = own, place, mix(left + right + (b - a - 1).astype(np.uint64) * _LENGTH, 73)
+        begin = end
     return whole, line, at, out
 
 
@@ -89,9 +100,18 @@ def _read(block: pa.RecordBatch):
     return w, first, ids, number, row
 
 
-def _second(w: Words) -> np.ndarray:
-    """Hashes of words from other values of their bytes than w.hashes() has."""
-    return mix(span_hashes(w.data ^ np.uint8(0xA5), w.starts, w.ends), 77)
+def _second(w: Words, some: slice | np.ndarray = slice(None)) -> np.ndarray:
+    """Hashes of words, or of some, from other values of their bytes than w.hashes() has."""
+    return mix(span_hashes(w.data ^ np.uint8(0xA5), w.starts[some], w.ends[some]), 77)
+
+
+def _checks(w: Words, first: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Second keys of the neighbourhoods of some lines: those who leave out nothing first, then each word left out."""
+    n = np.diff(first)[some]
+    of = np.concatenate(([0], np.cumsum(n)))
+    word = np.arange(of[-1]) + np.repeat(first[some] - of[:-1], n)
+    key, _, _, out = neighbourhoods(_second(w, word), of, np.arange(len(some)))
+    return np.concatenate((key, out))
 
 
 def within(a: str, b: str) -> bool:
@@ -159,10 +179,9 @@ def removed(docs: DataFrame, seen: str, near: int = NEAR) -> DataFrame:
         for k, block in enumerate(block for batch in batches for block in blocks(batch, size=counting.BLOCK)):
             (w, first, ids, number, row, some), keys, (out, line, at, which) = around(block)
             hit = (asked.counts(k, keys) > 1)[which]
-            key2, _, _, out2 = neighbourhoods(_second(w), first, some)
-            check = np.concatenate((key2[some], out2)).view(np.int64)[hit]
+            kept_ = np.unique(line[hit])
+            check = _checks(w, first, kept_).view(np.int64)[hit[parts.among(line, kept_)]]
             line = line[hit]
-            kept_ = np.unique(line)
             blob = w.data.tobytes()
             text = [b" ".join(blob[a:b].split()).decode() for a, b in zip(w.starts[first[kept_]].tolist(), w.ends[first[kept_ + 1] - 1].tolist())]
             line, none = np.concatenate((line, kept_)), np.zeros(len(kept_), np.int64)
