@@ -96,3 +96,56 @@ def test_unlike_texts_under_one_id_and_near_as_a_parameter(spark):
     df = spark.createDataFrame([(1, a), (1, b), (2, b), (2, "other")], "doc_id long, text string").repartition(4)
     assert sorted((r.doc_id, r.text) for r in lines.dedup(df).collect()) == sorted([(1, a), (1, b), (2, ""), (2, "other")])
     assert sum(r.n_removed for r in lines.dedup(df, near=2).collect()) == 2
+
+
+def test_variants_by_steps_and_checks_of_some_lines(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    rnd = random.Random(5)
+    w = words(pa.array(["\n".join(" ".join(rnd.choice("abc") for _ in range(rnd.randrange(1, 30))) for _ in range(40)), "", "d " * 50]))
+    first, _, _ = lines.lines(w)
+    some = np.flatnonzero(np.diff(first) >= 10)
+    h = lines._second(w)
+    key, line, at, out = lines.neighbourhoods(h, first, some)
+    assert list(zip(line.tolist(), at.tolist())) == [(i, k) for i in some.tolist() for k in range(int(first[i + 1] - first[i]))]
+    monkeypatch.setattr(lines, "STEP", 16)  # shorter than some lines
+    again = lines.neighbourhoods(h, first, some)
+    assert all((x == y).all() for x, y in zip((key, line, at, out), again))
+    few = some[::3]
+    mine = np.isin(line, few)
+    assert (lines._checks(w, first, few) == np.concatenate((key[few], out[mine]))).all()
+    assert len(lines._checks(w, first, few[:0])) == 0
+
+
+def test_counts_come_back_in_the_order_asked(spark):
+    import numpy as np
+    import pyarrow as pa
+
+    from tollgate.llm import counting, parts
+
+    texts = [" ".join(random.Random(i).choices("abcdefghij", k=30)) for i in range(12)]
+    docs = parts_table(spark, texts)
+    seen = parts.witnessed(docs)
+    keys_of = lambda block: words(block.column("text")).hashes()
+    for buckets in (1, 40):
+        path = counting.answered(docs, keys_of, buckets, "counts", seen)
+
+        def each(batches, path=path, buckets=buckets):
+            asked = counting.Answers(path, buckets)
+            from tollgate.llm.words import blocks
+
+            for k, block in enumerate(b for batch in batches for b in blocks(batch, size=counting.BLOCK)):
+                w = words(block.column("text"))
+                counts = asked.counts(k, w.hashes())
+                yield pa.RecordBatch.from_pydict({"word": pa.array([w.bytes_of(i).decode() for i in range(len(w.starts))]), "n": pa.array(counts.astype(np.int64))})
+
+        out = docs.mapInArrow(each, "word string, n long").collect()
+        want = " ".join(texts).split()
+        assert len(out) == len(want) and all(r.n == want.count(r.word) for r in out)
+
+
+def parts_table(spark, texts):
+    from tollgate.llm.tables import steady
+
+    return steady(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3))
