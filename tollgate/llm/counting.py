@@ -22,6 +22,7 @@ from tollgate.llm.tables import arrow_map, rows
 from tollgate.llm.words import blocks, distinct, group_order
 
 BLOCK = 6 << 20
+ASKS = 3 << 20  # bytes of text in the blocks that ``answered`` answers: a worker holds about 20 times as many for one
 RANGE = 12 << 20  # bytes of text for each range
 TASKS = 20_000
 
@@ -86,12 +87,12 @@ def pieces(keys: np.ndarray, buckets: int) -> tuple[list[int], list[int]]:
     return of[head].tolist(), [*head.tolist(), len(keys)]
 
 
-def packs(docs: DataFrame, keys_of: Callable[[pa.RecordBatch], np.ndarray], buckets: int, seen: str | None = None) -> DataFrame:
-    """bucket, part, block, keys, counts: what each block has of each key range, dealt by range; seen: of ``parts.witnessed``, where parts matter."""
+def packs(docs: DataFrame, keys_of: Callable[[pa.RecordBatch], np.ndarray], buckets: int, seen: str | None = None, size: int = BLOCK) -> DataFrame:
+    """bucket, part, block, keys, counts: what each block (of ``size`` bytes) has of each key range, dealt by range; seen: of ``parts.witnessed``, where parts matter."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = parts.here()
-        for n, block in enumerate(block for batch in batches for block in blocks(batch, size=BLOCK)):
+        for n, block in enumerate(block for batch in batches for block in blocks(batch, size=size)):
             keys, counts = distinct(keys_of(block))
             own, at = pieces(keys, buckets)
             found = [(i, *pack(keys[a:b], counts[a:b])) for i, a, b in zip(own, at, at[1:])]
@@ -126,7 +127,7 @@ def counts(docs: DataFrame, keys_of: Callable[[pa.RecordBatch], np.ndarray], buc
 
 
 def answered(docs: DataFrame, keys_of: Callable[[pa.RecordBatch], np.ndarray], buckets: int, name: str, seen: str) -> str:
-    """Counts all keys; a path of ``parts`` files that tell every block which of its distinct keys occur twice or more, and how often."""
+    """Counts all keys; a path of ``parts`` files that tell every block (of ``ASKS`` bytes) which of its distinct keys occur twice or more, and how often."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, group in by_bucket(batches):
@@ -153,7 +154,7 @@ def answered(docs: DataFrame, keys_of: Callable[[pa.RecordBatch], np.ndarray], b
                 counts=pa.array([pack_counts(t[t > 1]) for t in of], pa.binary()),
             )
 
-    back = packs(docs, keys_of, buckets, seen).mapInArrow(each, "part int, block int, bucket int, n int, shared binary, counts binary")
+    back = packs(docs, keys_of, buckets, seen, ASKS).mapInArrow(each, "part int, block int, bucket int, n int, shared binary, counts binary")
     return parts.write(back, name, ("block", "bucket"))
 
 

@@ -122,7 +122,7 @@ def _shared(docs: DataFrame, n: int, percent: int, firsts: str, seen: str) -> Da
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked = counting.Answers(answers, ranges)
-        for k, block in enumerate(block for batch in batches for block in blocks(batch, size=counting.BLOCK)):
+        for k, block in enumerate(block for batch in batches for block in blocks(batch, size=counting.ASKS)):
             block, value, first = read(block)
             count = asked.counts(k, value)
             hit, total = count > 1, np.diff(first)

@@ -100,6 +100,21 @@ def _read(block: pa.RecordBatch):
     return w, first, ids, number, row
 
 
+def around(block: pa.RecordBatch, late: np.ndarray, near: int):
+    """The words and lines of a block; keys of the neighbourhoods that it asks about, with those who leave out nothing first; and of every variant the key, line and place, and which of the asked keys it has.  late: ascending uids of lines that have none."""
+    w, first, ids, number, row = _read(block)
+    some = np.flatnonzero(np.diff(first) >= near)
+    some = some[~parts.among(uid(ids[some], number[some], row[some]), late)]
+    h = w.hashes()
+    key, line, at, out = neighbourhoods(h, first, some)
+    i = first[line] + at
+    new = np.ones(len(some) + len(out), bool)
+    new[len(some) :] = ~((at > 0) & (h[i] == h[i - 1]))  # else it leaves the same words as the place before
+    out = np.concatenate((key[some], out))
+    whole = np.full(len(some), -1, np.int32)
+    return (w, first, ids, number, row, some), out[new], (out, np.concatenate((some.astype(np.int32), line)), np.concatenate((whole, at)), np.cumsum(new) - 1)
+
+
 def _second(w: Words, some: slice | np.ndarray = slice(None)) -> np.ndarray:
     """Hashes of words, or of some, from other values of their bytes than w.hashes() has."""
     return mix(span_hashes(w.data ^ np.uint8(0xA5), w.starts[some], w.ends[some]), 77)
@@ -158,26 +173,16 @@ def removed(docs: DataFrame, seen: str, near: int = NEAR) -> DataFrame:
     late = kept(every.join(repeated, ["key", "check"]).where(place > F.col("first")).select("doc_id", "line", "row", "part"), "late")
     later = parts.write(_uids(late), "late")
 
-    def around(block: pa.RecordBatch):
-        """The words and lines of a block; keys of the neighbourhoods that it asks about, with those who leave out nothing first; and of every variant the key, line and place, and which of the asked keys it has."""
-        w, first, ids, number, row = _read(there(block))
-        some = np.flatnonzero(np.diff(first) >= near)
-        some = some[~parts.among(uid(ids[some], number[some], row[some]), parts.longs(later, "uid"))]
-        h = w.hashes()
-        key, line, at, out = neighbourhoods(h, first, some)
-        i = first[line] + at
-        new = np.ones(len(some) + len(out), bool)
-        new[len(some) :] = ~((at > 0) & (h[i] == h[i - 1]))  # else it leaves the same words as the place before
-        out = np.concatenate((key[some], out))
-        return (w, first, ids, number, row, some), out[new], (out, np.concatenate((some, line)), np.concatenate((np.full(len(some), -1), at)), np.cumsum(new) - 1)
+    def of(block: pa.RecordBatch):
+        return around(there(block), parts.longs(later, "uid"), near)
 
     ranges = counting.ranges(docs)
-    answers = counting.answered(docs, lambda block: around(block)[1], ranges, "variants", seen)
+    answers = counting.answered(docs, lambda block: of(block)[1], ranges, "variants", seen)
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked, part = counting.Answers(answers, ranges), parts.here()
-        for k, block in enumerate(block for batch in batches for block in blocks(batch, size=counting.BLOCK)):
-            (w, first, ids, number, row, some), keys, (out, line, at, which) = around(block)
+        for k, block in enumerate(block for batch in batches for block in blocks(batch, size=counting.ASKS)):
+            (w, first, ids, number, row, some), keys, (out, line, at, which) = of(block)
             hit = (asked.counts(k, keys) > 1)[which]
             kept_ = np.unique(line[hit])
             check = _checks(w, first, kept_).view(np.int64)[hit[parts.among(line, kept_)]]

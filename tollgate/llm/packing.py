@@ -27,7 +27,7 @@ from tollgate.llm.byte_ids import ids_of
 from tollgate.llm.tables import arrow_map, kept, rows
 from tollgate.llm.words import blocks
 
-BLOCK = 6 << 20
+BLOCK = 2 << 20
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, limit: int = 1024, end: int = 2) -> DataFrame:

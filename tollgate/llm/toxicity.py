@@ -35,7 +35,8 @@ MOST = 24_000
 STEMS = (5, 7)
 SHARDS = 6
 BITS = 22
-LEARN = 1 << 20  # bytes of text that are learned from at a time
+LEARN = 1 << 20  # bytes of text that are learned from, or scored, at a time
+STEP = 1 << 18  # coordinates that become weights at a time
 MARKS = np.zeros(256, bool)
 MARKS[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 
@@ -116,9 +117,13 @@ class Learner:
             self.s[at] = s + g * g
 
     def model(self) -> Model:
-        w = self.weights(np.arange((1 << BITS) + 1))
-        some = np.flatnonzero(w[:-1])
-        return Model(some.astype(np.uint32), w[some].astype(np.float32), float(w[-1]))
+        some, found = [], []
+        for a in range(0, 1 << BITS, STEP):
+            w = self.weights(np.arange(a, a + STEP))
+            at = np.flatnonzero(w)
+            some.append((at + a).astype(np.uint32))
+            found.append(w[at].astype(np.float32))
+        return Model(np.concatenate(some), np.concatenate(found), float(self.weights(np.array([1 << BITS]))[0]))
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = MOST, shards: int = SHARDS, epochs: int = 4, alpha: float = 1.0, beta: float = 1.0, l1: float = 2.0, l2: float = 1.0) -> Model | None:
@@ -170,7 +175,7 @@ def scored(docs: DataFrame, model: Model | None, columns: tuple[str, ...] = ())
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = model.table() if model else None
         for batch in batches:
-            for block in blocks(batch):
+            for block in blocks(batch, size=LEARN):
                 score = model.score(block.column("text"), table) if model else np.zeros(block.num_rows)
                 yield rows(doc_id=block.column("doc_id"), score=pa.array(score), **{c: block.column(c) for c in columns})
 
