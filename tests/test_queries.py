@@ -32,3 +32,9 @@ def test_breaks_are_caught_and_named(spark):
         else:
             assert r.damaged == r.caught == r.named == r.new_holds and r.collateral == r.control_holds == 0
             assert r.amplification == (1.125 if b.copied else 1.0)
+
+
+def test_rejudging_reads_the_judgement_and_not_the_tables_again(spark):
+    for name in ("rejudge_relaxed", "rejudge_stopped", "rejudge_reworded"):
+        read = queries.QUERIES[name](spark, SF).inputFiles()
+        assert read and not [f for f in read if "lineitem" in f or "orders" in f]
